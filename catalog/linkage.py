@@ -1 +1,471 @@
-QUERIES, ORACLE = {}, {}
+"""Record linkage over two sources derived from `part`."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpuslink.functions.similarity import (gauss_similarity, jaro_winkler, jw_at_least, lev_at_least,
+                                             lev_similarity)
+from corpuslink.functions.text import normalize_key, serialize_record
+from corpuslink.operators import pairs as PR
+from corpuslink.operators.assignment import one_to_one
+from corpuslink.operators.keyed import common_keys, dedup_first, distinct_keys, keep_common, upsert_last
+from corpuslink.operators.learned import (apply_linker, apply_text_matcher, score_profiles, train_linker,
+                                          train_text_matcher)
+from corpuslink.operators.matching import block_keys, block_sizes, neighbourhood_keys, similar_values
+from corpuslink.operators.mediation import (DEALER_MAPPING, LISTING_MAPPING, align_to_schema, drop_key,
+                                            drop_missing, drop_unknown, read_matching)
+from corpuslink.operators.metrics import blocking_report, label_metrics, pair_metrics
+from corpuslink.operators.pairs import A_ID, B_ID
+from corpuslink.operators.profile import feature_analysis
+from corpuslink.operators.rules import rule_link, with_scores
+from corpuslink.operators.sampling import sample_keys, sample_rows, shuffle, split_pairs, with_row_ids
+from corpuslink.plans import records as plan
+from corpuslink.sources.pairs import parse_pair_lines
+
+from .common import run_sql, table
+
+A_SQL = """select 'V' || p_partkey as VIN, p_brand as manufacturer, p_name as model,
+ cast(1990 + p_partkey % 30 as varchar(8)) || '.0' as year, p_retailprice as price, p_size as odometer,
+ p_type as fuel, p_partkey as ord from part where p_partkey % 10 <> 9"""
+B_SQL = """select lower('v' || p_partkey) as vin,
+ case when p_partkey % 17 = 0 then 'Unknown' when p_partkey % 23 = 0 then null else p_brand end as make_name,
+ case when p_partkey % 4 = 0 then substring(p_name, 1, length(p_name) - 1) else p_name end as model_name,
+ 1990 + p_partkey % 30 + case when p_partkey % 11 = 0 then 1 else 0 end as year,
+ p_retailprice + case when p_partkey % 5 = 0 then 0.3 when p_partkey % 7 = 0 then 50 else 0 end as price,
+ p_partkey as ord from part where p_partkey % 10 <> 8
+union all select 'v' || p_partkey, p_brand, 'duplicate ' || p_name, 2000, 1.0, 1000000 + p_partkey
+ from part where p_partkey % 13 = 0"""
+TRAILER = "||' COL transmission VAL  COL state VAL  COL region VAL  COL description VAL '"
+
+
+def _sources(spark, d) -> tuple[DataFrame, DataFrame]:
+    return run_sql(spark, d, A_SQL), run_sql(spark, d, B_SQL)
+
+
+def _clean(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Mediated sources, one row per key, ids taken from the ingest order."""
+    a, b = _sources(spark, d)
+    a = dedup_first(read_matching(a, None, LISTING_MAPPING), ["VIN"], ["ord"])
+    b = dedup_first(read_matching(b, None, DEALER_MAPPING), ["vin"], ["ord"])
+    a, b = plan.mediate(a, b, ["ord"], ["ord"])
+    return a.withColumnRenamed("ord", A_ID), b.withColumnRenamed("ord", B_ID)
+
+
+def _truth(spark, d) -> DataFrame:
+    return PR.ground_truth(*_clean(spark, d))
+
+
+def _round(df: DataFrame, *names: str) -> DataFrame:
+    for n in names:
+        df = df.withColumn(n, F.round(F.col(n), 6))
+    return df
+
+
+RATES = ("precision", "recall", "f1")
+
+
+def mediated_schema(spark, d):
+    a, b = _sources(spark, d)
+    return align_to_schema(a, LISTING_MAPPING, keep=["ord"]).withColumn("side", F.lit("a")).unionByName(
+        align_to_schema(b, DEALER_MAPPING, keep=["ord"]).withColumn("side", F.lit("b")))
+
+
+def cleaned_rows(spark, d):
+    """Rows of b with make and year that are not unknown, key normalised."""
+    b = drop_unknown(drop_missing(_sources(spark, d)[1], ["make_name", "year"]), "make_name")
+    return b.select(normalize_key(F.col("vin")).alias("key"), "make_name", "ord")
+
+
+def keys_of_sources(spark, d):
+    a, b = _sources(spark, d)
+    ka, kb = distinct_keys(a, "VIN"), distinct_keys(b, "vin")
+    tag = lambda df, s: df.withColumn("side", F.lit(s))
+    return tag(ka, "a").unionByName(tag(kb, "b")).unionByName(tag(common_keys(ka, kb), "both"))
+
+
+def matching_rows(spark, d):
+    """Rows of b whose key occurs in a."""
+    a, b = _sources(spark, d)
+    return read_matching(b, distinct_keys(a, "VIN"), DEALER_MAPPING).select("vin", "make_name", "year", "ord")
+
+
+def common_rows(spark, d):
+    a, b = _sources(spark, d)
+    a = a.withColumn("VIN", normalize_key(F.col("VIN")))
+    b = b.withColumn("vin", normalize_key(F.col("vin")))
+    xa, xb = keep_common(a, "VIN", b, "vin")
+    return xa.select(F.col("VIN").alias("key"), "ord").unionByName(xb.select(F.col("vin").alias("key"), "ord"))
+
+
+def first_and_last(spark, d):
+    b = _sources(spark, d)[1].withColumn("vin", normalize_key(F.col("vin")))
+    pick = lambda df, how: df.select("vin", "ord", F.lit(how).alias("which"))
+    return pick(dedup_first(b, ["vin"], ["ord"]), "first").unionByName(pick(upsert_last(b, ["vin"], ["ord"]), "last"))
+
+
+def row_ids(spark, d):
+    return with_row_ids(_sources(spark, d)[0].select("VIN", "ord"), ["VIN"], "row_id")
+
+
+def true_pairs(spark, d):
+    return _truth(spark, d)
+
+
+def profile_of_attributes(spark, d):
+    a = _clean(spark, d)[0].drop(A_ID)
+    return feature_analysis(a)
+
+
+def blocks_make(spark, d):
+    a, b = _clean(spark, d)
+    return block_sizes(*block_keys(a, b, "make"))
+
+
+def blocks_year(spark, d):
+    """Sorted neighbourhood of windows 1 and 3, as counted blocks."""
+    a, b = _clean(spark, d)
+    parts = [block_sizes(*neighbourhood_keys(a, b, "year", w)).agg(
+        F.sum("n_pairs").alias("n_pairs")).withColumn("window", F.lit(w)) for w in (1, 3)]
+    return parts[0].unionByName(parts[1])
+
+
+def similarities(spark, d):
+    """All measures on the true pairs and on key neighbours."""
+    a, b = _clean(spark, d)
+    near = a.select(A_ID, (F.col(A_ID) + 1).alias(B_ID)).unionByName(_truth(spark, d))
+    p = PR.materialize_pairs(near.distinct(), a, b, ["make", "model", "year", "price_num"])
+    return p.select(
+        A_ID, B_ID, F.round(jaro_winkler(F.col("a_model"), F.col("b_model")), 6).alias("jw"),
+        jw_at_least(F.col("a_make"), F.col("b_make"), 0.9).alias("make_sim"),
+        F.round(lev_similarity(F.col("a_model"), F.col("b_model")), 6).alias("lev"),
+        lev_at_least(F.col("a_year"), F.col("b_year"), 0.9).alias("year_sim"),
+        F.round(gauss_similarity(F.col("a_price_num"), F.col("b_price_num")), 6).alias("gauss"))
+
+
+def similar_names(spark, d):
+    """Similarity join of the distinct model names of both sources."""
+    a, b = _clean(spark, d)
+    side = lambda df: df.select(F.lit("all").alias("block"), F.col("model").alias("value"))
+    return similar_values(side(a), side(b), "jaro_winkler", 0.8).select("a_value", "b_value")
+
+
+def rule_links_make(spark, d):
+    a, b = _clean(spark, d)
+    return _round(rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make"), "score")
+
+
+def rule_links_year(spark, d):
+    a, b = _clean(spark, d)
+    return _round(rule_link(*neighbourhood_keys(a, b, "year"), A_ID, B_ID, equal="year"), "score")
+
+
+def rule_links_years(spark, d):
+    """Neighbourhood of window 3: years next to each other also block."""
+    a, b = _clean(spark, d)
+    return _round(rule_link(*neighbourhood_keys(a, b, "year", 3), A_ID, B_ID), "score")
+
+
+def rule_evaluation(spark, d):
+    a, b = _clean(spark, d)
+    truth = split_pairs(PR.ground_truth(a, b), [A_ID, B_ID]).where("split = 'test'")
+    return _round(plan.evaluate_rules(a, b, truth), *RATES, "recall_ceiling")
+
+
+def candidate_report(spark, d):
+    a, b = _clean(spark, d)
+    return _round(blocking_report(*block_keys(a, b, "make"), PR.ground_truth(a, b), A_ID, B_ID), "recall_ceiling")
+
+
+def metrics_of_pairs(spark, d):
+    """Equal model and year as prediction, against the true pairs."""
+    a, b = _clean(spark, d)
+    pred = a.select(A_ID, "model", "year").join(b.select(B_ID, "model", "year"), ["model", "year"])
+    return _round(pair_metrics(pred, PR.ground_truth(a, b), A_ID, B_ID), *RATES)
+
+
+def metrics_of_labels(spark, d):
+    """A length score against the quality labels."""
+    labels = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
+    scored = labels.select((F.least(F.col("n_chars"), F.lit(4000)) / 4000).alias("probability"),
+                           F.col("quality").alias("label"))
+    return _round(label_metrics(scored), *RATES, "accuracy")
+
+
+def sampled_keys(spark, d):
+    return sample_keys(distinct_keys(_sources(spark, d)[0], "VIN"), ["key"], 500, "s1")
+
+
+def sampled_source(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    return sample_rows(docs, "src3", ["doc_id"], 5, 7)
+
+
+def shuffled_lines(spark, d):
+    return shuffle(_truth(spark, d), [A_ID, B_ID], 42)
+
+
+def split_of_pairs(spark, d):
+    return split_pairs(_truth(spark, d), [A_ID, B_ID])
+
+
+def false_pairs(spark, d):
+    a, b = _clean(spark, d)
+    return PR.negative_pairs(a, b, a.count(), 42)
+
+
+def training_set(spark, d):
+    a, b = _clean(spark, d)
+    return PR.training_pairs(PR.ground_truth(a, b), a, b)
+
+
+def pair_attributes(spark, d):
+    a, b = _clean(spark, d)
+    return PR.materialize_pairs(PR.ground_truth(a, b), a, b, ["make", "model", "year"])
+
+
+def serialized(spark, d):
+    a = _clean(spark, d)[0]
+    return a.select(A_ID, serialize_record([c for c in PR.VEHICLE_SCHEMA if c != "vin"]).alias("text"))
+
+
+def exported_pairs(spark, d):
+    a, b = _clean(spark, d)
+    return plan.export_pairs(PR.ground_truth(a, b), a, b)
+
+
+def sources_full(spark, d):
+    xa, xb = plan.build_sources(*_sources(spark, d), ["ord"], None, None)
+    return _both(xa, xb)
+
+
+def sources_sampled(spark, d):
+    xa, xb = plan.build_sources(*_sources(spark, d), ["ord"], 800, 300)
+    return _both(xa, xb)
+
+
+def _both(xa, xb):
+    return xa.select(F.col("VIN").alias("key"), "ord", F.lit("a").alias("side")).unionByName(
+        xb.select(F.col("vin").alias("key"), "ord", F.lit("b").alias("side")))
+
+
+def dropped_key(spark, d):
+    return drop_key(_clean(spark, d)[0]).select("*").drop("description")
+
+
+def parsed_lines(spark, d):
+    return parse_pair_lines(run_sql(spark, d, LINES_SQL))
+
+
+LINES_SQL = """select case doc_id % 4 when 0 then source || chr(9) || lang
+ when 1 then source || chr(9) || lang || chr(9) || '1'
+ when 2 then source || chr(9) || lang || chr(9) || doc_id || chr(9) || 'x' || chr(9) || ' 0'
+ else source || chr(9) || lang || chr(9) || 'bad' end as value from documents"""
+
+
+def _model(spark, d):
+    a, b = _clean(spark, d)
+    train = split_pairs(PR.ground_truth(a, b), [A_ID, B_ID]).where("split = 'train'")
+    return a, b, train_linker(PR.training_pairs(train, a, b), a, b)
+
+
+def learned_links_make(spark, d):
+    a, b, model = _model(spark, d)
+    return _round(apply_linker(model, *block_keys(a, b, "make")), "score")
+
+
+def learned_links_year(spark, d):
+    a, b, model = _model(spark, d)
+    return _round(apply_linker(model, *block_keys(a, b, "year")), "score")
+
+
+def assigned_pairs(spark, d):
+    """Rule links reduced to one-to-one, best score first."""
+    a, b = _clean(spark, d)
+    return _round(one_to_one(rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make"), A_ID, B_ID), "score")
+
+
+def text_matcher(spark, d):
+    """Matcher trained on the train split and measured on the test split."""
+    a, b = _clean(spark, d)
+    pairs = plan.export_pairs(PR.ground_truth(a, b), a, b)
+    model = train_text_matcher(pairs.where("split = 'train'"))
+    scored = apply_text_matcher(model, pairs.where("split = 'test'"))
+    return _round(label_metrics(scored, "match_probability"), *RATES, "accuracy")
+
+
+# -- SQL -------------------------------------------------------------------
+
+def _mediate_sql(a: str, b: str, keep_key: bool = True) -> str:
+    price = lambda c: f"regexp_replace(coalesce(cast({c} as varchar),''), '\\.0$', '')"
+    alnum = lambda c: f"regexp_replace(lower(coalesce({c},'')), '[^a-z0-9]', '', 'g')"
+    return f"""select ord, coalesce(VIN,'') as vin, {alnum('manufacturer')} as make, {alnum('model')} as model,
+ {price('year')} as year, {price('price')} as price, cast(odometer as varchar) as mileage, fuel,
+ '' as transmission, '' as state, '' as region, '' as description, price::double as price_num, 'a' as side from {a}
+union all select ord, coalesce(vin,''), {alnum('make_name')}, {alnum('model_name')}, {price('year')}, {price('price')},
+ '', '', '', '', '', '', price::double, 'b' from {b}"""
+
+
+RAW = f"with ra as ({A_SQL}), rb as ({B_SQL}), "
+FIRST = """fa as (select * replace(upper(trim(VIN)) as VIN) from (select *, row_number() over (partition by upper(trim(VIN)) order by ord) as rn
+  from ra where manufacturer is not null and year is not null and not contains(lower(manufacturer),'unknown')) where rn=1),
+fb as (select * replace(upper(trim(vin)) as vin) from (select *, row_number() over (partition by upper(trim(vin)) order by ord) as rn
+  from rb where make_name is not null and year is not null and not contains(lower(make_name),'unknown')) where rn=1), """
+CLEAN = RAW + FIRST + f"""m as ({_mediate_sql('fa', 'fb')}),
+a as (select ord as {A_ID}, * exclude(ord, side) from m where side='a'),
+b as (select ord as {B_ID}, * exclude(ord, side) from m where side='b'),
+gt as (select a.{A_ID}, b.{B_ID} from a join b using(vin)) """
+SCORE = """(case when jaro_winkler_similarity(a.make,b.make)>=0.9 then 1.0::double else 0 end)
+ +(case when jaro_winkler_similarity(a.model,b.model)>=0.8 then 1 else 0 end)
+ +(case when 1-levenshtein(a.year,b.year)/greatest(length(a.year),length(b.year))>=0.9 then 1 else 0 end)
+ +(case when abs(a.price_num-b.price_num)<=0.2 then 1 else coalesce(pow(2,-pow((abs(a.price_num-b.price_num)-0.2)/0.2,2)),0) end)"""
+
+
+def _links_sql(on: str) -> str:
+    return f"select {A_ID}, {B_ID}, s as score from (select a.{A_ID}, b.{B_ID}, {SCORE} as s from a join b on {on}) where s>=3"
+
+
+RANKED = "yr as (select v, dense_rank() over (order by v) as r from (select year as v from a union select year from b))"
+NEAR = ("(select r from yr where v=a.year) between (select r from yr where v=b.year)-1 and "
+        "(select r from yr where v=b.year)+1")
+
+
+def _md5(cols: str, seed: str) -> str:
+    return f"md5(concat_ws('|', {cols}, '{seed}'))"
+
+
+def _split_sql(pairs: str = "gt") -> str:
+    return f"""(select {A_ID}, {B_ID}, case when rk < ceil(ceil(n*0.4::double)*0.5::double) then 'test'
+ when rk < ceil(n*0.4::double) then 'val' else 'train' end as split from (select *,
+ row_number() over (order by {_md5(f'{A_ID}, {B_ID}', '42')}) - 1 as rk, count(*) over () as n from {pairs}))"""
+
+
+def _negatives_sql(n: str, seed: str, name: str = "neg") -> str:
+    return f"""{name}_l as (select {A_ID}, vin as va, row_number() over (order by {_md5(A_ID, seed + '|left')})-1 as i from a),
+{name}_r as (select {B_ID}, vin as vb, row_number() over (order by {_md5(B_ID, seed + '|right')})-1 as j from b),
+{name} as (select {A_ID}, {B_ID} from (select *, row_number() over (order by k, i) as rk from (
+ select l.{A_ID}, r.{B_ID}, k, i from {name}_l l, (values (0),(1)) s(k), {name}_r r
+ where r.j = (l.i + k) % (select count(*) from b) and va<>vb)) where rk <= {n})"""
+
+
+TEXT = """'COL make VAL '||make||' COL model VAL '||model||' COL year VAL '||year||' COL price VAL '||price
+ ||' COL mileage VAL '||mileage||' COL fuel VAL '||fuel""" + TRAILER
+
+
+def _export_sql() -> str:
+    parts, union = [], []
+    for s in ("train", "val", "test"):
+        parts.append(_negatives_sql(f"(select count(*) from sp where split='{s}')", f"42|{s}", f"n_{s}"))
+        union.append(f"select {A_ID}, {B_ID}, 0 as label, '{s}' as split from n_{s}")
+    return CLEAN + f""", sp as (select * from {_split_sql()}), {', '.join(parts)},
+ta as (select {A_ID}, {TEXT} as "left" from a), tb as (select {B_ID}, {TEXT} as "right" from b),
+l as (select {A_ID}, {B_ID}, 1 as label, split from sp union all {' union all '.join(union)})
+select "left", "right", label::int as label, split from l join ta using({A_ID}) join tb using({B_ID})"""
+
+
+def _rates_sql(counts: str, extra: str = "") -> str:
+    return f"""select *, round(coalesce(tp/nullif(tp+fp,0),0),6) as precision, round(coalesce(tp/nullif(tp+fn,0),0),6) as recall,
+ round(coalesce(2*(tp/nullif(tp+fp,0))*(tp/nullif(tp+fn,0))/nullif(tp/nullif(tp+fp,0)+tp/nullif(tp+fn,0),0),0),6) as f1{extra} from ({counts})"""
+
+
+def _evaluation_sql() -> str:
+    one = lambda name, on: f"""select '{name}' as strategy, (select count(*) from p_{name} join te using({A_ID},{B_ID})) as tp,
+ (select count(*) from p_{name}) - (select count(*) from p_{name} join te using({A_ID},{B_ID})) as fp,
+ (select count(*) from te) - (select count(*) from p_{name} join te using({A_ID},{B_ID})) as fn,
+ (select count(*) from a join b on {on}) as candidates,
+ (select count(*) from te join a using({A_ID}) join b using({B_ID}) where {on}) as captured""".replace("  # noqa: E731", "")
+    counts = one("B1", "a.make=b.make") + " union all " + one("B2", "a.year=b.year")
+    return CLEAN + f""", te as (select {A_ID}, {B_ID} from {_split_sql()} where split='test'),
+p_B1 as ({_links_sql('a.make=b.make')}), p_B2 as ({_links_sql('a.year=b.year')})
+{_rates_sql(counts, ", round(captured/(select count(*) from te),6) as recall_ceiling")}"""
+
+
+def _profile_sql() -> str:
+    cols = ["vin", "make", "model", "year", "price", "mileage", "fuel", "transmission", "state", "region",
+            "description", "price_num"]
+    return CLEAN + " union all ".join(
+        f"""select '{c}' as attribute, round(100*avg(case when {c} is null then 1.0::double else 0 end),2) as null_pct,
+ round(100*avg(case when cast({c} as varchar)='' then 1.0::double else 0 end),2) as blank_pct, count(distinct {c}) as "unique" from a""" for c in cols)
+
+
+NEW_IDS = "coalesce(VIN,'')"
+SAMPLED = """keys as (select upper(trim(VIN)) as key from ra intersect select upper(trim(vin)) from rb),
+pool as (select key from keys order by md5(concat_ws('|', key, '42|pool')) limit 800),
+pa as (select * from fa where VIN in (select key from pool)), pb as (select * from fb where vin in (select key from pool)),
+tg as (select VIN as key from pa where VIN in (select vin from pb) order by md5(concat_ws('|', VIN, '42|target')) limit 300)"""
+
+QUERIES = {
+    "link_mediated_schema": mediated_schema, "link_cleaned_rows": cleaned_rows, "link_keys": keys_of_sources,
+    "link_matching_rows": matching_rows, "link_common_rows": common_rows, "link_first_last": first_and_last,
+    "link_row_ids": row_ids, "link_true_pairs": true_pairs, "link_attribute_profile": profile_of_attributes,
+    "link_blocks_make": blocks_make, "link_blocks_year": blocks_year, "link_similarities": similarities,
+    "link_similar_names": similar_names, "link_rules_make": rule_links_make, "link_rules_year": rule_links_year,
+    "link_rules_year_window3": rule_links_years, "link_rule_evaluation": rule_evaluation,
+    "link_blocking_report": candidate_report, "link_pair_metrics": metrics_of_pairs,
+    "link_label_metrics": metrics_of_labels, "link_sample_keys": sampled_keys,
+    "link_sample_source": sampled_source, "link_shuffled": shuffled_lines, "link_split": split_of_pairs,
+    "link_false_pairs": false_pairs, "link_training_set": training_set, "link_pair_attributes": pair_attributes,
+    "link_serialized": serialized, "link_exported_pairs": exported_pairs, "link_sources_full": sources_full,
+    "link_sources_sampled": sources_sampled, "link_dropped_key": dropped_key, "link_parsed_lines": parsed_lines,
+    "link_learned_make": learned_links_make, "link_learned_year": learned_links_year,
+    "link_one_to_one": assigned_pairs, "link_text_matcher": text_matcher}
+
+PAIRS = f"{A_ID}, {B_ID}"
+ORACLE = {
+    "link_mediated_schema": RAW[:-2] + " " + _mediate_sql("ra", "rb"),
+    "link_cleaned_rows": f"with rb as ({B_SQL}) select upper(trim(vin)) as key, make_name, ord from rb where make_name is not null and year is not null and not contains(lower(make_name),'unknown')",
+    "link_keys": RAW + """x as (select distinct upper(trim(VIN)) as key from ra), y as (select distinct upper(trim(vin)) as key from rb)
+ select key, 'a' as side from x union all select key, 'b' from y union all select key, 'both' from x where key in (select key from y)""",
+    "link_matching_rows": RAW[:-2] + """ select upper(trim(vin)) as vin, make_name, year, ord from rb where make_name is not null and year is not null
+ and not contains(lower(make_name),'unknown') and upper(trim(vin)) in (select upper(trim(VIN)) from ra)""",
+    "link_common_rows": RAW[:-2] + """ select upper(trim(VIN)) as key, ord from ra where upper(trim(VIN)) in (select upper(trim(vin)) from rb)
+ union all select upper(trim(vin)), ord from rb where upper(trim(vin)) in (select upper(trim(VIN)) from ra)""",
+    "link_first_last": f"""with rb as ({B_SQL}) select upper(trim(vin)) as vin, min(ord) as ord, 'first' as which from rb group by 1
+ union all select upper(trim(vin)), max(ord), 'last' from rb group by 1""",
+    "link_row_ids": f"with ra as ({A_SQL}) select VIN, ord, row_number() over (order by VIN)-1 as row_id from ra",
+    "link_true_pairs": CLEAN + f"select {PAIRS} from gt",
+    "link_attribute_profile": _profile_sql(),
+    "link_blocks_make": CLEAN + """select make as block, n_a, n_b, n_a*n_b as n_pairs from (select make, count(*) as n_a from a group by make)
+ join (select make, count(*) as n_b from b group by make) using(make)""",
+    "link_blocks_year": CLEAN + f""", {RANKED} select sum(n)::bigint as n_pairs, 1 as "window" from (select count(*) as n from a join b using(year))
+ union all select count(*), 3 from a, b where {NEAR}""",
+    "link_similarities": CLEAN + f""", p as (select {PAIRS} from gt union select {A_ID}, {A_ID}+1 from a)
+ select {PAIRS}, round(jaro_winkler_similarity(a.model,b.model),6) as jw,
+ case when jaro_winkler_similarity(a.make,b.make)>=0.9 then 1.0::double else 0 end as make_sim,
+ round(1-levenshtein(a.model,b.model)/greatest(length(a.model),length(b.model)),6) as lev,
+ case when 1-levenshtein(a.year,b.year)/greatest(length(a.year),length(b.year))>=0.9 then 1.0::double else 0 end as year_sim,
+ round(case when abs(a.price_num-b.price_num)<=0.2 then 1 else pow(2,-pow((abs(a.price_num-b.price_num)-0.2)/0.2,2)) end,6) as gauss
+ from p join a using({A_ID}) join b using({B_ID})""",
+    "link_similar_names": CLEAN + """select x.model as a_value, y.model as b_value from (select distinct model from a) x, (select distinct model from b) y
+ where jaro_winkler_similarity(x.model,y.model)>=0.8""",
+    "link_rules_make": CLEAN + _links_sql("a.make=b.make").replace("s as score", "round(s,6) as score"),
+    "link_rules_year": CLEAN + _links_sql("a.year=b.year").replace("s as score", "round(s,6) as score"),
+    "link_rules_year_window3": CLEAN + f", {RANKED} " + _links_sql(NEAR).replace("s as score", "round(s,6) as score"),
+    "link_rule_evaluation": _evaluation_sql(),
+    "link_blocking_report": CLEAN + """select (select count(*) from a join b using(make)) as candidates, count(*) filter (a.make=b.make) as captured,
+ count(*) as true_pairs, round(count(*) filter (a.make=b.make)/count(*),6) as recall_ceiling
+ from gt join a using(orig_cl_id) join b using(orig_uc_id)""",
+    "link_pair_metrics": CLEAN + f""", p as (select distinct {PAIRS} from a join b using(model, year))
+ {_rates_sql(f"select (select count(*) from p join gt using({PAIRS})) as tp, (select count(*) from p anti join gt using({PAIRS})) as fp, (select count(*) from gt anti join p using({PAIRS})) as fn")}""",
+    "link_label_metrics": _rates_sql("""select count(*) filter (p and y) as tp, count(*) filter (p and not y) as fp, count(*) filter (not p and y) as fn,
+ count(*) filter (not p and not y) as tn from (select least(n_chars,4000)/4000>0.5 as p, quality=1 as y from labels join documents using(doc_id))""",
+        ", round((tp+tn)/(tp+fp+fn+tn),6) as accuracy"),
+    "link_sample_keys": f"with ra as ({A_SQL}) select key from (select distinct upper(trim(VIN)) as key from ra) order by md5(concat_ws('|', key, 's1')) limit 500",
+    "link_sample_source": "select doc_id, source from documents where source='src3' order by md5(concat_ws('|', doc_id, '7')) limit 5",
+    "link_shuffled": CLEAN + f"select {PAIRS} from gt",
+    "link_split": CLEAN + f"select * from {_split_sql()}",
+    "link_false_pairs": CLEAN + f", {_negatives_sql('(select count(*) from a)', '42')} select {PAIRS} from neg",
+    "link_training_set": CLEAN + f""", {_negatives_sql('50', '42')}, pos as (select {PAIRS} from gt order by {_md5(f'{A_ID}, {B_ID}', '42')} limit 50)
+ select {PAIRS}, 1 as label from pos union all select {PAIRS}, 0 from neg""",
+    "link_pair_attributes": CLEAN + f"""select {PAIRS}, a.make as a_make, a.model as a_model, a.year as a_year, b.make as b_make, b.model as b_model,
+ b.year as b_year from gt join a using({A_ID}) join b using({B_ID})""",
+    "link_serialized": CLEAN + f"select {A_ID}, {TEXT} as text from a",
+    "link_exported_pairs": _export_sql(),
+    "link_sources_full": RAW + FIRST[:-2] + """ select VIN as key, ord, 'a' as side from fa where VIN in (select vin from fb)
+ union all select vin, ord, 'b' from fb where vin in (select VIN from fa)""",
+    "link_sources_sampled": RAW + FIRST + SAMPLED + """ select VIN as key, ord, 'a' as side from pa where VIN in (select key from tg)
+ union all select vin, ord, 'b' from pb where vin in (select key from tg)""",
+    "link_dropped_key": CLEAN + "select * exclude(vin, description) from a",
+    "link_parsed_lines": f"""with l as (select string_split(value, chr(9)) as p from ({LINES_SQL}))
+ select p[1] as "left", array_to_string(p[2:-2], ' ') as "right", try_cast(trim(p[-1]) as int) as label from l where len(p)>=3"""}

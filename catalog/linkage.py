@@ -21,6 +21,7 @@ from corpuslink.operators.pairs import A_ID, B_ID
 from corpuslink.operators.profile import feature_analysis
 from corpuslink.operators.rules import rule_link, with_scores
 from corpuslink.operators.sampling import sample_keys, sample_rows, shuffle, split_pairs, with_row_ids
+from corpuslink.operators.scale import materialize
 from corpuslink.plans import records as plan
 from corpuslink.sources.pairs import parse_pair_lines
 
@@ -53,6 +54,12 @@ def _clean(spark, d) -> tuple[DataFrame, DataFrame]:
     return a.withColumnRenamed("ord", A_ID), b.withColumnRenamed("ord", B_ID)
 
 
+def _stored(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The cleaned sources written once, for queries that read them many times."""
+    a, b = _clean(spark, d)
+    return materialize(a), materialize(b)
+
+
 def _truth(spark, d) -> DataFrame:
     return PR.ground_truth(*_clean(spark, d))
 
@@ -125,7 +132,7 @@ def blocks_make(spark, d):
 
 def blocks_year(spark, d):
     """Sorted neighbourhood of windows 1 and 3, as counted blocks."""
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     parts = [block_sizes(*neighbourhood_keys(a, b, "year", w)).agg(
         F.sum("n_pairs").alias("n_pairs")).withColumn("window", F.lit(w)) for w in (1, 3)]
     return parts[0].unionByName(parts[1])
@@ -146,35 +153,35 @@ def similarities(spark, d):
 
 def similar_names(spark, d):
     """Similarity join of the distinct model names of both sources."""
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     side = lambda df: df.select(F.lit("all").alias("block"), F.col("model").alias("value"))
     return similar_values(side(a), side(b), "jaro_winkler", 0.8).select("a_value", "b_value")
 
 
 def rule_links_make(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return _round(rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make"), "score")
 
 
 def rule_links_year(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return _round(rule_link(*neighbourhood_keys(a, b, "year"), A_ID, B_ID, equal="year"), "score")
 
 
 def rule_links_years(spark, d):
     """Neighbourhood of window 3: years next to each other also block."""
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return _round(rule_link(*neighbourhood_keys(a, b, "year", 3), A_ID, B_ID), "score")
 
 
 def rule_evaluation(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     truth = split_pairs(PR.ground_truth(a, b), [A_ID, B_ID]).where("split = 'test'")
     return _round(plan.evaluate_rules(a, b, truth), *RATES, "recall_ceiling")
 
 
 def candidate_report(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return _round(blocking_report(*block_keys(a, b, "make"), PR.ground_truth(a, b), A_ID, B_ID), "recall_ceiling")
 
 
@@ -211,12 +218,12 @@ def split_of_pairs(spark, d):
 
 
 def false_pairs(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return PR.negative_pairs(a, b, a.count(), 42)
 
 
 def training_set(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return PR.training_pairs(PR.ground_truth(a, b), a, b)
 
 
@@ -231,7 +238,7 @@ def serialized(spark, d):
 
 
 def exported_pairs(spark, d):
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return plan.export_pairs(PR.ground_truth(a, b), a, b)
 
 
@@ -265,8 +272,8 @@ LINES_SQL = """select case doc_id % 4 when 0 then source || chr(9) || lang
 
 
 def _model(spark, d):
-    a, b = _clean(spark, d)
-    train = split_pairs(PR.ground_truth(a, b), [A_ID, B_ID]).where("split = 'train'")
+    a, b = _stored(spark, d)
+    train = materialize(split_pairs(PR.ground_truth(a, b), [A_ID, B_ID]).where("split = 'train'"))
     return a, b, train_linker(PR.training_pairs(train, a, b), a, b)
 
 
@@ -282,14 +289,14 @@ def learned_links_year(spark, d):
 
 def assigned_pairs(spark, d):
     """Rule links reduced to one-to-one, best score first."""
-    a, b = _clean(spark, d)
+    a, b = _stored(spark, d)
     return _round(one_to_one(rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make"), A_ID, B_ID), "score")
 
 
 def text_matcher(spark, d):
     """Matcher trained on the train split and measured on the test split."""
-    a, b = _clean(spark, d)
-    pairs = plan.export_pairs(PR.ground_truth(a, b), a, b)
+    a, b = _stored(spark, d)
+    pairs = materialize(plan.export_pairs(PR.ground_truth(a, b), a, b))
     model = train_text_matcher(pairs.where("split = 'train'"))
     scored = apply_text_matcher(model, pairs.where("split = 'test'"))
     return _round(label_metrics(scored, "match_probability"), *RATES, "accuracy")

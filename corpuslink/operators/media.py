@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.markup import html_elements
 from ..functions.text import FEED_A, FEED_B, clean_text, compose_caption, image_url
-from .scale import materialize
+from .scale import materialize, spread
 from .tfidf import MIN_PARAGRAPHS, THRESHOLD, cosine_pairs
 
 KEYS = ["source", "paper_id"]
@@ -20,7 +20,7 @@ UNKNOWN = "unknown"
 
 def elements(pages: DataFrame) -> DataFrame:
     """Elements of (source, paper_id, html) pages; every later step reads this."""
-    return html_elements(pages, KEYS)
+    return html_elements(spread(pages, *KEYS), KEYS)
 
 
 def paragraphs(els: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:

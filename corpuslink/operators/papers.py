@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.markup import article_parts, visible_text
 from ..functions.text import (FEED_A, FEED_B, article_id, article_url, author_names, clean_text,
                               html_url, last_segment, publication_date, safe_title)
+from .scale import spread
 
 # Smallest accepted page of either feed, in bytes.
 MIN_BYTES = {FEED_A: 2000, FEED_B: 4000}
@@ -47,7 +48,7 @@ def parse_article_xml(df: DataFrame, xml: str, id_col: str, pages: DataFrame | N
                       keep_malformed: bool = False) -> DataFrame:
     """Second feed: article XML to papers; broken XML is left out or kept with
     its `status`."""
-    parts = df.select(F.col(id_col).alias("article"), article_parts(F.col(xml)).alias("x"))
+    parts = spread(df, id_col).select(F.col(id_col).alias("article"), article_parts(F.col(xml)).alias("x"))
     if not keep_malformed:
         parts = parts.where("x.status = 'ok'")
     name = article_id(F.col("article"))

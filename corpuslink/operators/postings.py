@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.analysis import analyzed_length, explode_terms, get_analyzer
+from .scale import spread
 
 FieldSpec = str | tuple[str, Sequence[str]]
 
@@ -42,7 +43,7 @@ def read_index(spark: SparkSession, path: str, fields: Mapping[str, FieldSpec])
 
 def occurrences(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -> DataFrame:
     """(field, doc_id, dl, term, pos) of every field, one pass per field."""
-    parts = []
+    docs, parts = spread(docs, id_col), []
     for field, spec in fields.items():
         name, stops = _spec(spec)
         parts.append(explode_terms(docs, id_col, field, name, stops)
@@ -69,7 +70,7 @@ def field_stats(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -
                  analyzed_length(F.col(f), *_spec(s)).alias("dl"),
                  F.lit(get_analyzer(_spec(s)[0]).norms).alias("norms"))
         for f, s in fields.items()])).alias("x")
-    return (docs.select(lengths).select("x.*").where("dl > 0").groupBy("field", "norms")
+    return (spread(docs, id_col).select(lengths).select("x.*").where("dl > 0").groupBy("field", "norms")
             .agg(F.count(F.lit(1)).alias("n_docs"),
                  (F.sum("dl") / F.count(F.lit(1))).alias("avgdl")))
 

@@ -31,6 +31,16 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Repartition a frame that is read from fewer files than there are cores.
+
+    A handful of files may hold few row groups, which would leave cores idle in
+    heavy per-row work. Large inputs come in many files and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if 0 < len(df.inputFiles()) < cores else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared checkpoint folder of the session."""
     sc = df.sparkSession.sparkContext

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import explode_terms
 from ..functions.scoring import smooth_idf
+from .scale import spread
 
 THRESHOLD = 0.15
 MIN_PARAGRAPHS = 3
@@ -17,7 +18,7 @@ MIN_PARAGRAPHS = 3
 def term_counts(texts: DataFrame, group: str, unit: str, text: str = "text",
                 analyzer: str = "tfidf_en", stop_words: Iterable[str] | None = None) -> DataFrame:
     """(group, unit, term, tf) of every text."""
-    keyed = texts.withColumn("__key", F.struct(group, unit))
+    keyed = spread(texts, group, unit).withColumn("__key", F.struct(group, unit))
     return (explode_terms(keyed, "__key", text, analyzer, stop_words)
             .groupBy(F.col(f"doc_id.{group}").alias(group), F.col(f"doc_id.{unit}").alias(unit), "term")
             .agg(F.count(F.lit(1)).alias("tf")))

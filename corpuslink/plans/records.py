@@ -17,6 +17,7 @@ from ..operators.metrics import blocking_report, pair_metrics, profile_metrics
 from ..operators.pairs import A_ID, B_ID, labelled_pairs, training_pairs
 from ..operators.rules import ATTRIBUTES, rule_profiles
 from ..operators.sampling import sample_keys, split_pairs
+from ..operators.scale import materialize
 from ..sources.pairs import write_pair_lines
 
 POOL, TARGET = 15_000, 2_000
@@ -57,7 +58,7 @@ def export_pairs(truth: DataFrame, a: DataFrame, b: DataFrame, seed: int | str =
 
     With a path each split is also written as lines under its own folder.
     """
-    split = split_pairs(truth, [A_ID, B_ID], seed)
+    split = materialize(split_pairs(truth, [A_ID, B_ID], seed))
     parts = []
     for name in ("train", "val", "test"):
         part = labelled_pairs(split.where(F.col("split") == name), a, b, f"{seed}|{name}")

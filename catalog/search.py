@@ -11,7 +11,7 @@ from corpuslink.functions.scoring import quantize_length
 from corpuslink.functions.text import highlight
 from corpuslink.operators import postings as P
 from corpuslink.operators import search as S
-from corpuslink.operators.scale import literal_rows
+from corpuslink.operators.scale import literal_rows, spread
 from corpuslink.plans import search as plan
 from corpuslink.sources.corpus import corpus_from_table
 
@@ -188,7 +188,7 @@ def query_kinds(spark, d):
 
 
 def snippets(spark, d):
-    return _docs(spark, d).select("doc_id", highlight(
+    return spread(_docs(spark, d), "doc_id").select("doc_id", highlight(
         F.col("contenuto"), F.array(F.lit("that"), F.lit("queque"))).alias("snippet"))
 
 

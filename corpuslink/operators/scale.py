@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -41,13 +42,30 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(cores, *columns) if 0 < len(df.inputFiles()) < cores else df
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors see: `spark.checkpoint.dir` of the session.
+
+    Only a local session that names none gets a temporary folder.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="corpuslink-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder of the session."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    """Write the frame once to the shared folder and read it back.
+
+    This cuts the lineage and survives lost executors; the new frame also has
+    exact sizes, which the optimizer uses to choose joins.
+    """
+    path = f"{shared_folder(df.sparkSession)}/corpuslink/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
@@ -129,7 +147,7 @@ def ordered_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
                 weight: str | None = None) -> DataFrame:
     """0-based rank in a given order, over range partitions.
 
-    The range-partitioned rows are checkpointed, so that the partition of each
+    The range-partitioned rows are written out, so that the partition of each
     row is fixed before partitions are counted.
     """
     p = f"__{name}_partition"

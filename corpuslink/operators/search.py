@@ -210,17 +210,17 @@ def bool_query(index: TermIndex, clauses: DataFrame) -> DataFrame:
     up. Queries without a required group need any match.
     """
     clauses, known = localize(clauses)
+    hits = _clause_hits(index, clauses, known)
+    if known is not None and len({r["query_id"] for r in known}) == len(known):
+        return hits.select("query_id", "doc_id", "score")  # one clause each: nothing to combine
     needed = clauses.groupBy("query_id").agg(
         F.count_distinct(F.when(F.col("must"), F.col("group_id"))).alias("needed"))
-    required = clauses.where("must").select(*CLAUSE, F.lit(True).alias("required"))
+    required = clauses.where("must").select(*CLAUSE, F.col("group_id").alias("required"))
     if known is not None:
         needed, required = F.broadcast(needed), F.broadcast(required)
-    return (_clause_hits(index, clauses, known)
-            .join(required, CLAUSE, "left")
-            .groupBy("query_id", "doc_id", "group_id")
-            .agg(F.sum("score").alias("score"), F.max("required").alias("required"))
+    return (hits.join(required, CLAUSE, "left")
             .groupBy("query_id", "doc_id")
-            .agg(F.sum("score").alias("score"), F.count("required").alias("met"))
+            .agg(F.sum("score").alias("score"), F.size(F.collect_set("required")).alias("met"))
             .join(needed, "query_id")
             .where(F.col("met") == F.col("needed"))
             .select("query_id", "doc_id", "score"))

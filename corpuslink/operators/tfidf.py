@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.analysis import explode_terms
 from ..functions.scoring import smooth_idf
-from .scale import spread
+from .scale import materialize, spread
 
 THRESHOLD = 0.15
 MIN_PARAGRAPHS = 3
@@ -30,13 +30,14 @@ def vocabulary(counts: DataFrame, group: str, sizes: DataFrame) -> DataFrame:
     return df.join(sizes, group).select(group, "term", smooth_idf(F.col("n"), F.col("df")).alias("idf"))
 
 
-def weights(counts: DataFrame, vocab: DataFrame, group: str, unit: str) -> DataFrame:
-    """(group, unit, term, weight) with unit length 1; unknown terms are dropped."""
-    raw = counts.join(vocab, [group, "term"]).select(
-        group, unit, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = raw.groupBy(group, unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, [group, unit]).select(
-        group, unit, "term", (F.col("w") / F.col("norm")).alias("weight"))
+def weights(counts: DataFrame, vocab: DataFrame, group: str, unit: Sequence[str]) -> DataFrame:
+    """(group, unit, term, weight) with unit length 1; unknown terms are dropped.
+
+    The length is summed over one text at a time, which is never a large window.
+    """
+    raw = counts.join(vocab, [group, "term"]).withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(group, *unit)))
+    return raw.select(group, *unit, "term", (F.col("w") / norm).alias("weight"))
 
 
 def tfidf(texts: DataFrame, group: str, unit: str, text: str = "text",
@@ -45,7 +46,7 @@ def tfidf(texts: DataFrame, group: str, unit: str, text: str = "text",
     """Normalised weights of all texts, per group."""
     sizes = texts.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_texts)
     counts = term_counts(texts, group, unit, text, analyzer, stop_words)
-    return weights(counts, vocabulary(counts, group, sizes), group, unit)
+    return weights(counts, vocabulary(counts, group, sizes), group, [unit])
 
 
 def cosine_pairs(objects: DataFrame, paragraphs: DataFrame, group: str, object_id: str,
@@ -58,15 +59,20 @@ def cosine_pairs(objects: DataFrame, paragraphs: DataFrame, group: str, object_i
     so a large paper is spread over its terms, and partly added before the
     shuffle by object and paragraph.
     """
+    # Both kinds of text go through one pass; `unit` is a paragraph or an object.
+    para = paragraphs.select(group, F.struct(F.col(para_id).alias("p"), F.lit(None).cast(
+        objects.schema[object_id].dataType).alias("o")).alias("unit"), "text")
+    obj = objects.select(group, F.struct(F.lit(None).cast(
+        paragraphs.schema[para_id].dataType).alias("p"), F.col(object_id).alias("o")).alias("unit"), "text")
     sizes = paragraphs.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(
         F.col("n") >= min_paragraphs)
-    counts = term_counts(paragraphs, group, para_id, "text", analyzer, stop_words)
-    vocab = vocabulary(counts, group, sizes)
-    wp = weights(counts, vocab, group, para_id)
-    wq = weights(term_counts(objects, group, object_id, "text", analyzer, stop_words),
-                 vocab, group, object_id)
-    products = wq.select(group, "term", object_id, F.col("weight").alias("q")).join(
-        wp.select(group, "term", para_id, F.col("weight").alias("p")), [group, "term"])
-    return (products.groupBy(group, object_id, para_id)
+    counts = term_counts(para.unionByName(obj), group, "unit", "text", analyzer, stop_words)
+    vocab = vocabulary(counts.where("unit.o is null"), group, sizes)
+    both = materialize(weights(counts, vocab, group, ["unit"]))
+    wq = both.where("unit.o is not null").select(
+        group, "term", F.col("unit.o").alias(object_id), F.col("weight").alias("q"))
+    wp = both.where("unit.o is null").select(
+        group, "term", F.col("unit.p").alias(para_id), F.col("weight").alias("p"))
+    return (wq.join(wp, [group, "term"]).groupBy(group, object_id, para_id)
             .agg(F.sum(F.col("q") * F.col("p")).alias("cosine"))
             .where(F.col("cosine") > threshold))

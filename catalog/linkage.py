@@ -21,7 +21,7 @@ from corpuslink.operators.pairs import A_ID, B_ID
 from corpuslink.operators.profile import feature_analysis
 from corpuslink.operators.rules import rule_link, with_scores
 from corpuslink.operators.sampling import sample_keys, sample_rows, shuffle, split_pairs, with_row_ids
-from corpuslink.operators.scale import materialize
+from corpuslink.operators.scale import materialize, materialize_all
 from corpuslink.plans import records as plan
 from corpuslink.sources.pairs import parse_pair_lines
 
@@ -56,8 +56,8 @@ def _clean(spark, d) -> tuple[DataFrame, DataFrame]:
 
 def _stored(spark, d) -> tuple[DataFrame, DataFrame]:
     """The cleaned sources written once, for queries that read them many times."""
-    a, b = _clean(spark, d)
-    return materialize(a), materialize(b)
+    a, b = materialize_all(*_clean(spark, d))
+    return a, b
 
 
 def _truth(spark, d) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,7 +40,8 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     heavy per-row work. Large inputs come in many files and are left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if 0 < len(df.inputFiles()) < cores else df
+    files = len(df._jdf.inputFiles())  # counted in the JVM; the names stay there
+    return df.repartition(cores, *columns) if 0 < files < cores else df
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -68,6 +70,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_all(*frames: DataFrame) -> list[DataFrame]:
+    """Materialise independent frames at the same time."""
+    if not frames:
+        return []
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(materialize, frames))
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """A small driver-side list as a local relation."""
     if isinstance(schema, str):

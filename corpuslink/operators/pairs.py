@@ -31,7 +31,7 @@ def negative_pairs(a: DataFrame, b: DataFrame, n: int, seed: int | str, key: str
     """
     na, nb = a.count(), b.count()
     if not na or not nb or n <= 0:
-        return a.select(a_id).join(b.select(b_id), F.lit(False))
+        return ground_truth(a, b, key, a_id, b_id).where(F.lit(False))
     most = b.groupBy(key).count().agg(F.max("count")).first()[0] if exclude_true else 0
     shifts = min(-(-n // na) + most, nb)
     left = shuffled_rank(a.select(a_id, F.col(key).alias("key_a")), [a_id], f"{seed}|left", "i")

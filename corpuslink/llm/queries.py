@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import packing, token_counts
+from corpuslink.llm import language, packing, simhash, token_counts
 
 #: Files of public tokenizers; they stay where they are installed.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -32,8 +32,22 @@ def token_count(spark: SparkSession, d: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def simhash_components(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+def language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    found = language.identify_languages(docs, language.fit_languages(docs))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred",
+                        "score", "accepted")
+
+
 QUERIES = {
+    "op3_simhash_near_dedup": simhash_components,
     "op6_best_fit_packing": best_fit_packing,
+    "op7_language_id": language_id,
     "op9_token_counts": token_count,
 }
 

@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import language, packing, simhash, token_counts
+from corpuslink.llm import contamination, language, line_templates, packing, simhash, token_counts
 
 #: Files of public tokenizers; they stay where they are installed.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -44,11 +44,68 @@ def language_id(spark: SparkSession, d: str) -> DataFrame:
                         "score", "accepted")
 
 
+def line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_templates.drop_recurring_lines(table(spark, d, "documents"))
+
+
+def decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.contained_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {
+    "op1_line_dedup": line_dedup,
+    "op10_benchmark_decontamination": decontamination,
     "op3_simhash_near_dedup": simhash_components,
     "op6_best_fit_packing": best_fit_packing,
     "op7_language_id": language_id,
     "op9_token_counts": token_count,
 }
 
-ORACLE: dict[str, str] = {}
+LINES_SQL = r"""with l as (select doc_id, length(text) as total,
+    generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos, unnest(string_split(text, chr(10))) as line
+  from documents),
+p as (select *, regexp_replace(trim(line, E' \t\x0b\f\r'), '[ \t\x0b\f\r]+', ' ', 'g') as plain from l),
+t as (select doc_id, total, pos, length(line) as chars,
+    string_split(regexp_replace(plain, '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') as toks from p),
+f as (select *, len(toks) as n, [len(toks)::varchar, toks[1], toks[2], toks[3]] as leaf from t where len(toks) >= 3
+  qualify count(*) over (partition by leaf) >= 10),
+v as (select leaf, n, p, tok, count(*) as c from (select leaf, n, unnest(toks) as tok,
+    generate_subscripts(toks, 1) as p from f) group by all),
+w as (select leaf, n, list(p) as fields from (select leaf, n, p from v group by all having max(c) * 2 < sum(c))
+  group by all having 10 * (n - count(*)) >= 7 * n),
+m as (select f.doc_id, total, pos, chars, array_to_string(case when fields is null then toks else
+    list_transform(toks, lambda x, i: case when list_contains(fields, i) then '<*>' else x end) end, ' ')
+    || ' ' || f.n as template from f left join w on f.leaf = w.leaf),
+a as (select template from m group by template having count(distinct doc_id) >= 10),
+h as (select doc_id from m semi join a using (template) group by doc_id, total having sum(chars) <= total * 0.5),
+b as (select template from m semi join h using (doc_id) group by template having count(distinct doc_id) >= 10),
+d as (select doc_id, list(pos) as gone from m semi join b using (template) group by doc_id)
+select doc_id, case when gone is null then text else array_to_string(list_transform(list_filter(
+    list_zip(string_split(text, chr(10)), range(len(string_split(text, chr(10))))),
+    lambda x: not list_contains(gone, x[2])), lambda x: x[1]), chr(10)) end as text,
+  coalesce(len(string_split(text, chr(10))), 0)::int as n_lines, coalesce(len(gone), 0)::int as n_dropped
+from documents left join d using (doc_id)"""
+
+
+def _words_sql(text: str) -> str:
+    plain = rf"trim(regexp_replace(lower({text}), '[^\p{{L}}\p{{N}}\p{{M}}]+', ' ', 'g'))"
+    return f"list_filter(string_split({plain}, ' '), lambda x: x <> '')"
+
+
+def _shingles_sql(source: str, ident: str) -> str:
+    return f"""(select distinct {ident}, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3),
+  lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] end) as s
+  from (select {ident}, {_words_sql('text')} as w from {source}))"""
+
+
+CONTAINED_SQL = f"""with d as {_shingles_sql('documents', 'doc_id')}, b as {_shingles_sql('benchmark', 'item_id')},
+n as (select item_id, count(*) as n_item from b group by item_id)
+select doc_id, item_id, count(*) as n_shared, any_value(n_item) as n_item,
+  count(*) / any_value(n_item) as containment
+from d join b using (s) join n using (item_id) group by doc_id, item_id
+having 5 * count(*) >= 4 * any_value(n_item)"""
+
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": LINES_SQL,
+    "op10_benchmark_decontamination": CONTAINED_SQL,
+}

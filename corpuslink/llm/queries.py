@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import contamination, language, line_templates, packing, simhash, token_counts
+from corpuslink.llm import contamination, language, line_templates, packing, secrets, simhash, token_counts, topk
 
 #: Files of public tokenizers; they stay where they are installed.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -52,8 +52,28 @@ def decontamination(spark: SparkSession, d: str) -> DataFrame:
     return contamination.contained_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def _span_text(spans: str) -> Column:
+    kinds = F.array(*map(F.lit, secrets.KINDS))
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, d, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
+              for k, name in enumerate(secrets.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(_span_text("base"), 256).alias("base_sha256"),
+                        _span_text("spans").alias("spans"))
+
+
+def exact_top_k(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_products(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup,
+    "op2_secret_scan": secret_scan,
+    "op8_exact_top_k": exact_top_k,
     "op10_benchmark_decontamination": decontamination,
     "op3_simhash_near_dedup": simhash_components,
     "op6_best_fit_packing": best_fit_packing,
@@ -105,7 +125,16 @@ select doc_id, item_id, count(*) as n_shared, any_value(n_item) as n_item,
 from d join b using (s) join n using (item_id) group by doc_id, item_id
 having 5 * count(*) >= 4 * any_value(n_item)"""
 
+TOP_SQL = """with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.w::double[], c.w::double[])::bigint as score
+  from v q, v c where q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5"""
+
 ORACLE: dict[str, str] = {
+    "op8_exact_top_k": TOP_SQL,
     "op1_line_dedup": LINES_SQL,
     "op10_benchmark_decontamination": CONTAINED_SQL,
 }

@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import contamination, language, line_templates, packing, secrets, simhash, token_counts, topk
+from corpuslink.llm import contamination, language, line_templates, packing, recompression, secrets, simhash, token_counts, topk
 
 #: Files of public tokenizers; they stay where they are installed.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -70,7 +70,13 @@ def exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_products(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = recompression.drop_repeats(table(spark, d, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op5_substring_dedup": substring_dedup,
     "op1_line_dedup": line_dedup,
     "op2_secret_scan": secret_scan,
     "op8_exact_top_k": exact_top_k,

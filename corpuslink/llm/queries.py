@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import contamination, language, line_templates, packing, recompression, secrets, simhash, token_counts, topk
+from corpuslink.llm import contamination, html_blocks, language, line_templates, packing, recompression, secrets, simhash, token_counts, topk
 
 #: Files of public tokenizers; they stay where they are installed.
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -75,7 +75,13 @@ def substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    return html_blocks.main_text(pages, html_blocks.fit_labeller(pages))
+
+
 QUERIES = {
+    "op4_html_extraction": html_extraction,
     "op5_substring_dedup": substring_dedup,
     "op1_line_dedup": line_dedup,
     "op2_secret_scan": secret_scan,

@@ -166,16 +166,20 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def identify_languages(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+                       text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Language of every whole text: doc_id, lang_pred, score (0 to 1) and accepted.
 
     Only the text is looked at. A null text or one without any letter is `und` with
     score 0 and not accepted; so is every text when there is no model. Other texts
     get a learned language; those whose calibrated probability is below the model's
-    threshold are not accepted. One row per input row, repeated rows included.
+    threshold are not accepted. One row per input row, repeated rows included; columns
+    `keep` come along, but those that are named like results.
     """
+    keep = tuple(c for c in keep if c not in ("doc_id", "lang_pred", "score", "accepted"))
+    carried = [F.col(f"`{c}`").alias(f"keep_{k}") for k, c in enumerate(keep)]
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-                       F.coalesce(F.col(f"`{text_col}`").rlike("\\p{L}"), F.lit(False)).alias("lettered"))
+                       F.coalesce(F.col(f"`{text_col}`").rlike("\\p{L}"), F.lit(False)).alias("lettered"), *carried)
+    kinds = dict(docs.dtypes)
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
@@ -186,9 +190,10 @@ def identify_languages(docs: DataFrame, model: Model | None, id_col: str = "doc_
             score = np.where(known, score, 0.0)
             accepted = known & (score >= (model.threshold if model else 1))
             return {"doc_id": batch.column("doc_id"), "lang_pred": langs, "score": score,
-                    "accepted": accepted}
+                    "accepted": accepted, **{f"keep_{k}": batch.column(f"keep_{k}") for k in range(len(keep))}}
 
         return step
 
-    kind = dict(docs.dtypes)[id_col]
-    return map_batches(rows, make, f"doc_id {kind}, lang_pred string, score double, accepted boolean")
+    kept = "".join(f", keep_{k} {kinds[c]}" for k, c in enumerate(keep))
+    out = map_batches(rows, make, f"doc_id {kinds[id_col]}, lang_pred string, score double, accepted boolean{kept}")
+    return out.withColumnsRenamed({f"keep_{k}": c for k, c in enumerate(keep)})

@@ -49,9 +49,12 @@ def bm25_sql(tf: str, df: str, n: str, dl: str, avgdl: str) -> str:
 
 
 def terms_sql(source: str = "documents", ident: str = "doc_id", text: str = "text",
-              name: str = "tok") -> str:
+              name: str = "tok", stops: tuple[str, ...] = ()) -> str:
     """CTEs: <name>(doc_id, term, pos) and the length and statistics tables."""
-    return f"""{name}_l as (select {ident} as doc_id, regexp_extract_all(lower({text}), {STANDARD}) as l from {source}),
+    words = f"regexp_extract_all(lower({text}), {STANDARD})"
+    if stops:
+        words = f"list_filter({words}, lambda x: not list_contains([{', '.join(map(quote, stops))}], x))"
+    return f"""{name}_l as (select {ident} as doc_id, {words} as l from {source}),
 {name} as (select doc_id, unnest(l) as term, generate_subscripts(l,1)-1 as pos from {name}_l),
 {name}_dl as (select doc_id, len(l) as dl from {name}_l where len(l)>0),
 {name}_st as (select count(*) as n, sum(dl)/count(*) as avgdl from {name}_dl),

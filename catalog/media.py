@@ -157,7 +157,7 @@ def _feed(spark, d) -> DataFrame:
     return _lines(spark, d).select(
         F.concat(F.lit("http://example.org/abs/"), "doc_id", F.lit("v1")).alias("entry_id"),
         F.col("first").alias("title"), F.array("lang").alias("authors"),
-        F.lit("2024-01-02").cast("timestamp").alias("published"), F.substring("text", 1, 200).alias("summary"))
+        F.lit("2024-01-02").cast("timestamp").alias("published"), F.col("text").alias("summary"))
 
 
 def feed_papers(spark, d):
@@ -171,12 +171,12 @@ def feed_papers(spark, d):
 # -- corpora ---------------------------------------------------------------
 
 PAPER_SQL = """select case when doc_id % 2 = 0 then 'arxiv' else 'pubmed' end as source, cast(doc_id as varchar(20)) as document_id,
- substring(text, 1, 40) as title, lang as authors, substring(text, 1, 300) as abstract, text as full_text, 'u/' || doc_id as pdf_url from documents"""
+ split_part(text, chr(10), 1) as title, lang as authors, text as abstract, text as full_text, 'u/' || doc_id as pdf_url from documents"""
 CHILD_SQL = """select case when doc_id % 2 = 0 then 'arxiv' else 'pubmed' end as source,
- case when doc_id % 7 = 0 then 'missing' else cast(doc_id as varchar(20)) end as paper_id, 'x' || doc_id as object_id,
- substring(text, 41, 60) as caption, substring(text, 101, 80) as body_content, substring(text, 181, 100) as mention,
- substring(text, 281, 300) as context from documents where {keep}"""
-FIGURES, TABLES_ = CHILD_SQL.format(keep="doc_id % 3 <> 0"), CHILD_SQL.format(keep="doc_id % 4 = 0")
+ case when doc_id % 7 = 0 then 'missing' else cast(doc_id as varchar(20)) end as paper_id, '{kind}' || doc_id as object_id,
+ split_part(text, chr(10), 1) as caption, lang || ' ' || source as body_content, text as mention,
+ replace(text, chr(10), ' ') as context from documents"""
+FIGURES, TABLES_ = CHILD_SQL.format(kind="f"), CHILD_SQL.format(kind="t")
 
 
 def _corpus(spark, d) -> plan.Corpus:
@@ -221,14 +221,15 @@ def built_corpus(spark, d):
         pages_of(spark, d), stop_words=STOPS))
 
 
-CORPUS_QUERIES = [(1, "the of"), (2, "les"), (3, "that with")]
+CORPUS_QUERIES = [(1, "the of"), (2, "les"), (3, "that with"), (4, "100"), (5, "t200"), (6, "de la")]
+CORPUS_STOPS = ("of", "with", "la")
 
 
 def search_everything(spark, d):
     """Boosted search over papers, tables and figures, merged by score."""
     q = literal_rows(spark, CORPUS_QUERIES, "query_id int, query string")
-    return corpus_search(q, _corpus(spark, d), "all", 10, analyzer="standard").select(
-        "query_id", "kind", "rank", "score", "doc_id", "title", "merged_rank")
+    return corpus_search(q, _corpus(spark, d), "all", 10, analyzer=("standard", CORPUS_STOPS)).select(
+        "query_id", "kind", "rank", "score", "doc_id", "title", "primary_text", "secondary_text", "merged_rank")
 
 
 # -- SQL -------------------------------------------------------------------
@@ -303,29 +304,42 @@ def _page_sql() -> tuple[str, str]:
 
 
 def _search_sql() -> str:
-    from .search import _values
+    from .search import field_scores_sql, snippet_sql
 
-    words = _values([(q, i, w) for q, t in CORPUS_QUERIES for i, w in enumerate(t.split())])
+    words = [(q, w) for q, t in CORPUS_QUERIES for w in t.split()]
+    kept = [(q, w) for q, w in words if w not in CORPUS_STOPS]
+    fields = {"docs": ("pp", "document_id", {"title": 3, "abstract": 2, "full_text": 1, "authors": 1}),
+              "tables": ("tb", "object_id", {"caption": 3, "body_content": 2, "mention": 1, "context": 1}),
+              "figures": ("fg", "object_id", {"caption": 3, "mention": 1, "context": 1})}
     ctes, hits = [], []
-    fields = {"docs": ("pp", {"title": 3, "abstract": 2, "full_text": 1, "authors": 1}),
-              "tables": ("tb", {"caption": 3, "body_content": 2, "mention": 1, "context": 1}),
-              "figures": ("fg", {"caption": 3, "mention": 1, "context": 1})}
-    for kind, (src, boosts) in fields.items():
+    for kind, (src, ident, boosts) in fields.items():
+        parts = []
         for f, boost in boosts.items():
-            ctes.append(terms_sql(src, "key", f, f"{src}_{f}"))
-            hits.append(f"select '{kind}' as kind, query_id, wid, doc_id, {boost}*score as s from {src}_{f}_sc join w using(term)")
+            plain = f == "authors"
+            ctes.append(terms_sql(src, "key", f, f"{src}_{f}", () if plain else CORPUS_STOPS))
+            parts.append((f"{src}_{f}_sc", boost, words if plain else kept))
+        ctes.append(f"""{src}_id as (select key as doc_id, {ident} as term, ln(1+((select count(*) from {src})-df+0.5)/(df+0.5)) as score
+ from {src} join (select {ident}, count(*) as df from {src} group by {ident}) using ({ident}))""")
+        parts.append((f"{src}_id", 1, CORPUS_QUERIES))
+        hits.append(f"select '{kind}' as kind, * from ({field_scores_sql(parts)})")
     key = lambda sql: f"(select paper_id || '_' || object_id as key, * from ({sql}))"
-    title = lambda c: f"case when {c}<>'' then replace(substring(trim({c}),1,100),chr(10),' ') else '' end"
+    title = lambda c: f"replace(substring(trim({c}),1,100),chr(10),' ') || case when length(trim({c}))>100 then '...' else '' end"
+    media = lambda kind, src: f"select '{kind}', key, case when caption<>'' then {title('caption')} else 'Oggetto: ' || object_id end, caption, context from {src}"
+    terms = " ".join(f"when {q} then [{', '.join(quote(w) for i, w in kept if i == q)}]::varchar[]" for q, _ in CORPUS_QUERIES)
+    shown = lambda text, n: snippet_sql(f"(select query_id, kind, doc_id, {text} as text, terms from st)",
+                                        "query_id, kind, doc_id", "terms", n)
     return f"""with pp as (select document_id as key, * from ({PAPER_SQL})), tb as {key(TABLES_)}, fg as {key(FIGURES)},
-w as (select * from (values {words}) v(query_id, wid, term)), nw as (select query_id, count(*) as n from w group by query_id),
-{', '.join(ctes)}, m as (select kind, query_id, wid, doc_id, max(s) as s from ({' union all '.join(hits)}) group by all),
-h as (select kind, query_id, doc_id, round(sum(s),4) as score from m join nw using(query_id) group by kind, query_id, doc_id, n having count(*)=n),
+{', '.join(ctes)}, h as (select kind, query_id, doc_id, round(score,4) as score from ({' union all '.join(hits)})),
 r as (select *, row_number() over (partition by kind, query_id order by score desc, doc_id)::int as rank from h qualify rank<=10),
-tt as (select 'docs' as kind, key as doc_id, case when title<>'' then title else 'Documento sconosciuto' end as title from pp
- union all select 'tables', key, case when caption<>'' then {title('caption')} else 'Oggetto: ' || object_id end from tb
- union all select 'figures', key, case when caption<>'' then {title('caption')} else 'Oggetto: ' || object_id end from fg)
-select query_id, kind, rank, score, doc_id, title, row_number() over (partition by query_id order by score desc, kind, doc_id)::int as merged_rank
-from r join tt using(kind, doc_id)"""
+tt(kind, doc_id, title, first_text, second_text) as (select 'docs', key, case when title<>'' then title else 'Documento sconosciuto' end,
+ abstract, full_text from pp union all {media('tables', 'tb')} union all {media('figures', 'fg')}),
+st as (select *, case query_id {terms} end as terms from r join tt using(kind, doc_id)),
+p1 as (select query_id, kind, doc_id, snippet as primary_text from {shown('first_text', 300)}),
+p2 as (select query_id, kind, doc_id, case when kind='docs' and not starts_with(snippet, '... ') then '' else snippet end as secondary_text
+ from {shown('second_text', 300)})
+select query_id, kind, rank, score, doc_id, title, primary_text, secondary_text,
+ row_number() over (partition by query_id order by score desc, kind, doc_id)::int as merged_rank
+from st join p1 using(query_id, kind, doc_id) join p2 using(query_id, kind, doc_id)"""
 
 
 QUERIES = {
@@ -358,7 +372,7 @@ ORACLE = {
     "papers_xml_text": f"""select doc_id as article, case when doc_id%50=0 then 'none' else {XML_TITLE} end as title
  from (select *, split_part(text, chr(10), 1) as f from documents)""",
     "papers_from_feed": f"""select doc_id || 'v1' as document_id, split_part(text, chr(10), 1) as title,
- case when saved then {clean('text')} else substring(text,1,200) end as full_text, 'http://example.org/html/' || doc_id || 'v1' as pdf_url,
+ case when saved then {clean('text')} else text end as full_text, 'http://example.org/html/' || doc_id || 'v1' as pdf_url,
  saved as local_file_saved, case when saved then doc_id || 'v1.html' end as local_filename from (select *, doc_id%3=0 and
  strlen(replace(replace(replace(text,'&','&amp;'),'<','&lt;'),'>','&gt;')) + {len('<html><head><title>t</title></head><body><p></p></body></html>')} > 2000 as saved from documents)""",
     "papers_union": f"""select 'arxiv' as source, doc_id || 'v1' as document_id, split_part(text, chr(10), 1) as title from documents
@@ -369,7 +383,7 @@ ORACLE = {
  select document_id, coalesce(f.n,0) as n_figures, coalesce(t.n,0) as n_tables, substring(abstract,1,100) || '...' as abstract_preview,
  {clean('substring(full_text,1,200)')} || '...' as text_preview from p left join f on f.paper_id=document_id left join t on t.paper_id=document_id""",
     "corpus_media_report": f"""with p as ({PAPER_SQL}), o as (select 'figure' as object, * from ({FIGURES}) union all select 'table', * from ({TABLES_}))
- select object, paper_id, object_id, document_id is not null as parent_found, substring(title,1,80) || '...' as parent_title, 1 as n_mentions, 1 as n_context,
+ select object, paper_id, object_id, document_id is not null as parent_found, replace(substring(title,1,80),chr(10),' ') || '...' as parent_title, 1 as n_mentions, 1 as n_context,
  substring({clean('caption')},1,200) || '...' as caption_preview, substring({clean('context')},1,150) || '...' as context_preview from o left join p on document_id=paper_id""",
     "corpus_orphans": f"select object_id as figure_id, paper_id from ({FIGURES}) where paper_id='missing'",
     "corpus_build": f"""with o as (select 'papers' as object, 'arxiv' as source, count(*) as n from documents

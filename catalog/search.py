@@ -66,13 +66,18 @@ def wildcard(spark, d):
     docs = _docs(spark, d)
     return (S.wildcard_query(docs, "nome", "*c1*").select("doc_id", "score", F.lit("contains").alias("kind"))
             .unionByName(S.wildcard_query(docs, "nome", "src2*").select(
-                "doc_id", "score", F.lit("prefix").alias("kind"))))
+                "doc_id", "score", F.lit("prefix").alias("kind")))
+            .unionByName(S.wildcard_query(docs, "nome", "s?c?*").select(
+                "doc_id", "score", F.lit("letters").alias("kind"))))
 
 
 def wildcard_terms(spark, d):
     clauses = _rows(spark, [(1, 0, 0, True, "wildcard", "contenuto", "thr*"),
                             (2, 0, 0, True, "wildcard", "nome", "*c1*"),
-                            (3, 0, 0, True, "wildcard", "contenuto", "q*e*u")], CLAUSES)
+                            (3, 0, 0, True, "wildcard", "contenuto", "q*e*u"),
+                            (4, 0, 0, True, "wildcard", "contenuto", "*"), (5, 0, 0, True, "wildcard", "contenuto", "?x*"),
+                            (6, 0, 0, True, "wildcard", "contenuto", "*a*"), (7, 0, 0, True, "wildcard", "contenuto", "??"),
+                            (8, 0, 0, True, "wildcard", "nome", "src?"), (9, 0, 0, True, "wildcard", "nome", "*")], CLAUSES)
     return S.hit_counts(S.bool_query(_index(spark, d), clauses))
 
 
@@ -99,10 +104,13 @@ def batch_search(spark, d):
     return plan.search(_rows(spark, STRINGS), _docs(spark, d), "doc_id", FIELDS, "any_field", 5)
 
 
+BOOSTED = [(1, "the of"), (2, "that src3"), (3, "les la"), (4, "src3"), (5, "of the of")]
+
+
 def boosted(spark, d):
     docs = _docs(spark, d).withColumn("titolo", F.substring_index("contenuto", "\n", 1))
     index = P.build_index(docs, "doc_id", {"titolo": "standard", "contenuto": "standard", "nome": "keyword"})
-    hits = S.boosted_search(index, _rows(spark, [(1, "the of"), (2, "that src3"), (3, "les la")]),
+    hits = S.boosted_search(index, _rows(spark, BOOSTED),
                             {"titolo": 3, "contenuto": 2, "nome": 1})
     return _ranked(hits)
 
@@ -170,8 +178,8 @@ def _strings(spark, d) -> DataFrame:
 
 
 STRINGS_SQL = """select doc_id as query_id, case doc_id % 8
- when 0 then 'nome:' || source || '.txt' when 1 then 'contenuto:"' || substring(text, 1, 12) || '"'
- when 2 then 'contenuto: ' || substring(text, 1, 8) when 3 then 'testo ' || lang
+ when 0 then 'nome:' || source || '.txt' when 1 then 'contenuto:"' || replace(split_part(text, chr(10), 1), '"', '') || '"'
+ when 2 then 'contenuto: ' || split_part(text, chr(10), 1) when 3 then 'testo ' || lang
  when 4 then 'altro:' || lang when 5 then 'nome ' || source || '.txt'
  when 6 then 'contenuto "' || lang || ' ' || source || '"' else 'nome ' || lang end as query
 from documents"""
@@ -296,27 +304,45 @@ union all select query_id, case when c>0 then b end,
  case when c=0 then 'syntax' end, 'spaces' from r4"""
 
 
-def _snippet_sql() -> str:
-    hit = "list_contains(['that','queque'], lower({}))"
-    pieces = r"'[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+'"
-    mark = f"case when {hit.format('x')} then '<mark>' || x || '</mark>' else x end"
-    return rf"""with a as (select doc_id, text, regexp_extract_all(text, {pieces}) as p from documents),
+def snippet_sql(source: str, keys: str, terms: str, fallback: int = 300) -> str:
+    """Fragments of (keys, text, terms) rows of a table expression; `terms` is a list column."""
+    hit, pieces = f"list_contains({terms}, lower({{}}))", quote(STANDARD_PIECES)
+    return rf"""(with a as (select *, regexp_extract_all(text, {pieces}) as p from {source}),
 b as (select *, coalesce(list_position([{hit.format('x')} for x in p], true),0) as i from a),
-c as (select *, array_to_string(p[greatest(i-10,1):], '') as rest from b),
-e as (select *, case when length(rest)<=200 then rest else regexp_replace(substring(rest,1,200), '[\p{{L}}\p{{N}}_]+$', '') end as w from c)
-select doc_id, case when i>0 then '... ' || array_to_string([{mark} for x in regexp_extract_all(w, {pieces})], '') || ' ...'
- else replace(substring(text,1,300), chr(10), ' ') || case when length(text)>300 then '...' else '' end end as snippet from e"""
+c as (select *, case when length(array_to_string(p[greatest(i-10,1):i-1], '')) > 100 then i else greatest(i-10,1) end as st from b),
+e as (select *, p[st:st+199] as w from c),
+f as (select *, greatest(1, len(list_filter(range(1, len(w)+1), lambda n: length(array_to_string(w[1:n], '')) <= 200))) as n from e)
+select {keys}, case when i>0 then '... ' || array_to_string([case when {hit.format('x')} then '<mark>' || x || '</mark>' else x end for x in w[1:n]], '') || ' ...'
+ else replace(substring(text,1,{fallback}), chr(10), ' ') || case when length(text)>{fallback} then '...' else '' end end as snippet from f)"""
+
+
+STANDARD_PIECES = analysis.STANDARD + r"|[^\p{L}\p{N}]+"
+
+
+def _snippet_sql() -> str:
+    return "select * from " + snippet_sql("documents", "doc_id", "['that','queque']")
+
+
+def field_scores_sql(fields: list[tuple[str, float, list[tuple[int, str]]]], keys: str = "doc_id") -> str:
+    """Best field of each document; a field counts if it holds all of its own query terms.
+
+    `fields`: score table, boost and the (query, term) rows that its analyser keeps.
+    """
+    parts = []
+    for table_, boost, rows in fields:
+        terms = _values(rows)
+        parts.append(f"""select query_id, {keys}, {boost} * sum(score * qtf) as s from {table_} join (select query_id, term, count(*) as qtf,
+ count(*) over (partition by query_id) as n_terms from (values {terms}) v(query_id, term) group by query_id, term) w using (term)
+ group by query_id, {keys}, n_terms having count(*) = n_terms""")
+    return f"select query_id, {keys}, max(s) as score from ({' union all '.join(parts)}) group by query_id, {keys}"
 
 
 def _boosted_sql() -> str:
-    words = _values([(1, 0, "the"), (1, 1, "of"), (2, 0, "that"), (2, 1, "src3"), (3, 0, "les"), (3, 1, "la")])
+    words = [(q, w) for q, text in BOOSTED for w in text.split()]
+    fields = [("tok_sc", 2, words), ("tt_sc", 3, words), ("nome_t", 1, list(BOOSTED))]
     return f"""with ttl as (select doc_id, split_part(text, chr(10), 1) as title from documents), {TOK},
-{terms_sql('ttl', 'doc_id', 'title', 'tt')}, {NOME}, w as (select * from (values {words}) v(query_id, wid, term)),
-m as (select query_id, wid, doc_id, max(s) as s from (
- select query_id, wid, doc_id, 2*score as s from tok_sc join w using(term)
- union all select query_id, wid, doc_id, 3*score from tt_sc join w using(term)
- union all select query_id, wid, doc_id, score from nome_sc join w on source=term) group by all)
-{_rank("select query_id, doc_id, sum(s) as score from m group by query_id, doc_id having count(*)=2")}"""
+{terms_sql('ttl', 'doc_id', 'title', 'tt')}, {NOME}, nome_t as (select *, source as term from nome_sc)
+{_rank(field_scores_sql(fields))}"""
 
 
 def _bool_sql() -> str:
@@ -367,10 +393,14 @@ ORACLE = {
     "search_term_exact": f"""with {NOME} {_rank('''select 1 as query_id, doc_id, score from nome_sc where source='src1'
  union all select 3, doc_id, score from nome_sc where source='src12' ''', 1000)}""",
     "search_wildcard": """select doc_id, 1.0::double as score, 'contains' as kind from documents where contains(source,'c1')
- union all select doc_id, 1.0::double, 'prefix' from documents where starts_with(source,'src2')""",
+ union all select doc_id, 1.0::double, 'prefix' from documents where starts_with(source,'src2')
+ union all select doc_id, 1.0::double, 'letters' from documents where source like 's_c_%'""",
     "search_wildcard_terms": f"""with {TOK} select * from (select 1 as query_id, count(distinct doc_id) as n_hits from tok where starts_with(term,'thr')
  union all select 2, count(*) from documents where contains(source,'c1')
- union all select 3, count(distinct doc_id) from tok where regexp_full_match(term,'q.*e.*u')) where n_hits>0""",
+ union all select 3, count(distinct doc_id) from tok where regexp_full_match(term,'q.*e.*u')
+ union all select 4, count(distinct doc_id) from tok union all select 5, count(distinct doc_id) from tok where term like '_x%'
+ union all select 6, count(distinct doc_id) from tok where contains(term,'a') union all select 7, count(distinct doc_id) from tok where length(term)=2
+ union all select 8, count(*) from documents where source like 'src_' union all select 9, count(source) from documents) where n_hits>0""",
     "search_boolean": _bool_sql(),
     "search_hit_counts": f"with {TOK} select query_id, count(*) as n_hits from ({_match_sql(ANY_QUERIES, False)}) group by query_id",
     "search_batch": _batch_sql(), "search_boosted_fields": _boosted_sql(),

@@ -13,7 +13,7 @@ from corpuslink.sources.records import document_key
 
 from .common import clean, run_sql, table
 
-TITLE_SQL = """select doc_id, '$' || chr(92) || 'textbf{' || substring(text, 1, 40) || '}$ / "b"? ^{2} ' || replace(substring(text, 41, 160), 'e', '_') as title,
+TITLE_SQL = """select doc_id, '$' || chr(92) || 'textbf{' || split_part(text, chr(10), 1) || '}$ / "b"? ^{2} ' || replace(text, 'e', '_') as title,
  source || case when doc_id % 3 = 0 then '.tar.gz' when doc_id % 3 = 1 then '.html' else '' end as file, text, lang from documents"""
 
 
@@ -22,10 +22,10 @@ def cleaned_texts(spark, d):
     text = F.col("text")
     return docs.select(
         "doc_id", T.clean_text(F.concat(F.lit("\t "), text, F.lit("  \n"))).alias("clean"),
-        T.alnum_only(F.substring("text", 1, 60)).alias("alnum"), T.safe_title(F.col("title")).alias("safe"),
+        T.alnum_only(text).alias("alnum"), T.safe_title(F.col("title")).alias("safe"),
         T.preview(text, 100).alias("short"), T.preview(text, 50, True).alias("dotted"),
         T.stem_name(F.col("file")).alias("stem"), T.page_name(F.col("file")).alias("page"),
-        T.blank_to_null(F.substring("text", 8, 1)).alias("blank"))
+        T.blank_to_null(F.get(F.split("text", "\n"), F.lit(1))).alias("blank"))
 
 
 NUMBERS_SQL = """select event_id, case event_id % 6 when 0 then cast(event_id as varchar(20)) || '.0' when 1 then cast(event_id as varchar(20)) || '.25'
@@ -57,11 +57,11 @@ def large_pages(spark, d):
 def titles(spark, d):
     docs = run_sql(spark, d, TITLE_SQL)
     label = F.concat("lang", F.lit(" "))
-    cap = F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.substring("text", 1, 120))
+    cap = F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.substring_index("text", "\n", 1))
     ident = F.when(F.col("doc_id") % 8 == 0, F.lit("")).otherwise(F.col("file"))
     return docs.select(
         "doc_id", T.compose_caption(F.col("lang"), cap, F.lit("arxiv")).alias("caption_a"),
-        T.compose_caption(F.substring("text", 3, 2), F.substring("text", 1, 40), F.lit("pubmed")).alias("caption_b"),
+        T.compose_caption(F.col("lang"), F.substring_index("text", "\n", 1), F.lit("pubmed")).alias("caption_b"),
         T.result_title(F.lit("docs"), cap, F.when(F.col("doc_id") % 8 == 0, label), F.lit(None), F.lit(None)).alias("doc_title"),
         T.result_title(F.lit("figures"), F.lit(None), F.lit(None), cap, ident).alias("media_title"))
 
@@ -130,13 +130,12 @@ QUERIES = {
     "text_first_rows": first_rows, "text_timing_summary": timing_summary, "text_id_lists": id_lists,
     "text_row_keys": keyed_rows}
 
-CUT = "substring({0},1,{1})"
 ORACLE = {
-    "text_cleaning": f"""select doc_id, {clean("text")} as clean, regexp_replace(lower(substring(text,1,60)),'[^a-z0-9]','','g') as alnum,
+    "text_cleaning": f"""select doc_id, {clean("text")} as clean, regexp_replace(lower(text),'[^a-z0-9]','','g') as alnum,
  trim(substring({clean("translate(regexp_replace(replace(title,'$',''), '\\\\(text|emph|textbf|textit|math[a-z]+)', '', 'g'), '{}[]^\\_/*?:\"<>|', '')")},1,150)) as safe,
  replace(substring(text,1,100),chr(10),' ') || case when length(text)>100 then '...' else '' end as short,
  replace(substring(text,1,50),chr(10),' ') || '...' as dotted, case when contains(file,'.tar') then replace(file,'.gz','') else replace(file,'.html','') end as stem,
- replace(file,'.html','') as page, case when {clean("substring(text,8,1)")}<>'' then substring(text,8,1) end as blank from ({TITLE_SQL})""",
+ replace(file,'.html','') as page, case when {clean("split_part(text,chr(10),2)")}<>'' then split_part(text,chr(10),2) end as blank from ({TITLE_SQL})""",
     "text_numbers": f"""select event_id, regexp_replace(price,'\\.0$','') as stripped, try_cast(nullif(price,'') as double) as number,
  case when try_cast(nullif(price,'') as double)>0 then try_cast(nullif(price,'') as double) end as positive from ({NUMBERS_SQL})""",
     "text_addresses": """select page_id, split_part(url,'/',-1) as last, replace(url || '/abs/1','/abs/','/html/') as html_url,
@@ -147,11 +146,11 @@ ORACLE = {
  case when page_id%2=0 then '/html/' when page_id%5=0 then '' else 'html/' end as base from pages)""",
     "text_large_pages": "select page_id, url from pages where strlen(html)>2000",
     "text_titles": f"""select doc_id, trim(lang || ' ' || cap) as caption_a,
- case when substring(text,3,2)<>'' and not contains(substring(text,1,40),substring(text,3,2)) then substring(text,3,2) || ' ' || substring(text,1,40) else substring(text,1,40) end as caption_b,
+ case when lang<>'' and not contains(line,lang) then lang || ' ' || line else line end as caption_b,
  case when cap<>'' then cap when doc_id%8=0 then lang || ' ' else 'Documento sconosciuto' end as doc_title,
  case when cap<>'' then replace(substring(trim(cap),1,100),chr(10),' ') || case when length(trim(cap))>100 then '...' else '' end
   when ident<>'' then 'Oggetto: ' || ident else 'Immagine senza descrizione' end as media_title
- from (select *, case when doc_id%4=0 then '' else substring(text,1,120) end as cap, case when doc_id%8=0 then '' else file end as ident from ({TITLE_SQL}))""",
+ from (select *, split_part(text,chr(10),1) as line, case when doc_id%4=0 then '' else split_part(text,chr(10),1) end as cap, case when doc_id%8=0 then '' else file end as ident from ({TITLE_SQL}))""",
     "text_publication_dates": f"""select doc_id, coalesce(strftime(case k when 0 then try_cast(printf('%04d-%02d-%02d', y+1, m, d) as date) when 1 then make_date(y,1,1)
  when 2 then try_cast(printf('%04d-02-%02d', y, d) as date) when 4 then make_date(y,m,1) end, '%Y-%m-%d'), '1970-01-01') as date from ({DATES_SQL})""",
     "text_newest": "select event_id as document_id from events order by ts desc, event_id limit 10",

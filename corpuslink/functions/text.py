@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .analysis import STANDARD, get_analyzer
+
 # Hosts and patterns that decide the produced text.
 FEED_A = "arxiv"
 FEED_B = "pubmed"
@@ -165,28 +167,40 @@ def serialize_record(columns: list[str]) -> Column:
 
 
 def highlight(text: Column, terms: Column, size: int = 200, pre: str = "<mark>",
-              post: str = "</mark>", fallback: int = 300) -> Column:
-    """One fragment of at most `size` characters around the first matched term.
-
-    The text is cut into words and gaps; the fragment starts five words before
-    the first hit, never ends inside a word, and every matched word is wrapped.
-    Without a hit the plain preview is returned.
+              post: str = "</mark>", fallback: int = 300, analyzer: str = "standard",
+              stop_words: tuple[str, ...] | None = None) -> Column:
+    """One fragment of at most `size` characters around the first matched word.
+
+    `terms` are terms of the analyser; a word matches if its own term is one of
+    them, so stemmed hits are marked as they are found. The fragment starts at
+    most ten pieces (words and gaps) and half of `size` before the hit, ends
+    between two pieces, and marks every matched word. Without a hit the plain
+    preview is returned.
     """
-    pieces_of = lambda c: F.regexp_extract_all(c, F.lit(PIECES), F.lit(0))
-    is_hit = lambda p: F.array_contains(terms, F.lower(p))
+    found = get_analyzer(analyzer, stop_words)
     text = F.coalesce(text, F.lit(""))
-    pieces = pieces_of(text)
-    first = F.array_position(F.transform(pieces, is_hit), F.lit(True)).cast("int")
-    lead = F.greatest(first - 10, F.lit(1))
-    rest = F.array_join(F.slice(pieces, lead, F.size(pieces)), "")
-    window = F.when(F.length(rest) <= size, rest).otherwise(
-        F.regexp_replace(F.substring(rest, 1, size), LAST_WORD, ""))
-    marked = F.array_join(F.transform(
-        pieces_of(window),
-        lambda p: F.when(is_hit(p), F.concat(F.lit(pre), p, F.lit(post))).otherwise(p)), "")
-    return F.when(first > 0, F.concat(F.lit("... "), marked, F.lit(" ..."))).otherwise(
-        preview(text, fallback))
-
-
-PIECES = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
-LAST_WORD = r"[\p{L}\p{N}_]+$"
+    pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
+    bare = F.transform(pieces, lambda p: (found.clean or (lambda w: w))(F.lower(p)))
+    if found.stem_all:
+        bare = found.stem_all(bare)
+    hits = F.transform(bare, lambda w: F.array_contains(terms, w))
+
+    def fragment(x: Column) -> Column:
+        first = F.array_position(x["hits"], True).cast("int")
+        before = F.greatest(first - 10, F.lit(1))
+        lead = F.length(F.array_join(F.slice(x["pieces"], before, first - before), ""))
+        start = F.when(lead > size // 2, first).otherwise(before)
+        shown, marks = F.slice(x["pieces"], start, F.lit(size)), F.slice(x["hits"], start, F.lit(size))
+        fits = F.size(F.filter(F.sequence(F.lit(1), F.size(shown)),
+                               lambda n: F.length(F.array_join(F.slice(shown, F.lit(1), n), "")) <= size))
+        n = F.greatest(fits, F.lit(1))
+        marked = F.zip_with(F.slice(shown, F.lit(1), n), F.slice(marks, F.lit(1), n), lambda p, hit: F.when(
+            hit, F.concat(F.lit(pre), p, F.lit(post))).otherwise(p))
+        return F.when(first > 0, F.concat(F.lit("... "), F.array_join(marked, ""), F.lit(" ...")))
+
+    # Pieces and hits are the one element of an array, so that they are made once.
+    once = F.array(F.struct(pieces.alias("pieces"), hits.alias("hits")))
+    return F.coalesce(F.get(F.transform(once, fragment), F.lit(0)), preview(text, fallback))
+
+
+PIECES = rf"{STANDARD}|[^\p{{L}}\p{{N}}]+"

@@ -175,6 +175,13 @@ def _phrase_hits(scored: DataFrame, terms: DataFrame) -> DataFrame:
                      / idf(one, one)).alias("score")))
 
 
+def wildcard_regex(pattern: Column) -> Column:
+    """Whole-value pattern: `*` stands for any run of characters, `?` for one."""
+    escaped = F.regexp_replace(pattern, r"([\\.\[\]{}()+^$|])", r"\\$1")
+    return F.concat(F.lit("(?s)^"), F.regexp_replace(F.replace(escaped, F.lit("?"), F.lit(".")),
+                                                     r"\*+", ".*"), F.lit("$"))
+
+
 def _grams(c: Column, sizes: Sequence[int]) -> Column:
     return F.array_distinct(F.flatten(F.array(*[
         F.when(F.length(c) >= n, F.transform(
@@ -184,18 +191,21 @@ def _grams(c: Column, sizes: Sequence[int]) -> Column:
 
 
 def _wildcard_hits(index: TermIndex, wild: DataFrame) -> DataFrame:
-    """Terms matching `*` patterns, found by one shared run of up to three
-    characters and then verified; every hit scores 1."""
-    plain = F.array_max(F.transform(F.split("value", r"\*"),
+    """Terms matching `*` and `?` patterns; every hit scores 1.
+
+    A pattern with a literal is looked up by up to three characters of its longest
+    one, which every matching term holds; one without is compared with all terms
+    of its field. Both are then verified by the same expression.
+    """
+    plain = F.array_max(F.transform(F.split("value", r"[*?]"),
                                     lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
-    escaped = F.regexp_replace("value", r"([\\.\[\]{}()+?^$|])", r"\\$1")
-    patterns = wild.select(
-        *CLAUSE, "field", F.substring(plain, 1, 3).alias("gram"),
-        F.concat(F.lit("(?s)^"), F.regexp_replace(escaped, r"\*+", ".*"), F.lit("$")).alias("re"))
+    patterns = wild.select(*CLAUSE, "field", F.substring(plain, 1, 3).alias("gram"),
+                           wildcard_regex(F.col("value")).alias("re"))
     terms = (index.postings.join(patterns.select("field").distinct(), "field", "left_semi")
-             .select("field", "term").distinct()
-             .withColumn("gram", F.explode(_grams(F.col("term"), [1, 2, 3]))))
-    found = (terms.join(patterns, ["field", "gram"])
+             .select("field", "term").distinct())
+    bare = F.array(F.lit(""))  # the gram of patterns without a literal
+    grams = terms.withColumn("gram", F.explode(F.concat(bare, _grams(F.col("term"), [1, 2, 3]))))
+    found = (grams.join(patterns, ["field", "gram"])
              .where(F.regexp_like("term", F.col("re")))
              .select(*CLAUSE, "field", "term"))
     return (index.postings.select("field", "term", "doc_id").join(found, ["field", "term"])
@@ -251,17 +261,14 @@ def phrase_query(index: TermIndex, queries: DataFrame, field: str) -> DataFrame:
 
 
 def wildcard_query(docs: DataFrame, field: str, pattern: str) -> DataFrame:
-    """Rows whose whole field matches a `*` pattern; constant score 1."""
-    import re
-
-    c = F.col(field)
-    body = pattern.strip("*")
-    if "*" not in body and pattern == f"*{body}*":
+    """Rows whose whole field matches a pattern of `*` and `?`; constant score 1."""
+    c, body = F.col(field), pattern.strip("*")
+    if not {"*", "?"} & set(body) and pattern == f"*{body}*":
         hit = F.contains(c, F.lit(body))
-    elif "*" not in body and pattern == f"{body}*":
+    elif not {"*", "?"} & set(body) and pattern == f"{body}*":
         hit = c.startswith(body)
     else:
-        hit = c.rlike("(?s)^" + ".*".join(re.escape(p) for p in pattern.split("*")) + "$")
+        hit = F.regexp_like(c, wildcard_regex(F.lit(pattern)))
     return docs.where(hit).withColumn("score", F.lit(1.0))
 
 
@@ -271,37 +278,26 @@ def boosted_search(index: TermIndex, queries: DataFrame, boosts: Mapping[str, fl
                    op: str = "and") -> DataFrame:
     """(query_id, doc_id, score) of (query_id, query) over several fields.
 
-    Each blank-separated word scores the best of boost x BM25 over the fields;
-    words add up. `and` needs every word in some field, `or` one of them.
+    Each field analyses the whole query in its own way. `and` needs all terms of
+    a field in that field, `or` one of them; a document scores its best field,
+    boost times BM25. Fields that keep no term of the query take no part.
     """
-    words = queries.select("query_id", F.posexplode(F.filter(
-        F.split("query", SPACES), lambda w: w != "")).alias("word_id", "word"))
     per_field = F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost"),
-                 F.transform(analyze(F.col("word"), *_spec(index.fields[f])),
+                 F.transform(analyze(F.col("query"), *_spec(index.fields[f])),
                              lambda t: t["term"]).alias("terms"))
         for f, b in boosts.items()])).alias("x")
-    terms = (words.select("query_id", "word_id", per_field).select("query_id", "word_id", "x.*")
-             .withColumn("terms", F.array_distinct("terms"))
-             .withColumn("n_terms", F.size("terms"))
-             .withColumn("term", F.explode("terms")).drop("terms"))
+    terms = (queries.select("query_id", per_field).select("query_id", "x.*")
+             .withColumn("n_terms", F.size(F.array_distinct("terms")))
+             .withColumn("term", F.explode("terms"))
+             .groupBy("query_id", "field", "boost", "n_terms", "term").agg(F.count(F.lit(1)).alias("qtf")))
     terms, rows = localize(terms)
-    needed = terms.groupBy("query_id").agg(F.count_distinct("word_id").alias("needed"))
-    if rows is not None:
-        needed = F.broadcast(needed)
-    scored = _scored_postings(index, terms, rows, False)
-    per_word = (scored.join(terms, ["field", "term"])
-                .groupBy("query_id", "word_id", "doc_id", "field", "boost", "n_terms")
-                .agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n_found"))
-                .where("n_found = n_terms")
-                .groupBy("query_id", "doc_id", "word_id")
-                .agg(F.max(F.col("boost") * F.col("score")).alias("score")))
-    hits = per_word.groupBy("query_id", "doc_id").agg(
-        F.sum("score").alias("score"), F.count(F.lit(1)).alias("met"))
-    hits = hits.join(needed, "query_id")
+    per_doc = (_scored_postings(index, terms, rows, False).join(terms, ["field", "term"])
+               .groupBy("query_id", "doc_id", "field", "boost", "n_terms")
+               .agg(F.sum(F.col("score") * F.col("qtf")).alias("score"), F.count(F.lit(1)).alias("n_found")))
     if op == "and":
-        hits = hits.where("met = needed")
-    return hits.select("query_id", "doc_id", "score")
+        per_doc = per_doc.where("n_found = n_terms")
+    return per_doc.groupBy("query_id", "doc_id").agg(F.max(F.col("boost") * F.col("score")).alias("score"))
 
 
 # -- ranking and counts ----------------------------------------------------

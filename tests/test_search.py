@@ -80,13 +80,32 @@ def test_written_index_gives_the_same_hits(spark, index, tmp_path):
     assert key(again) == key(index) != []
 
 
-def test_boosted_needs_every_word_in_some_field(spark, docs):
+def test_boosted_needs_all_terms_in_one_field(spark, docs):
     ix = P.build_index(docs, "doc_id", {"nome": "keyword", "contenuto": "standard"})
-    q = literal_rows(spark, [(1, "dati reti.txt"), (2, "dati assente")], "query_id int, query string")
+    q = literal_rows(spark, [(1, "dati reti"), (2, "reti.txt"), (3, "dati assente"), (4, "dati reti.txt")],
+                     "query_id int, query string")
     hits = S.boosted_search(ix, q, {"nome": 3, "contenuto": 1}).collect()
-    assert [(h.query_id, h.doc_id) for h in hits] == [(1, 1)]
+    assert {(h.query_id, h.doc_id) for h in hits} == {(1, 1), (2, 1)}
     either = S.boosted_search(ix, q, {"nome": 3, "contenuto": 1}, "or").collect()
-    assert {(h.query_id, h.doc_id) for h in either} == {(1, 1), (1, 2), (2, 1), (2, 2)}
+    assert {(h.query_id, h.doc_id) for h in either} == {(1, 1), (1, 2), (2, 1), (3, 1), (3, 2), (4, 1), (4, 2)}
+
+
+def test_boosted_leaves_stop_words_to_each_field(spark):
+    rows = [(1, "a1", "Models of speech"), (2, "a2", "The weather")]
+    docs = literal_rows(spark, rows, "doc_id int, code string, body string")
+    ix = P.build_index(docs, "doc_id", {"code": "keyword", "body": "english"})
+    q = literal_rows(spark, [(1, "the models"), (2, "a2"), (3, "the")], "query_id int, query string")
+    hits = S.boosted_search(ix, q, {"code": 1, "body": 2}).collect()
+    assert {(h.query_id, h.doc_id) for h in hits} == {(1, 1), (2, 2)}
+
+
+@pytest.mark.parametrize("pattern,names", [
+    ("*", 4), ("**", 4), ("????.txt", 2), ("?ot*", 1), ("*i*.txt", 3), ("da[t]i*", 0), ("dati.txt", 1), ("?", 0)])
+def test_wildcards_mean_the_same_in_rows_and_terms(spark, docs, index, pattern, names):
+    schema = "query_id int, group_id int, clause_id int, must boolean, kind string, field string, value string"
+    clause = literal_rows(spark, [(1, 0, 0, True, "wildcard", "nome", pattern)], schema)
+    rows = {r.doc_id for r in S.wildcard_query(docs, "nome", pattern).collect()}
+    assert {h.doc_id for h in S.bool_query(index, clause).collect()} == rows and len(rows) == names
 
 
 def test_top_k_is_limited_before_the_shuffle(spark, index):

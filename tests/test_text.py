@@ -43,6 +43,15 @@ def test_highlight_marks_words_and_falls_back(spark):
     assert shown == ["... La <mark>Rete</mark> neurale. <mark>rete</mark>! ...", "altro"]
 
 
+def test_highlight_marks_what_the_analyser_finds(spark):
+    english = values(spark, lambda c: T.highlight(c, F.array(F.lit("model")), analyzer="english"), "The Models' fit")
+    assert english == ["... The <mark>Models</mark>' fit ..."]
+    italian = values(spark, lambda c: T.highlight(c, F.array(F.lit("analis")), analyzer="italian"), "per l'analisi.")
+    assert italian == ["... per <mark>l'analisi</mark>. ..."]
+    far = values(spark, lambda c: T.highlight(c, F.array(F.lit("rete"))), "a" + "-" * 150 + "rete " + "x" * 300)
+    assert far == ["... <mark>rete</mark>  ..."]
+
+
 def test_light_italian_keeps_short_words_and_position_gaps(spark):
     assert terms(spark, "Le poesie scritte dell'autore: testo", "italian") == [
         ("poes", 1), ("scritt", 2), ("autor", 3), ("testo", 4)]

@@ -200,10 +200,20 @@ def snippets(spark, d):
         F.col("contenuto"), F.array(F.lit("that"), F.lit("queque"))).alias("snippet"))
 
 
+TOPICS = [["the", "ering"], ["les", "queque"]]
+
+
+def relevant(spark, d):
+    """The papers of the topics, most relevant first."""
+    docs = _docs(spark, d).select("doc_id", F.substring_index("contenuto", "\n", 1).alias("title"),
+                                  F.col("contenuto").alias("abstract"))
+    return S.relevant_papers(docs, TOPICS, 50, id_col="doc_id")
+
+
 def topic_selection(spark, d):
     docs = _docs(spark, d).select("doc_id", F.substring_index("contenuto", "\n", 1).alias("title"),
                                   F.col("contenuto").alias("abstract"), (F.col("nome") != "src7").alias("open"))
-    return S.select_papers(docs, [["the", "ering"], ["les", "queque"]], open_access="open").select("doc_id")
+    return S.select_papers(docs, TOPICS, open_access="open").select("doc_id")
 
 
 def first_documents(spark, d):
@@ -345,6 +355,14 @@ def _boosted_sql() -> str:
 {_rank(field_scores_sql(fields))}"""
 
 
+def _relevant_sql() -> str:
+    words = [(k, w) for k, g in enumerate(TOPICS) for w in g]
+    return f"""with ttl as (select doc_id, split_part(text, chr(10), 1) as title from documents), {TOK},
+{terms_sql('ttl', 'doc_id', 'title', 'tt')}, r as (select doc_id, round(sum(score), 4) as score from (
+ {field_scores_sql([('tok_sc', 2, words), ('tt_sc', 3, words)])}) group by doc_id)
+select row_number() over (order by score desc, doc_id)::int as rank, doc_id, score from r qualify rank <= 50"""
+
+
 def _bool_sql() -> str:
     c3 = "select doc_id, sum(score) as score from tok_sc where term={} group by doc_id"
     return f"""with {TOK}, {NOME}, ph as ({_phrase_sql([(1, 'of the')])}),
@@ -380,7 +398,7 @@ QUERIES = {
     "search_match_any_top10": match_top10, "search_match_all": match_all_words, "search_phrase": phrase,
     "search_term_exact": term_lookup, "search_wildcard": wildcard, "search_wildcard_terms": wildcard_terms,
     "search_boolean": boolean_mix, "search_hit_counts": hits_per_query, "search_batch": batch_search,
-    "search_boosted_fields": boosted, "search_conversations": roles_and_text,
+    "search_boosted_fields": boosted, "search_relevant_papers": relevant, "search_conversations": roles_and_text,
     "index_postings": postings_table, "index_corpus_stats": vocabulary_stats, "index_token_dump": token_dump,
     "index_first_documents": first_documents, "analyzers_unstemmed": analyzers, "analyzers_stemmed": stemmed,
     "scoring_length_codes": length_codes, "search_query_kinds": query_kinds, "search_snippets": snippets,
@@ -403,7 +421,7 @@ ORACLE = {
  union all select 8, count(*) from documents where source like 'src_' union all select 9, count(source) from documents) where n_hits>0""",
     "search_boolean": _bool_sql(),
     "search_hit_counts": f"with {TOK} select query_id, count(*) as n_hits from ({_match_sql(ANY_QUERIES, False)}) group by query_id",
-    "search_batch": _batch_sql(), "search_boosted_fields": _boosted_sql(),
+    "search_batch": _batch_sql(), "search_boosted_fields": _boosted_sql(), "search_relevant_papers": _relevant_sql(),
     "search_conversations": f"with {terms_sql('conversations', 'conv_id*1000+turn', 'text')} {_rank(ROLE, 25)}",
     "index_postings": """with TOKEN select 'contenuto' as field, term, doc_id, tf, dl::int as dl, positions from
  (select term, doc_id, count(*) as tf, string_agg(pos, ',' order by pos) as positions from tok group by all) join tok_dl using(doc_id)

@@ -107,6 +107,10 @@ def _elements(html: str) -> Iterator[dict]:
                "spaced": e["spaced"], "path": e["path"]}
 
 
+#: Elements of several pages go back to Spark together.
+ROWS_AT_ONCE = 5_000
+
+
 def html_elements(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """Tracked elements of each page, parsed once: keys, node number in document
     order, tag, id, class, link, text, and the path of enclosing elements."""
@@ -115,11 +119,15 @@ def html_elements(pages: DataFrame, keys: list[str], html: str = "html") -> Data
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows = []
             for page in batch.itertuples(index=False):
                 head = dict(zip(keys, page[:-1]))
-                rows = [{**head, **e} for e in _elements(page[-1])]
-                if rows:
+                rows += [{**head, **e} for e in _elements(page[-1])]
+                if len(rows) >= ROWS_AT_ONCE:
                     yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     return pages.select(*keys, html).mapInPandas(run, schema)
 

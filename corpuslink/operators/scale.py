@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 BROADCAST_ROWS = 50_000
-RANK_BUCKETS = 1024
 
 
 def bounded_rows(df: DataFrame, limit: int) -> list | None:
@@ -34,14 +33,14 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Repartition a frame that is read from fewer files than there are cores.
+    """Repartition before heavy per-row work, if the session asks for it.
 
-    A handful of files may hold few row groups, which would leave cores idle in
-    heavy per-row work. Large inputs come in many files and are left alone.
+    `spark.corpuslink.spread` is a number of partitions. It is meant for inputs of a
+    few files with few row groups, which would leave cores idle; unset, frames are
+    read as they are stored.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df._jdf.inputFiles())  # counted in the JVM; the names stay there
-    return df.repartition(cores, *columns) if 0 < files < cores else df
+    parts = df.sparkSession.conf.get("spark.corpuslink.spread", None)
+    return df.repartition(int(parts), *columns) if parts else df
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import SPACES, analyze
 from ..functions.scoring import bm25, idf
-from .postings import FieldSpec, TermIndex, _spec
-from .scale import localize
+from .postings import FieldSpec, TermIndex, _spec, build_index
+from .scale import literal_rows, localize
 
 TERM, MATCH_ANY, MATCH_ALL, PHRASE, WILDCARD = "term", "any", "all", "phrase", "wildcard"
 LITERAL_TERMS = 1000
@@ -320,6 +320,23 @@ def hit_counts(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"))
 
 
+def relevant_papers(papers: DataFrame, groups: Sequence[Sequence[str]], n: int = 10,
+                    boosts: Mapping[str, float] | None = None, analyzer: FieldSpec = "standard",
+                    id_col: str = "document_id") -> DataFrame:
+    """The n most relevant papers for groups of words: (rank, document_id, score).
+
+    A paper scores, for each group of which one field holds all words, the best
+    field's boost times BM25; groups add up. Equal scores are ordered by id.
+    """
+    boosts = boosts or {"title": 3, "abstract": 2}
+    index = build_index(papers, id_col, {f: analyzer for f in boosts})
+    words = literal_rows(papers.sparkSession, [(k, " ".join(g)) for k, g in enumerate(groups)],
+                         "query_id int, query string")
+    found = boosted_search(index, words, boosts).groupBy("doc_id").agg(F.sum("score").alias("score"))
+    best = top_k(found.withColumn("query_id", F.lit(0)), n)
+    return best.select("rank", F.col("doc_id").alias(id_col), "score")
+
+
 def by_source(df: DataFrame, source: str) -> DataFrame:
     return df.where(F.col("source") == source)
 

@@ -33,8 +33,12 @@ def parse_pair_lines(df: DataFrame, line: str = "value") -> DataFrame:
 
 
 def read_pair_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    pairs = parse_pair_lines(spark.read.text(path))
-    return pairs if limit is None else pairs.limit(limit)
+    """Pair lines; with `limit` the first ones, by file and by place in the file."""
+    lines = spark.read.text(path)
+    if limit is not None:
+        place = ["_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()]
+        return parse_pair_lines(lines.orderBy(*place)).limit(limit)
+    return parse_pair_lines(lines)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

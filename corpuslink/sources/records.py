@@ -10,17 +10,28 @@ from pyspark.sql import functions as F
 from ..operators.keyed import upsert_last
 from ..operators.mediation import read_matching
 
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
+CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
 def read_csv_source(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                    schema: str | None = None) -> DataFrame:
-    """CSV with quoted multi-line text; all columns are text unless a schema is given."""
-    reader = spark.read.options(**CSV_OPTIONS)
+                    schema: str | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with quoted text; all columns are text unless a schema is given.
+
+    Text that goes over several lines is read with `multi_line`, one task per file.
+    Large files of that kind are best converted once with `csv_to_parquet`; files
+    with one record per line are read in parts with `multi_line=False`.
+    """
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
     df = (reader.schema(schema) if schema else reader).csv(path)
     return df.select(*columns) if columns else df
 
 
+def csv_to_parquet(spark: SparkSession, path: str, target: str, schema: str | None = None) -> DataFrame:
+    """Convert CSV sources once and for all; the result is read in parts and by column."""
+    read_csv_source(spark, path, schema=schema).write.parquet(target)
+    return spark.read.parquet(target)
+
+
 def read_matching_csv(spark: SparkSession, path: str, keys: DataFrame | None,
                       mapping: Mapping[str, str]) -> DataFrame:
     """CSV rows with a known make and year whose key is in `keys`."""
@@ -41,8 +52,8 @@ def document_key(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumn("_id", F.concat_ws("_", *columns))
 
 
-def write_keyed(df: DataFrame, keys: Sequence[str], path: str, order: Sequence[str] | None = None,
+def write_keyed(df: DataFrame, keys: Sequence[str], path: str, order: Sequence[str],
                 keep_all: bool = False) -> None:
-    """Write rows by key: the last row of a key wins, or every row is kept."""
-    rows = df if keep_all else upsert_last(df, keys, order or list(keys))
+    """Write rows by key: the last row of a key in `order` wins, or every row is kept."""
+    rows = df if keep_all else upsert_last(df, keys, order)
     rows.write.mode("overwrite").parquet(path)

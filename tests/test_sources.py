@@ -41,7 +41,7 @@ def test_keyed_write_keeps_the_last_row(spark, tmp_path):
     df = literal_rows(spark, [("a", 1), ("a", 3), ("a", 2), ("b", 1)], "k string, o int")
     SR.write_keyed(df, ["k"], str(tmp_path / "k"), ["o"])
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "k")).collect())) == [("a", 3), ("b", 1)]
-    SR.write_keyed(df, ["k"], str(tmp_path / "all"), keep_all=True)
+    SR.write_keyed(df, ["k"], str(tmp_path / "all"), ["o"], keep_all=True)
     assert spark.read.parquet(str(tmp_path / "all")).count() == 4
     plan = K.dedup_first(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2

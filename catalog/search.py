@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from corpuslink.functions.scoring import quantize_length
 from corpuslink.functions.text import highlight
 from corpuslink.operators import postings as P
 from corpuslink.operators import search as S
-from corpuslink.operators.scale import literal_rows, spread
+from corpuslink.operators.scale import literal_rows, shared_folder, spread
 from corpuslink.plans import search as plan
 from corpuslink.sources.corpus import corpus_from_table
 
@@ -33,7 +35,16 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _index(spark, d) -> P.TermIndex:
-    return P.build_index(_docs(spark, d), "doc_id", FIELDS)
+    """The documents' index: written by the first query of a session that needs it, then read."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _WRITTEN:
+        path = f"{shared_folder(spark)}/catalog/{uuid.uuid4().hex}"
+        P.write_index(_docs(spark, d), "doc_id", FIELDS, path)
+        _WRITTEN[key] = path
+    return P.read_index(spark, _WRITTEN[key], FIELDS)
+
+
+_WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def _rows(spark, rows, schema="query_id int, query string") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import serialize_record
 from .mediation import VEHICLE_SCHEMA
 from .sampling import sample_keys
-from .scale import dense_rank_index, shuffled_rank
+from .scale import dense_rank_index, materialize, shuffled_rank
 
 A_ID, B_ID = "orig_cl_id", "orig_uc_id"
 
@@ -25,25 +25,31 @@ def negative_pairs(a: DataFrame, b: DataFrame, n: int, seed: int | str, key: str
                    a_id: str = A_ID, b_id: str = B_ID, exclude_true: bool = True) -> DataFrame:
     """n distinct random pairs with different keys.
 
-    Both sides get a seeded random rank. Left rank i meets right rank i + k for
-    as many shifts k as are needed: the wanted rounds plus the largest number of
-    right rows that share one key. The first n valid pairs are kept.
+    Both sides get a seeded random rank. Pairs are placed in a row: left rank i meets
+    right rank i + k, for k = 0 first, then k = 1 and so on; the first n pairs with
+    different keys are kept. Only so many places are looked at as n needs, and more
+    only where equal keys have used them up; no more than the wanted rounds and the
+    largest number of right rows with one key can be needed.
     """
     na, nb = a.count(), b.count()
     if not na or not nb or n <= 0:
         return ground_truth(a, b, key, a_id, b_id).where(F.lit(False))
     most = b.groupBy(key).count().agg(F.max("count")).first()[0] if exclude_true else 0
-    shifts = min(-(-n // na) + most, nb)
-    left = shuffled_rank(a.select(a_id, F.col(key).alias("key_a")), [a_id], f"{seed}|left", "i")
-    right = shuffled_rank(b.select(b_id, F.col(key).alias("key_b")), [b_id], f"{seed}|right", "j")
-    pairs = (left.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(shifts - 1))))
-             .withColumn("j", (F.col("i") + F.col("k")) % nb).join(right, "j"))
-    if exclude_true:
-        pairs = pairs.where("key_a <> key_b")
-    step = max(1, shifts * na // 4096)
-    place = F.col("k").cast("bigint") * na + F.col("i")
-    ranked = dense_rank_index(pairs.withColumn("place", place), F.floor(F.col("place") / step),
-                              [F.col("place")], name="pair_rank")
+    last = min(-(-n // na) + most, nb) * na
+    left = materialize(shuffled_rank(a.select(a_id, F.col(key).alias("key_a")), [a_id], f"{seed}|left", "i"))
+    right = materialize(shuffled_rank(b.select(b_id, F.col(key).alias("key_b")), [b_id], f"{seed}|right", "j"))
+    places, place = min(2 * n + 64, last), F.col("k").cast("bigint") * na + F.col("i")
+    while True:
+        pairs = (left.where(F.col("i") < places)
+                 .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit((places - 1) // na))))
+                 .withColumn("place", place).where(F.col("place") < places)
+                 .withColumn("j", (F.col("i") + F.col("k")) % nb).join(right, "j"))
+        pairs = materialize(pairs.where("key_a <> key_b") if exclude_true else pairs)
+        if places == last or pairs.count() >= n:
+            break
+        places = min(4 * places, last)
+    ranked = dense_rank_index(pairs, F.floor(F.col("place") / max(1, places // 4096)), [F.col("place")],
+                              name="pair_rank")
     return ranked.where(F.col("pair_rank") < n).select(a_id, b_id)
 
 

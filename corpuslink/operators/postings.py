@@ -80,6 +80,23 @@ def build_index(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -
                      field_stats(docs, id_col, fields), dict(fields))
 
 
+def write_index(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec], path: str) -> TermIndex:
+    """Analyse documents once, write the index and read it back.
+
+    The statistics are those of the written postings, which carry the field lengths.
+    """
+    postings = build_postings(docs, id_col, fields)
+    norms = {f: get_analyzer(_spec(s)[0]).norms for f, s in fields.items()}
+    (postings.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
+     .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
+    lengths = docs.sparkSession.read.parquet(f"{path}/postings").groupBy("field", "doc_id").agg(
+        F.first("dl").alias("dl"))
+    flags = F.create_map(*[F.lit(x) for f, n in norms.items() for x in (f, n)])
+    (lengths.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl"))
+     .withColumn("norms", flags[F.col("field")]).write.mode("overwrite").parquet(f"{path}/stats"))
+    return read_index(docs.sparkSession, path, fields)
+
+
 def document_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 

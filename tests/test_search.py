@@ -72,12 +72,14 @@ def test_long_query_tables_join_by_shuffle(spark, index, monkeypatch):
     assert rows() == expected != []
 
 
-def test_written_index_gives_the_same_hits(spark, index, tmp_path):
+def test_written_index_gives_the_same_hits(spark, docs, index, tmp_path):
     index.write(str(tmp_path / "ix"))
     again = P.read_index(spark, str(tmp_path / "ix"), FIELDS)
+    once = P.write_index(docs, "doc_id", FIELDS, str(tmp_path / "once"))
+    assert sorted(map(tuple, once.stats.collect())) == sorted(map(tuple, index.stats.select(once.stats.columns).collect()))
     q = literal_rows(spark, [(1, "dati ricerca")], "query_id int, query string")
     key = lambda ix: sorted((r.doc_id, round(r.score, 9)) for r in S.match_query(ix, q, "contenuto").collect())
-    assert key(again) == key(index) != []
+    assert key(again) == key(once) == key(index) != []
 
 
 def test_boosted_needs_all_terms_in_one_field(spark, docs):

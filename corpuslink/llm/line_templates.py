@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,23 +11,31 @@ from corpuslink.operators.scale import materialize
 
 SPACES = " \t\x0b\f\r"
 FIELD = "<*>"
+#: Full leaves are looked up by slot, so what is broadcast has at most so many rows of 4 bytes.
+SLOTS = 1 << 20
 
 
-def line_tokens(line: Column) -> Column:
-    """Words of a line; a word that holds a digit is a variable field."""
-    plain = F.regexp_replace(F.btrim(line, F.lit(SPACES)), f"[{SPACES}]+", " ")
-    masked = F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)
-    return F.split(F.when(plain.rlike("[0-9]"), masked).otherwise(plain), " ")
-
+def parsed_lines(rows: DataFrame, depth: int) -> DataFrame:
+    """Lines with their leaf of the tree: the count of tokens, then the leading tokens.
 
-def parsed_lines(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """Lines with their leaf of the tree: the count of tokens, then the leading tokens."""
+    `plain` has the words of a line with one space between them; a word that holds a
+    digit is a variable field. Each step reads only columns of the one before, so that
+    no expression is worked out twice.
+    """
     lines = rows.select("row", F.length("text").alias("total"),
                         F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("row", "total", "pos", F.length("line").alias("chars"),
-                         line_tokens(F.col("line")).alias("tokens"))
-    return lines.withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens).withColumn(
-        "leaf", F.xxhash64("n", *[F.get("tokens", F.lit(k)) for k in range(depth)]))
+    odd = reduce(Column.__or__, [F.contains("line", F.lit(gap)) for gap in ("  ", *SPACES[1:])])
+    spaced = F.trim(F.when(odd, F.regexp_replace("line", f"[{SPACES}]+", " ")).otherwise(F.col("line")))
+    lines = lines.select("row", "total", "pos", F.length("line").alias("chars"), spaced.alias("plain"))
+    lines = lines.withColumn("plain", F.when(F.col("plain").rlike("[0-9]"), F.regexp_replace(
+        "plain", "[^ ]*[0-9][^ ]*", FIELD)).otherwise(F.col("plain")))
+    lines = lines.withColumn("n", F.octet_length("plain") + 1
+                             - F.octet_length(F.replace("plain", F.lit(" "), F.lit(""))))
+    return lines.withColumn("leaf", F.xxhash64("n", F.substring_index("plain", " ", depth)))
+
+
+def slot(leaf: Column) -> Column:
+    return F.pmod(leaf, F.lit(SLOTS)).cast("int")
 
 
 def templates(lines: DataFrame, constant: float) -> DataFrame:
@@ -72,10 +82,14 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     row = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    lines = parsed_lines(rows, depth, min_tokens)
-    full = materialize(lines.groupBy("leaf").agg(F.count("*").alias("c"))
-                       .where(F.col("c") >= min_docs).select("leaf"))
-    found = materialize(templates(materialize(lines.join(full, "leaf", "left_semi")), constant))
+    lines = parsed_lines(rows, depth)
+    # A filter on n of the lines would be moved to the scan, and all lines be parsed twice.
+    full = (lines.groupBy("leaf").agg(F.count("*").alias("c"), F.min("n").alias("n"))
+            .where((F.col("c") >= min_docs) & (F.col("n") >= min_tokens)).select(slot(F.col("leaf")).alias("slot")).distinct())
+    # Lines of other leaves in the same slots come along; they cannot recur often enough.
+    lines = lines.withColumn("slot", slot(F.col("leaf"))).join(F.broadcast(full), "slot", "left_semi")
+    lines = lines.select("row", "total", "pos", "chars", "n", "leaf", F.split("plain", " ").alias("tokens"))
+    found = materialize(templates(materialize(lines).where(F.col("n") >= min_tokens), constant))
 
     def held(by: DataFrame) -> DataFrame:
         """Templates in `min_docs` rows or more."""
@@ -92,7 +106,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     results = {"doc_id", "text", "n_lines", "n_dropped"}
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        *[F.col(f"`{c}`") for c in keep if c not in results], row.alias("__row"))
-    joined = slim.join(drops.withColumnRenamed("row", "__row"), "__row", "left")
+    # A merge join at any size: the texts then move in proportion to the input.
+    joined = slim.join(drops.withColumnRenamed("row", "__row").hint("merge"), "__row", "left")
     parts = F.split("text", "\n")
     kept = F.array_join(F.filter(parts, lambda line, i: ~F.array_contains("__drop", i)), "\n")
     return joined.select(

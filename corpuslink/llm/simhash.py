@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.llm.batches import id_and_text, map_batches, row_groups, text_bytes
-from corpuslink.llm.components import components
+from corpuslink.operators.components import components
 from corpuslink.operators.scale import materialize
 
 BITS = 64

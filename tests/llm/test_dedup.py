@@ -6,7 +6,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpuslink.llm import components, line_templates, recompression, simhash
+from corpuslink.llm import line_templates, recompression, simhash
+from corpuslink.operators import components
 
 
 def plain_fingerprint(text):

@@ -39,18 +39,19 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                     threshold: float = 0.8) -> DataFrame:
     """Items of which a document holds the share `threshold` of the word shingles or more.
 
-    Items are partitioned by size. An item of n different shingles is sketched by its
-    MinHash values: its s = n - ceil(threshold n) + 1 smallest hashes. A document that
-    holds the wanted share lacks fewer than s shingles, so it holds one of the sketch,
-    however long the document is. Documents with fewer shingles than an item of the
-    size asks for are no candidates. Candidates are then verified: the shingles that
-    they share, word by word, are counted.
+    Items are partitioned by size, in classes of powers of two. An item of n different
+    shingles is sketched by its MinHash values: its s = n - ceil(threshold n) + 1
+    smallest hashes. A document that holds the wanted share lacks fewer than s
+    shingles, so it holds one of the sketch, however long the document is. A document
+    is a candidate only for classes that it has enough shingles for. Candidates are
+    verified: the shingles that they share, word by word, are counted.
 
     Returns doc_id, item_id, n_shared, n_item and containment, one row per document id
-    and item; rows with one id count as one document that holds the shingles of all.
-    Words are lower-cased runs of letters and digits. A text of fewer words than `width`
-    is one shingle of all its words; null, empty and wordless texts hold nothing and
-    are contained in nothing. Null is an id like any other. Empty tables give no rows.
+    and item. Each row is a document; of rows with one id the one that holds most of the
+    item is reported. Words are lower-cased runs of letters and digits. A text of fewer
+    words than `width` is one shingle of all its words; null, empty and wordless texts
+    hold nothing and are contained in nothing. Null is an id like any other. Rows of
+    items with one id are one item. Empty tables give no rows.
     """
     need = F.ceil(F.col("n_item") * threshold - 1e-9)
     asked = items.select(F.col(f"`{item_col}`").alias("item_id"), words(F.col(f"`{item_text_col}`")).alias("words"))
@@ -59,26 +60,31 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     asked = materialize(asked.where("shingle != ''").distinct())
     sizes = asked.groupBy("item_id").agg(F.array_sort(F.collect_set("hash")).alias("hashes"),
                                          F.count("*").alias("n_item")).withColumn("need", need)
+    classes = sizes.groupBy(F.floor(F.log2("n_item")).alias("size_class")).agg(F.min("need").alias("class_need"))
+    sizes = sizes.withColumn("size_class", F.floor(F.log2("n_item"))).join(F.broadcast(classes), "size_class")
     sketch = F.slice("hashes", F.lit(1), (F.col("n_item") - F.col("need") + 1).cast("int"))
-    index = materialize(sizes.select("item_id", "need", F.explode(sketch).alias("hash")))
-
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words(F.col(f"`{text_col}`")).alias("words"))
-    # The outer explode gives a null for a text without words; no join keeps it. A plain
-    # explode lets the optimizer test the size of the array first, by making it twice.
-    probe = source.select("doc_id", runs(F.col("words"), width, F.xxhash64).alias("hashes"))
-    probe = probe.select("doc_id", F.size("hashes").alias("n_doc"), F.explode_outer("hashes").alias("hash"))
-    # Rows with one id are one document, so a short row may be one of several.
-    pairs = materialize(probe.join(bounded(index), "hash").select("doc_id", "item_id").distinct())
-
-    ids = pairs.select(F.col("doc_id").alias("id")).distinct()
-    chosen = source.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    held = chosen.select("doc_id", F.explode_outer(runs(F.col("words"), width, spelt)).alias("shingle")).distinct()
+    index = materialize(sizes.select("item_id", "class_need", F.explode(sketch).alias("hash")))
+
+    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                         F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("row"))
+    # The outer explode gives a null for a text without words; no join keeps it. With a
+    # plain one, or a size that can be null, the optimizer would test the array first and
+    # so work it out twice.
+    probe = source.select("row", words(F.col("text")).alias("words"))
+    probe = probe.select("row", runs(F.col("words"), width, F.xxhash64).alias("hashes"))
+    probe = probe.select("row", F.coalesce(F.size("hashes"), F.lit(0)).alias("n_doc"), F.explode_outer("hashes").alias("hash"))
+    hits = probe.join(bounded(index), "hash").where(F.col("n_doc") >= F.col("class_need"))
+    pairs = materialize(hits.select("row", "item_id").distinct())
+
+    chosen = source.join(pairs.select("row").distinct(), "row", "left_semi").select(
+        "doc_id", "row", words(F.col("text")).alias("words"))
+    held = chosen.select("doc_id", "row", F.explode_outer(runs(F.col("words"), width, spelt)).alias("shingle")).distinct()
     found = held.join(bounded(asked.select("item_id", "shingle")), "shingle")
-    wanted = pairs.select(F.col("doc_id").alias("id"), F.col("item_id").alias("item"))
-    found = found.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))
-                       & F.col("item_id").eqNullSafe(F.col("item")), "left_semi")
-    counted = found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared"))
-    total = sizes.select(F.col("item_id").alias("item"), F.col("n_item"), "need")
+    wanted = pairs.select(F.col("row").alias("at"), F.col("item_id").alias("item"))
+    found = found.join(wanted, (F.col("row") == F.col("at")) & F.col("item_id").eqNullSafe(F.col("item")), "left_semi")
+    counted = found.groupBy("doc_id", "row", "item_id").agg(F.count("*").alias("c"))
+    counted = counted.groupBy("doc_id", "item_id").agg(F.max("c").alias("n_shared"))
+    total = sizes.select(F.col("item_id").alias("item"), "n_item", "need")
     return counted.join(total, F.col("item_id").eqNullSafe(F.col("item"))).where(
         F.col("n_shared") >= F.col("need")).select(
         "doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))

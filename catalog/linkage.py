@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.functions.similarity import (gauss_similarity, jaro_winkler, jw_at_least, lev_at_least,
@@ -11,7 +11,7 @@ from corpuslink.functions.text import normalize_key, serialize_record
 from corpuslink.operators import pairs as PR
 from corpuslink.operators.assignment import one_to_one
 from corpuslink.operators.keyed import common_keys, dedup_first, distinct_keys, keep_common, upsert_last
-from corpuslink.operators.learned import (apply_linker, apply_text_matcher, score_profiles, train_linker,
+from corpuslink.operators.learned import (apply_linker, apply_text_matcher, train_linker,
                                           train_text_matcher)
 from corpuslink.operators.matching import block_keys, block_sizes, neighbourhood_keys, similar_values
 from corpuslink.operators.mediation import (DEALER_MAPPING, LISTING_MAPPING, align_to_schema, drop_key,
@@ -19,7 +19,7 @@ from corpuslink.operators.mediation import (DEALER_MAPPING, LISTING_MAPPING, ali
 from corpuslink.operators.metrics import blocking_report, label_metrics, pair_metrics
 from corpuslink.operators.pairs import A_ID, B_ID
 from corpuslink.operators.profile import feature_analysis
-from corpuslink.operators.rules import rule_link, with_scores
+from corpuslink.operators.rules import rule_link
 from corpuslink.operators.sampling import sample_keys, sample_rows, shuffle, split_pairs, with_row_ids
 from corpuslink.operators.scale import materialize, materialize_all
 from corpuslink.plans import records as plan

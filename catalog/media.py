@@ -13,12 +13,12 @@ from corpuslink.operators import media as M
 from corpuslink.operators import papers as PP
 from corpuslink.operators.tfidf import cosine_pairs, tfidf
 from corpuslink.plans import corpus as plan
-from corpuslink.plans.search import BOOSTS, corpus_search
+from corpuslink.plans.search import corpus_search
 from corpuslink.operators.scale import literal_rows
 from corpuslink.functions.markup import xml_text_udf
 from corpuslink.functions.text import clean_text
 
-from .common import WORDS2, clean, idf_sql, quote, run_sql, table, terms_sql
+from .common import WORDS2, clean, quote, run_sql, table, terms_sql
 from .search import STOPS
 
 

@@ -11,20 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+SLICE = 1_000
+
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | None]],
                 schema: str) -> DataFrame:
     """Apply `make()`, built once in each task, to every Arrow batch of the frame.
 
     The function gets a record batch and returns columns by name (or None for no
-    rows). Tasks keep no state that a repeated attempt could see twice.
+    rows). Batches are handed on in slices of at most `SLICE` rows, which bounds what a
+    task holds at once. Tasks keep no state that a repeated attempt could see twice.
     """
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            if batch.num_rows and (out := step(batch)) is not None:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+            if (out := step(batch)) is not None:
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x, pa.Array) else pa.array(x, arrow.field(n).type)
                      for n, x in ((f.name, out[f.name]) for f in arrow)], schema=arrow)

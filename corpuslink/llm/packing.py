@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.llm.batches import id_and_text, map_batches
-from corpuslink.llm.wordpieces import WordPieces, _Store
+from corpuslink.llm.wordpieces import WordPieces, _Store, packed
 from corpuslink.operators.scale import materialize
 
 
@@ -28,8 +28,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """
     def make():
         pieces = WordPieces(tokenizer, lower=True)
-        words = _Store(lambda w: np.array(pieces.ids(w), "<u4").tobytes())
-        end = np.array([separator], "<u4").tobytes()
+        words = _Store(pieces.ids)
+        end = packed([separator])
 
         def step(batch: pa.RecordBatch) -> dict:
             out = defaultdict(list)
@@ -37,7 +37,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             for row, text in enumerate(batch.column("text")):
                 text = text.as_py() or ""
                 if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # no white space to the library
-                    ids = np.array(pieces.whole(text), "<u4").tobytes() + end
+                    ids = packed(pieces.whole(text)) + end
                 else:
                     ids = b"".join(map(words.__getitem__, text.split())) + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):

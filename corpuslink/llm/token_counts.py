@@ -73,7 +73,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """
     def make():
         pieces = WordPieces(tokenizer, lower=False)
-        counts = _Store(lambda part: len(pieces.ids(part)))
+        counts = _Store(lambda part: len(pieces.ids(part)) // 4)
         special = re.compile("|".join(map(re.escape, pieces.special)) or "(?!)")
 
         def count(text: str) -> int:

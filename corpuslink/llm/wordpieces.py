@@ -10,6 +10,7 @@ the library's whole `encode`.
 from __future__ import annotations
 
 import re
+import struct
 
 from tokenizers import Tokenizer
 
@@ -26,7 +27,7 @@ DROPPED = re.compile(f"{CONTRACTION}|{LETTER}+|[{NUMBER}]|{OTHER}+")
 RARE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x7f-\\x9f\\u0250-\\U0010ffff]")
 
 #: Different parts kept per task before the store starts anew.
-STORE = 400_000
+STORE = 300_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -49,6 +50,11 @@ class _Store(dict):
         return value
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordPieces:
     """Token ids of parts of texts; `lower` for files that lower-case and drop white space."""
 
@@ -63,19 +69,19 @@ class WordPieces:
     def special(self) -> list[str]:
         return self._special
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         spelt = piece if piece.isascii() and piece.isalpha() else \
             piece.encode().decode("latin-1").translate(self._letters)
-        return tuple(t.id for t in self._model.tokenize(spelt))
+        return packed([t.id for t in self._model.tokenize(spelt)])
 
     def whole(self, text: str) -> list[int]:
         """The library's ids of a whole text."""
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
-    def ids(self, part: str) -> list[int]:
-        """The library's ids of a part whose ends no pre-token crosses."""
+    def ids(self, part: str) -> bytes:
+        """The library's ids, packed, of a part whose ends no pre-token crosses."""
         if RARE.search(part) or any(s in part for s in self._special):
-            return self.whole(part)
+            return packed(self.whole(part))
         if self._lower:
             part = part.lower()
-        return [i for p in self._cut.findall(part) for i in self._pieces[p]]
+        return b"".join(map(self._pieces.__getitem__, self._cut.findall(part)))

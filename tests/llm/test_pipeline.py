@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from corpuslink.llm import queries
+from corpuslink.llm import near_copies, queries
 
 
 def test_stages_keep_clean_documents_and_drop_the_rest(spark, tmp_path):
@@ -48,3 +48,48 @@ def test_stages_keep_clean_documents_and_drop_the_rest(spark, tmp_path):
 def test_every_operator_is_registered():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
     assert set(queries.ORACLE) <= set(queries.QUERIES) and corpus_pipeline.QUERIES.keys() == {"pipeline"}
+
+
+def shingle_set(text):
+    w = text.split()
+    return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_edited_copies_go_in_the_pipeline_and_lesser_ones_stay(spark):
+    rng = random.Random(8)
+
+    def words(n):
+        return ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(n)]
+
+    rows = [(1000 + k, " ".join(words(90))) for k in range(20)] + [(2000, None), (2001, ""), (2002, "one two")]
+    for group in range(12):
+        base = words(120)
+        rows.append((20 * group, " ".join(base)))
+        for k in range(1, 12):  # up to three edits leave 0.8 of the shingles, more do not
+            w = list(base)
+            for at in rng.sample(range(10, 110), k):
+                w[at] = words(1)[0]
+            rows.append((20 * group + k, " ".join(w)))
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, "").collect()}
+    sets = {i: shingle_set(t or "") for i, t in rows}
+
+    def alike(a, b):
+        return len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+
+    stay = sorted(i for i in kept if sets[i])
+    assert not any(alike(a, b) for a in stay for b in stay if a < b)
+    gone = {i for i, _ in rows if sets[i]} - kept
+    assert all(any(alike(i, j) for j in sets if j != i and sets[j]) for i in gone) and len(gone) > 24
+    assert all(20 * g in kept and 20 * g + 1 not in kept for g in range(12))
+    assert kept >= {1000 + k for k in range(20)} | {2000, 2002} and 2001 not in kept
+
+
+def test_a_hot_group_of_near_copies_and_an_empty_table(spark):
+    rng = random.Random(9)
+    base = ["w%d" % rng.randrange(10_000) for _ in range(100)]
+    rows = [(k, " ".join([*base[:k % 90], "x%d" % k, *base[k % 90 + 1:]])) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in near_copies.near_copies(docs).collect()} == {0}
+    assert near_copies.near_copies(docs.where("doc_id < 0")).count() == 0

@@ -11,6 +11,8 @@ from corpuslink.operators.scale import materialize
 
 SPACES = " \t\x0b\f\r"
 FIELD = "<*>"
+#: Lines of fewer tokens are taken literally: all their tokens lead, none is a field.
+LITERAL = 3
 #: Full leaves are looked up by slot, so what is broadcast has at most so many rows of 4 bytes.
 SLOTS = 1 << 20
 
@@ -19,7 +21,7 @@ def parsed_lines(rows: DataFrame, depth: int) -> DataFrame:
     """Lines with their leaf of the tree: the count of tokens, then the leading tokens.
 
     `plain` has the words of a line with one space between them; a word that holds a
-    digit is a variable field. Each step reads only columns of the one before, so that
+    digit is a variable field, except in short lines. Blank lines have no tokens. Each step reads only columns of the one before, so that
     no expression is worked out twice.
     """
     lines = rows.select("row", F.length("text").alias("total"),
@@ -27,11 +29,12 @@ def parsed_lines(rows: DataFrame, depth: int) -> DataFrame:
     odd = reduce(Column.__or__, [F.contains("line", F.lit(gap)) for gap in ("  ", *SPACES[1:])])
     spaced = F.trim(F.when(odd, F.regexp_replace("line", f"[{SPACES}]+", " ")).otherwise(F.col("line")))
     lines = lines.select("row", "total", "pos", F.length("line").alias("chars"), spaced.alias("plain"))
-    lines = lines.withColumn("plain", F.when(F.col("plain").rlike("[0-9]"), F.regexp_replace(
+    lines = lines.withColumn("n", F.when(F.col("plain") == "", 0).otherwise(
+        F.octet_length("plain") + 1 - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))))
+    lines = lines.withColumn("plain", F.when((F.col("n") >= LITERAL) & F.col("plain").rlike("[0-9]"), F.regexp_replace(
         "plain", "[^ ]*[0-9][^ ]*", FIELD)).otherwise(F.col("plain")))
-    lines = lines.withColumn("n", F.octet_length("plain") + 1
-                             - F.octet_length(F.replace("plain", F.lit(" "), F.lit(""))))
-    return lines.withColumn("leaf", F.xxhash64("n", F.substring_index("plain", " ", depth)))
+    leading = F.when(F.col("n") < LITERAL, F.col("plain")).otherwise(F.substring_index("plain", " ", depth))
+    return lines.withColumn("leaf", F.xxhash64("n", leading))
 
 
 def slot(leaf: Column) -> Column:
@@ -75,7 +78,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Returns doc_id, text (kept lines, joined by a line feed), n_lines, n_dropped and the
     columns `keep` that are not called so. A null text stays null with 0 lines; an
-    empty text is one empty line. Lines of fewer than `min_tokens` tokens are kept.
+    empty text is one empty line. Lines of fewer than `min_tokens` tokens are kept; with
+    1 just blank lines are, and lines of one or two tokens go where they recur literally.
     A text that loses all lines becomes empty; no row is dropped. Rows equal in id
     and text count as one document and are treated alike. Only lines of leaves that
     are full enough to recur are kept beyond the first count.

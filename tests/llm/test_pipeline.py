@@ -93,3 +93,18 @@ def test_a_hot_group_of_near_copies_and_an_empty_table(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.component_id for r in near_copies.near_copies(docs).collect()} == {0}
     assert near_copies.near_copies(docs.where("doc_id < 0")).count() == 0
+
+
+def test_short_recurring_lines_go_in_the_pipeline(spark):
+    rng = random.Random(10)
+
+    def prose():
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(12))
+
+    rows = [(k, f"{prose()}\nLes.\n\nRead more\n{k}\nPage {k}\n{prose()}") for k in range(14)]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    for k, text in rows:
+        lines = text.split("\n")
+        assert got[k] == [lines[0], "", str(k), f"Page {k}", lines[6]]

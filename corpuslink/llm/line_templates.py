@@ -65,7 +65,7 @@ def templates(lines: DataFrame, constant: float) -> DataFrame:
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          min_docs: int = 10, min_tokens: int = 3, depth: int = 3,
                          constant: float = 0.7, host_share: float = 0.5,
-                         keep: tuple[str, ...] = ()) -> DataFrame:
+                         near: float | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Drop the lines whose template recurs in `min_docs` documents or more.
 
     Lines are parsed into a tree of fixed depth: by their count of tokens, then by
@@ -76,6 +76,11 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     `host_share` of its characters; what at least `min_docs` hosts hold is dropped
     from all documents, hosts or not.
 
+    With `near` copies are told apart directly, and `host_share` does not matter: every
+    document counts, but equal texts count once. Documents of which recurring
+    templates hold more than the share `near` are near copies of others; those with
+    the same smallest template hash among their recurring ones count once.
+
     Returns doc_id, text (kept lines, joined by a line feed), n_lines, n_dropped and the
     columns `keep` that are not called so. A null text stays null with 0 lines; an
     empty text is one empty line. Lines of fewer than `min_tokens` tokens are kept; with
@@ -95,15 +100,22 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lines = lines.select("row", "total", "pos", "chars", "n", "leaf", F.split("plain", " ").alias("tokens"))
     found = materialize(templates(materialize(lines).where(F.col("n") >= min_tokens), constant))
 
-    def held(by: DataFrame) -> DataFrame:
-        """Templates in `min_docs` rows or more."""
-        return materialize(by.select("row", "template").distinct().groupBy("template")
+    def held(by: DataFrame, one: str = "row") -> DataFrame:
+        """Templates in `min_docs` rows or more, or with as many different values of `one`."""
+        return materialize(by.select(one, "template").distinct().groupBy("template")
                            .agg(F.count("*").alias("c")).where(F.col("c") >= min_docs).select("template"))
 
     again = found.join(held(found), "template", "left_semi")
-    hosts = materialize(again.groupBy("row", "total").agg(F.sum("chars").alias("again"))
-                        .where(F.col("again") <= F.col("total") * host_share).select("row"))
-    boiler = held(found.join(hosts, "row", "left_semi"))
+    if near is None:
+        hosts = materialize(again.groupBy("row", "total").agg(F.sum("chars").alias("again"))
+                            .where(F.col("again") <= F.col("total") * host_share).select("row"))
+        boiler = held(found.join(hosts, "row", "left_semi"))
+    else:
+        shares = again.groupBy("row", "total").agg(F.sum("chars").alias("again"), F.min("template").alias("low"))
+        texts = docs.select(row.alias("row"), F.xxhash64(F.col(f"`{text_col}`")).alias("same")).distinct()
+        voices = materialize(shares.join(texts.hint("merge"), "row").select("row", F.when(
+            F.col("again") <= F.col("total") * near, F.col("same")).otherwise(F.col("low")).alias("voice")))
+        boiler = held(again.join(voices, "row"), "voice")
     drops = materialize(found.join(boiler, "template", "left_semi").groupBy("row")
                         .agg(F.collect_set("pos").alias("__drop")))
 

@@ -108,3 +108,22 @@ def test_short_recurring_lines_go_in_the_pipeline(spark):
     for k, text in rows:
         lines = text.split("\n")
         assert got[k] == [lines[0], "", str(k), f"Page {k}", lines[6]]
+
+
+def test_long_footers_of_short_pages_go_in_the_pipeline_and_copies_stay(spark):
+    rng = random.Random(11)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+    footer = "\n".join(prose(17) for _ in range(3))
+    rows = [(k, f"{prose(34)}\n{footer}") for k in range(30)]  # 203 own characters, 303 of the footer
+    copy = [prose(12) for _ in range(20)]
+    rows += [(100 + k, "\n".join(copy)) for k in range(30)]
+    edited = {200 + k: [prose(12) if at == k % 20 else line for at, line in enumerate(copy)] for k in range(30)}
+    rows += [(i, "\n".join(lines)) for i, lines in edited.items()]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    assert all(got[k] == rows[k][1].split("\n")[0] for k in range(30))
+    assert all(got[i] == t for i, t in rows[30:])

@@ -274,26 +274,45 @@ def varied(names: list[list[str]], texts: np.ndarray, labels: np.ndarray,
 
 def fit_labeller(pages: DataFrame, html_col: str = "html", sample: int = 300, longest: int = 300,
                  copies: int = 4, seed: int = 11) -> Labeller | None:
-    """Train on about `sample` pages, drawn by a hash of their html, of at most `longest` blocks.
+    """Train on `sample` different pages, drawn by a hash of their html, of at most `longest` blocks.
 
-    Blocks are labelled by rules on telling elements; what the tasks send is one short
-    row a block. Each page is read as it is and in `copies` variants. None without pages.
+    Copies are one page. If the pages drawn have no blocks, more are drawn. If all are
+    longer, pieces of `longest` blocks stand for them, drawn by hash. Blocks are labelled
+    by rules on telling elements; what the tasks send is one short row a block, of at
+    most `sample` pages or pieces. Each page is read as it is and in `copies` variants.
+    None if no page has a block.
     """
-    rows = pages.select(F.col(f"`{html_col}`").alias("html")).where("html is not null")
-    share = min(1.0, sample / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64("html"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    rows = pages.select(F.xxhash64(f"`{html_col}`").alias("h"), F.col(f"`{html_col}`").alias("html")).where(
+        "html is not null")
+    order = rows.select("h").distinct().orderBy(F.pmod("h", F.lit(1 << 40)), "h")
 
     def make():
-        def step(batch: pa.RecordBatch) -> dict | None:
-            found = [b for b in (blocks(p.as_py()) for p in batch.column("html")) if 0 < len(b) <= longest]
-            return {"names": [[path_names(b) for b in page] for page in found],
-                    "texts": [[text_vector(b, k / len(page)).tolist() for k, b in enumerate(page)] for page in found],
-                    "labels": [[rule_label(b) for b in page] for page in found]}
+        def step(batch: pa.RecordBatch) -> dict:
+            out = {c: [] for c in ("long", "place", "names", "texts", "labels")}
+            for h, page in zip(batch.column("h").to_pylist(), batch.column("html")):
+                found = blocks(page.as_py())
+                for at in range(0, len(found), longest):
+                    piece = found[at:at + longest]
+                    out["long"].append(len(found) > longest)
+                    out["place"].append(zlib.crc32(f"{h} {at}".encode()))
+                    out["names"].append([path_names(b) for b in piece])
+                    out["texts"].append([text_vector(b, (at + k) / len(found)).tolist() for k, b in enumerate(piece)])
+                    out["labels"].append([rule_label(b) for b in piece])
+            return out
 
         return step
 
-    schema = "names array<array<string>>, texts array<array<double>>, labels array<int>"
-    got = sorted(map(tuple, map_batches(drawn, make, schema).collect()))
+    schema = "long boolean, place bigint, names array<array<string>>, texts array<array<double>>, labels array<int>"
+    got, take = [], sample
+    while not got:
+        chosen = [r.h for r in order.limit(take).collect()]
+        drawn = rows.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html"))
+        got = map_batches(drawn, make, schema).orderBy("long", "place").limit(sample).collect()
+        if len(chosen) < take:
+            break
+        take *= 4
+    short = [r for r in got if not r.long] or got
+    got = sorted((r.names, r.texts, r.labels) for r in short)
     if not got:
         return None
     rng = np.random.default_rng(seed)

@@ -185,6 +185,27 @@ def test_main_text_of_pages(spark):
     assert html_blocks.fit_labeller(nothing) is None and html_blocks.main_text(nothing, None).count() == 0
 
 
+def test_labeller_of_copies_and_of_long_pages(spark):
+    def page(k, n):
+        paragraphs = "".join(f"<p>words of the text {k} {j}</p>" for j in range(n))
+        return f"<html><body><nav>menu {k}</nav><article>{paragraphs}</article><footer>end {k}</footer></body></html>"
+
+    def fitted(pages, **options):
+        frame = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+        return html_blocks.fit_labeller(frame, copies=1, **options)
+
+    def same(one, other):
+        return all(np.array_equal(one.w[k], other.w[k]) for k in one.w)
+
+    few = [page(k, 4) for k in range(3)]
+    model = fitted(few, sample=4)
+    assert same(model, fitted(few * 100, sample=4))  # copies are neither lost nor drawn as often as they occur
+    empty = [f"<p></p><!-- {k} -->" for k in range(30)]
+    assert fitted(empty + few, sample=4) is not None and fitted(empty, sample=4) is None
+    assert fitted([page(k, 50) for k in range(3)], sample=4, longest=20) is not None
+    assert same(model, fitted([*few, page(9, 50)], sample=4, longest=20))
+
+
 def shingles(texts):
     out = set()
     for t in texts:

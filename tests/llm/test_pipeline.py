@@ -46,7 +46,7 @@ def test_stages_keep_clean_documents_and_drop_the_rest(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES) and corpus_pipeline.QUERIES.keys() == {"pipeline"}
 
 

@@ -21,18 +21,22 @@ from corpuslink.operators.scale import materialize
 #: Bits of a word's number inside a task; three numbers make the code of a phrase.
 BITS = 21
 MASK = (1 << BITS) - 1
+#: Bits of a code below each level of the trie: ranges of 256 first words, first words, second words.
+LEVELS = (2 * BITS + 8, 2 * BITS, BITS)
 #: Phrases a task counts before it spills, words and their bytes before it starts anew.
-ENTRIES, WORDS, WORD_BYTES = 1_000_000, 1 << 20, 32 << 20
+ENTRIES, WORDS, WORD_BYTES = 500_000, 1 << 19, 16 << 20
 #: Bytes of text after which counts of words are handed out.
 READ = 128 << 20
-#: Rests of a first word in one hash container before it bursts into one for each second word.
+#: Phrases in one hash container before it bursts into a node of the next level.
 BURST = 16_384
-#: Bytes of text that are cut into words at a time, entries and bytes of a row of a run.
-GROUP, RUN_ROWS, RUN_BYTES = 1 << 20, 4_096, 1 << 18
+#: Bytes of text that are cut into words at a time, codes that are added at a time, entries and bytes of a row of a run.
+GROUP, CODES, RUN_ROWS, RUN_BYTES = 1 << 20, 1 << 19, 4_096, 1 << 18
+#: Occurrences of words that share a prefix partition.
+SHARE = 1 << 15
 #: A word that holds more than this part of all words has its phrases dealt over several partitions.
 HOT = 10_000
 #: Ranges of hash among which a language's best phrases are first sought.
-SALTS = 256
+SALTS = 64
 
 #: A-Z in lower case, tabs as blanks, all that ends a piece as a byte that no text has.
 _PLAIN = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -40,14 +44,15 @@ _END = b"\xff"
 
 
 class _Numbers(dict):
-    """Numbers of words, from 1, in the order of their coming; the end of a piece is 0."""
+    """Numbers of words, from 1, in the order of their coming, and their hashes; the end of a piece is 0."""
 
     def __init__(self):
         super().__init__({_END: 0})
-        self.size = 0
+        self.size, self.hashes = 0, [0]
 
     def __missing__(self, word: bytes) -> int:
         self.size += len(word)
+        self.hashes.append(xxhash.xxh64_intdigest(word, 42))
         number = self[word] = len(self)
         return number
 
@@ -55,70 +60,72 @@ class _Numbers(dict):
 class HatTrie:
     """Counts of phrases of up to three word numbers.
 
-    A shallow trie: the first number leads to a hash container of the rests. A
-    container that has grown beyond `BURST` bursts into a node with a container for each
-    second number. When there are more than `entries` phrases, whole subtrees are
-    handed out, the largest first, until half are left.
+    Hash containers below a shallow trie. At first a container holds all phrases whose
+    first words lie in a range; one that has grown beyond `BURST` bursts into a node
+    with a container for each first word, and such a one into a node with one for each
+    second word. Whole subtrees are handed out, the largest first.
     """
 
-    def __init__(self, entries: int = ENTRIES):
-        self.roots: dict[int, Counter | dict[int, Counter]] = {}
+    def __init__(self):
+        self.roots: dict[int, Counter | dict] = {}
         self.sizes: Counter = Counter()
-        self.entries, self.total = entries, 0
+        self.total = 0
 
     def add(self, codes: np.ndarray) -> None:
         """Counts codes (three numbers in one, 0 for none)."""
-        codes = np.sort(codes)
-        firsts = codes >> 2 * BITS
-        cuts = np.flatnonzero(np.diff(firsts, prepend=-1, append=-1))
-        rests = (codes & (1 << 2 * BITS) - 1).tolist()
-        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-            self._add(int(firsts[a]), rests[a:b])
-
-    def _add(self, first: int, rests: list[int]) -> None:
-        node = self.roots.get(first)
-        if node is None:
-            node = self.roots[first] = Counter()
-        if type(node) is Counter:
-            node.update(rests)
-            size = len(node)
-            if size > BURST:
-                parts: dict[int, Counter] = {}
-                for rest, n in node.items():
-                    parts.setdefault(rest >> BITS, Counter())[rest & MASK] = n
-                self.roots[first] = parts
-        else:
-            size, at = self.sizes[first], 0
-            while at < len(rests):
-                second, end = rests[at] >> BITS, at + 1
-                while end < len(rests) and rests[end] >> BITS == second:
-                    end += 1
-                part = node.setdefault(second, Counter())
-                size -= len(part)
-                part.update([r & MASK for r in rests[at:end]])
-                size, at = size + len(part), end
-        self.total += size - self.sizes[first]
-        self.sizes[first] = size
-
-    def _take(self, first: int) -> tuple[np.ndarray, np.ndarray]:
-        node, size = self.roots.pop(first), self.sizes.pop(first)
-        self.total -= size
-        if type(node) is Counter:
-            rests, counts = np.fromiter(node.keys(), np.int64, size), np.fromiter(node.values(), np.int64, size)
+        self.total += self._add(self.roots, np.sort(codes), 0, self.sizes)
+
+    def _add(self, nodes: dict, codes: np.ndarray, level: int, sizes: Counter | None = None) -> int:
+        """How many phrases below `nodes` are new."""
+        keys = codes >> LEVELS[level]
+        cuts = np.flatnonzero(np.diff(keys, prepend=-1, append=-1)).tolist()
+        rests, keys, new = codes & (1 << LEVELS[level]) - 1, keys[cuts[:-1]].tolist(), 0
+        for key, a, b in zip(keys, cuts, cuts[1:]):
+            node = nodes.get(key)
+            if type(node) is dict:
+                more = self._add(node, rests[a:b], level + 1)
+            else:
+                if node is None:
+                    node = nodes[key] = Counter()
+                more = -len(node)
+                node.update(rests[a:b].tolist())
+                more += len(node)
+                if len(node) > BURST and level + 1 < len(LEVELS):
+                    nodes[key] = self._burst(node, level + 1)
+            new += more
+            if sizes is not None:
+                sizes[key] += more
+        return new
+
+    @staticmethod
+    def _burst(node: Counter, level: int) -> dict:
+        below: dict[int, Counter] = {}
+        mask = (1 << LEVELS[level]) - 1
+        for rest, n in node.items():
+            key = rest >> LEVELS[level]
+            if key not in below:
+                below[key] = Counter()
+            below[key][rest & mask] = n
+        return below
+
+    def _gather(self, node: Counter | dict, above: int, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if type(node) is dict:
+            for key, child in node.items():
+                yield from self._gather(child, above | key << LEVELS[level + 1], level + 1)
         else:
-            rests = np.concatenate([np.fromiter(p.keys(), np.int64, len(p)) | second << BITS for second, p in node.items()])
-            counts = np.concatenate([np.fromiter(p.values(), np.int64, len(p)) for p in node.values()])
-        return rests | first << 2 * BITS, counts
+            yield (np.fromiter(node.keys(), np.int64, len(node)) | above, np.fromiter(node.values(), np.int64, len(node)))
 
-    def spill(self, everything: bool = False) -> tuple[np.ndarray, np.ndarray] | None:
-        """Codes and counts of the subtrees that must go, if any."""
-        if not self.total or not everything and self.total <= self.entries:
+    def spill(self, left: int = 0) -> tuple[np.ndarray, np.ndarray] | None:
+        """Codes and counts of the subtrees that must go for at most `left` phrases to stay, if any."""
+        if self.total <= left:
             return None
-        left, gone = 0 if everything else self.entries // 2, []
-        for first, _ in self.sizes.most_common():
+        gone: list[tuple[np.ndarray, np.ndarray]] = []
+        for key, size in self.sizes.most_common():
             if self.total <= left:
                 break
-            gone.append(self._take(first))
+            gone += self._gather(self.roots.pop(key), key << LEVELS[0], 0)
+            del self.sizes[key]
+            self.total -= size
         return tuple(map(np.concatenate, zip(*gone)))
 
 
@@ -145,32 +152,40 @@ def _codes(numbers: np.ndarray, most: int) -> np.ndarray:
     return np.concatenate(codes)
 
 
-def _runs(lang: str, words: list[bytes], codes: np.ndarray, counts: np.ndarray, slots: dict) -> dict:
-    """Rows of sorted runs: a first word, its rests in order, their counts; hot words by slot."""
-    order = np.argsort(np.array(words, object), kind="stable")
-    rank = np.zeros(len(words) + 1, np.int64)
-    rank[1 + order] = np.arange(1, len(words) + 1)
-    spelt = pa.array([words[k] for k in order.tolist()], pa.binary()).cast(pa.string())
-    hashes = np.array([0, *[xxhash.xxh64_intdigest(words[k], 42) for k in order.tolist()]], np.uint64)
-    spread = np.ones(len(words) + 1, np.uint64)
+def _runs(lang: str, numbers: _Numbers, codes: np.ndarray, counts: np.ndarray, ranges: int, slots: dict) -> dict:
+    """Rows of sorted runs: a prefix partition, its phrases and their counts, in the order of the words' hashes.
+
+    The partition is the range of the first word's hash, and the slot of the other words of hot first words.
+    """
+    hashes, words = np.array(numbers.hashes, np.uint64), list(numbers)
+    order = np.argsort(hashes[1:])
+    rank = np.zeros(len(words), np.int64)
+    rank[1 + order] = np.arange(1, len(words))
+    spelt = pa.array(words, pa.binary()).slice(1).take(pa.array(order)).cast(pa.string())
+    hashes[1:] = hashes[1:][order]
+    codes = rank[codes >> 2 * BITS] << 2 * BITS | rank[codes >> BITS & MASK] << BITS | rank[codes & MASK]
+    order = np.argsort(codes)
+    codes, counts = codes[order], counts[order]
+    a, b, c = codes >> 2 * BITS, codes >> BITS & MASK, codes & MASK
+    part = (hashes[a] >> np.uint64(33)).astype(np.int64) * ranges >> 31
+    slot = np.zeros(len(a), np.int64)
     if slots:
-        spread[1:] = [slots.get((lang, h), 1) for h in hashes[1:].tolist()]
-    a, b, c = rank[codes >> 2 * BITS], rank[codes >> BITS & MASK], rank[codes & MASK]
-    slot = ((hashes[b] * np.uint64(0x9E3779B97F4A7C15) + hashes[c]) >> np.uint64(20)) % spread[a]
-    order = np.lexsort((c, b, slot, a))
-    a, b, c, slot, counts = a[order], b[order], c[order], slot[order], counts[order]
+        spread = np.array([1, *[slots.get((lang, h), 1) for h in hashes[1:].tolist()]], np.uint64)[a]
+        slot = (((hashes[b] * np.uint64(0x9E3779B97F4A7C15) + hashes[c]) >> np.uint64(20)) % spread).astype(np.int64)
+        if slot.any():
+            order = np.lexsort((slot, part))
+            a, b, c, part, slot, counts = (x[order] for x in (a, b, c, part, slot, counts))
     third = pa.array(np.maximum(c - 1, 0), mask=c == 0)
-    rests = pc.binary_join_element_wise(spelt.take(pa.array(b - 1)), spelt.take(third), " ", null_handling="skip")
-    # A run ends with its word or slot, and with so many rows or bytes.
-    sizes = np.cumsum(pc.binary_length(rests).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-    cut = np.ones(len(a), bool)
-    cut[1:] = (a[1:] != a[:-1]) | (slot[1:] != slot[:-1]) | (sizes[1:] // RUN_BYTES != sizes[:-1] // RUN_BYTES)
-    cut |= np.arange(len(a)) % RUN_ROWS == 0
+    phrases = pc.binary_join_element_wise(spelt.take(pa.array(a - 1)), spelt.take(pa.array(b - 1)), spelt.take(third), " ",
+                                          null_handling="skip")
+    # A run ends with its partition, and with so many rows or bytes.
+    sizes = np.cumsum(pc.binary_length(phrases).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    cut = np.arange(len(a)) % RUN_ROWS == 0
+    cut[1:] |= (part[1:] != part[:-1]) | (slot[1:] != slot[:-1]) | (sizes[1:] // RUN_BYTES != sizes[:-1] // RUN_BYTES)
     starts = np.flatnonzero(cut)
     offsets = pa.array(np.append(starts, len(a)).astype(np.int32))
-    return {"lang": pa.array([lang] * len(starts), pa.string()), "word": spelt.take(pa.array(a[starts] - 1)),
-            "slot": pa.array(slot[starts].astype(np.int32)),
-            "rests": pc.binary_join(pa.ListArray.from_arrays(offsets, rests), "\n"),
+    return {"lang": pa.array([lang] * len(starts), pa.string()), "part": pa.array(part[starts]), "slot": pa.array(slot[starts]),
+            "phrases": pc.binary_join(pa.ListArray.from_arrays(offsets, phrases), "\n"),
             "counts": pa.ListArray.from_arrays(offsets, pa.array(counts))}
 
 
@@ -207,7 +222,7 @@ class _WordCounts:
         self.read += sum(map(len, words))
 
     def flush(self, last: bool) -> Iterator[dict]:
-        if not last and self.read < READ and sum(map(len, self.counts.values())) < ENTRIES:
+        if not last and self.read < READ and sum(map(len, self.counts.values())) < WORDS:
             return
         for lang, found in self.counts.items():
             for no_word in (b"", _END):
@@ -220,28 +235,35 @@ class _WordCounts:
 class _PhraseCounts:
     """A trie for each language, and one numbering of words for all."""
 
-    def __init__(self, most: int, slots: dict, entries: int):
-        self.most, self.slots, self.entries = most, slots, entries
-        self.numbers, self.tries = _Numbers(), {}
+    def __init__(self, most: int, ranges: int, slots: dict, entries: int):
+        self.most, self.ranges, self.slots, self.entries = most, ranges, slots, entries
+        self.numbers, self.tries, self.waiting = _Numbers(), {}, {}
 
     def add(self, lang: str, words: list[bytes]) -> None:
-        words = [w for w in words if w]
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        """Codes wait until there are many, as few large steps take less than many small ones."""
+        numbers = np.fromiter(map(self.numbers.__getitem__, filter(None, words)), np.int64)
+        waiting = self.waiting.setdefault(lang, [])
+        waiting.append(_codes(numbers, self.most))
+        if sum(map(len, waiting)) > CODES:
+            self._count(lang)
+
+    def _count(self, lang: str) -> None:
         if lang not in self.tries:
-            self.tries[lang] = HatTrie(self.entries)
-        self.tries[lang].add(_codes(numbers, self.most))
+            self.tries[lang] = HatTrie()
+        self.tries[lang].add(np.concatenate(self.waiting.pop(lang)))
 
     def flush(self, last: bool) -> Iterator[dict]:
+        waiting = sum(len(c) for codes in self.waiting.values() for c in codes)
         anew = last or len(self.numbers) > WORDS or self.numbers.size > WORD_BYTES
-        if not anew and sum(t.total for t in self.tries.values()) <= self.entries:
-            return
-        words = list(self.numbers)[1:]
-        for lang, trie in sorted(self.tries.items(), key=lambda t: -t[1].total):
-            if not anew and sum(t.total for t in self.tries.values()) <= self.entries:
-                break
-            trie.entries = self.entries if anew else 0
-            if (gone := trie.spill(anew)) is not None:
-                yield _runs(lang, words, *gone, self.slots)
+        if anew or waiting > 2 * CODES:  # of many languages
+            for lang in list(self.waiting):
+                self._count(lang)
+        total, most = sum(t.total for t in self.tries.values()), 0 if anew else self.entries // 2
+        for lang, trie in sorted(self.tries.items(), key=lambda t: -t[1].total) if anew or total > self.entries else ():
+            before = trie.total
+            if total > most and (gone := trie.spill(max(0, most - (total - before)))) is not None:
+                yield _runs(lang, self.numbers, *gone, self.ranges, self.slots)
+            total -= before - trie.total
         if anew:
             self.numbers, self.tries = _Numbers(), {}
 
@@ -257,23 +279,26 @@ def phrase_counts(docs: DataFrame, words: DataFrame, most: int = 3, least: int =
                   text_col: str = "text", entries: int = ENTRIES) -> DataFrame:
     """All phrases of 2 to `most` (2 or 3) words with `least` occurrences or more: lang, phrase, f.
 
-    A task counts in a trie and spills subtrees as sorted runs. Runs are dealt out by
-    language and first word and merged there. `words` (see `word_counts`) tells which
+    A task counts in tries and spills subtrees as sorted runs. Runs are dealt out by
+    language and prefix partition (a range of first words) and merged there; there is a
+    partition for every `SHARE` words of text. `words` (see `word_counts`) tells which
     first words are hot: at most `HOT` can hold more than that part of all words, and
-    their rests are dealt over as many partitions as their share asks for.
+    their phrases are dealt over as many slots as their share asks for.
     """
     if most not in (2, 3):
         raise ValueError("phrases have 2 or 3 words at most")
     total = words.agg(F.sum("f")).first()[0] or 0
+    ranges = min(1 << 30, max(1, total // SHARE))
     hot = words.where(F.col("f") * HOT > total).select("lang", F.xxhash64("word").alias("h"), "f").collect()  # HOT rows at most
-    slots = {(r["lang"], r["h"] & (1 << 64) - 1): r["f"] * HOT // total + 1 for r in hot}
+    slots = {(r["lang"], r["h"] & (1 << 64) - 1): max(1, r["f"] // max(SHARE, total // HOT)) for r in hot}
+    slots = {word: n for word, n in slots.items() if n > 1}
     source = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    runs = _counted(source, "lang string, word string, slot int, rests string, counts array<bigint>",
-                    lambda: _PhraseCounts(most, slots, entries))
-    dealt = runs.repartition("lang", "word", "slot")
-    lone = dealt.select("lang", "word", "slot", F.inline(F.arrays_zip(F.split("rests", "\n").alias("rest"), F.col("counts").alias("c"))))
-    merged = lone.groupBy("lang", "word", "slot", "rest").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    return merged.select("lang", F.concat_ws(" ", "word", "rest").alias("phrase"), "f")
+    runs = _counted(source, "lang string, part bigint, slot bigint, phrases string, counts array<bigint>",
+                    lambda: _PhraseCounts(most, ranges, slots, entries))
+    dealt = runs.repartition("lang", "part", "slot")
+    lone = dealt.select("lang", "part", "slot", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("counts").alias("c"))))
+    merged = lone.groupBy("lang", "part", "slot", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+    return merged.select("lang", "phrase", "f")
 
 
 def _part(words: str, start, length):

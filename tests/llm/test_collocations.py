@@ -64,43 +64,58 @@ def test_no_rows_and_no_candidates(spark):
     assert collocations.top_phrases(frame(spark, [("one two", "en"), (None, None)])).count() == 0
 
 
+def test_hot_first_words_are_dealt_over_slots(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SHARE", 50)
+    rows = make_rows(11, 200)
+    docs = frame(spark, rows)
+    words = collocations.word_counts(docs)
+    got = {(r.lang, r.phrase): r.f for r in collocations.phrase_counts(docs, words, least=1, entries=300).collect()}
+    assert got == {(g, p): a for g, _, p, a, *_ in brute(rows, 1, 10 ** 9, inside=10 ** 9)}
+
+
 def test_many_words_are_numbered_anew(spark, monkeypatch):
     """Tasks start anew when they have numbered many words; workers are forked, so the limits are set in them."""
     rows = make_rows(8, 40)
-    counter = collocations._PhraseCounts(3, {}, 100)
+    counter = collocations._PhraseCounts(3, 8, {}, 100)
     monkeypatch.setattr(collocations, "WORDS", 4)
     found = Counter()
+
+    def take(out):
+        for lang, phrases, counts in zip(*(out[c].to_pylist() for c in ("lang", "phrases", "counts"))):
+            assert len(set(phrases.split("\n"))) == len(counts)
+            found.update({(lang, x): c for x, c in zip(phrases.split("\n"), counts)})
+
     for text, lang in rows:
         batch = [w for w in (text or "").encode().translate(collocations._PLAIN).replace(b"\xff", b" \xff ").split(b" ")]
         counter.add(lang or "und", [*batch, b"\xff"])
         for out in counter.flush(False):
-            for r in range(len(out["word"])):
-                rests, counts = out["rests"][r].as_py().split("\n"), out["counts"][r].as_py()
-                assert rests == sorted(rests, key=lambda x: [w.encode() for w in x.split(" ")])
-                found.update({(out["lang"][r].as_py(), f"{out['word'][r].as_py()} {x}"): c for x, c in zip(rests, counts)})
+            take(out)
     for out in counter.flush(True):
-        for r in range(len(out["word"])):
-            found.update({(out["lang"][r].as_py(), f"{out['word'][r].as_py()} {x}"): c
-                          for x, c in zip(out["rests"][r].as_py().split("\n"), out["counts"][r].as_py())})
+        take(out)
     want = {(g, p): a for g, _, p, a, *_ in brute(rows, 1, 10 ** 9, inside=10 ** 9)}
     assert found == want
 
 
 def test_containers_burst_and_whole_subtrees_are_spilled(monkeypatch):
     monkeypatch.setattr(collocations, "BURST", 8)
+    monkeypatch.setattr(collocations, "LEVELS", (44, 42, 21))
     rng = np.random.default_rng(3)
-    trie, want, spilled = collocations.HatTrie(200), Counter(), Counter()
+
+    def size(node):
+        return len(node) if type(node) is Counter else sum(map(size, node.values()))
+
+    trie, want, spilled = collocations.HatTrie(), Counter(), Counter()
     for _ in range(30):
-        a, b, c = rng.integers(1, 5, 400), rng.integers(1, 12, 400), rng.integers(0, 6, 400)
+        a, b, c = rng.integers(1, 30, 400), rng.integers(1, 12, 400), rng.integers(0, 6, 400)
         codes = a << 42 | b << 21 | c
         want.update(codes.tolist())
         trie.add(codes)
-        assert trie.total == sum(len(n) if type(n) is Counter else sum(map(len, n.values())) for n in trie.roots.values())
-        if (gone := trie.spill()) is not None:
-            assert not {int(x) >> 42 for x in gone[0]} & set(trie.roots)
+        assert trie.total == sum(map(size, trie.roots.values()))
+        if trie.total > 200 and (gone := trie.spill(100)) is not None:
+            assert not {int(x) >> collocations.LEVELS[0] for x in gone[0]} & set(trie.roots)
             spilled.update(dict(zip(gone[0].tolist(), gone[1].tolist())))
             assert trie.total <= 100
-    assert any(type(n) is dict for n in trie.roots.values()) or spilled
-    gone = trie.spill(True)
+    gone = trie.spill()
     spilled.update(dict(zip(gone[0].tolist(), gone[1].tolist())) if gone else {})
-    assert spilled == want and trie.spill(True) is None
+    assert spilled == want and trie.spill() is None
+

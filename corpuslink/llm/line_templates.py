@@ -17,17 +17,35 @@ LITERAL = 3
 SLOTS = 1 << 20
 
 
-def parsed_lines(rows: DataFrame, depth: int) -> DataFrame:
+def _any(column: str, parts: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.contains(F.col(column), F.lit(part)) for part in parts])
+
+
+def split_lines(rows: DataFrame) -> DataFrame:
+    return rows.select("row", F.length("text").alias("total"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+
+
+def with_slot(lines: DataFrame, depth: int) -> DataFrame:
+    """Adds `key`, which lines of one leaf have in common, and its slot; it costs far less than the leaf.
+
+    It is the hash of the leading tokens as they stand. Where the parser would change
+    these (digits, white space), the key is null and the slot -1: such lines are always parsed.
+    """
+    lines = lines.withColumn("short", F.substring_index(F.trim("line"), " ", depth))
+    changed = _any("short", ("  ", *SPACES[1:], FIELD)) | F.col("short").rlike("[0-9]")
+    lines = lines.withColumn("key", F.when(~changed, F.xxhash64("short"))).drop("short")
+    return lines.withColumn("slot", F.coalesce(F.pmod("key", F.lit(SLOTS)), F.lit(-1)).cast("int"))
+
+
+def parsed_lines(lines: DataFrame, depth: int) -> DataFrame:
     """Lines with their leaf of the tree: the count of tokens, then the leading tokens.
 
     `plain` has the words of a line with one space between them; a word that holds a
-    digit is a variable field, except in short lines. Blank lines have no tokens. Each step reads only columns of the one before, so that
-    no expression is worked out twice.
+    digit is a variable field, except in short lines. Blank lines have no tokens. Each
+    step reads only columns of the one before, so that no expression is worked out twice.
     """
-    lines = rows.select("row", F.length("text").alias("total"),
-                        F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    odd = reduce(Column.__or__, [F.contains("line", F.lit(gap)) for gap in ("  ", *SPACES[1:])])
-    spaced = F.trim(F.when(odd, F.regexp_replace("line", f"[{SPACES}]+", " ")).otherwise(F.col("line")))
+    spaced = F.trim(F.when(_any("line", ("  ", *SPACES[1:])), F.regexp_replace("line", f"[{SPACES}]+", " "))
+                    .otherwise(F.col("line")))
     lines = lines.select("row", "total", "pos", F.length("line").alias("chars"), spaced.alias("plain"))
     lines = lines.withColumn("n", F.when(F.col("plain") == "", 0).otherwise(
         F.octet_length("plain") + 1 - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))))
@@ -37,10 +55,6 @@ def parsed_lines(rows: DataFrame, depth: int) -> DataFrame:
     return lines.withColumn("leaf", F.xxhash64("n", leading))
 
 
-def slot(leaf: Column) -> Column:
-    return F.pmod(leaf, F.lit(SLOTS)).cast("int")
-
-
 def templates(lines: DataFrame, constant: float) -> DataFrame:
     """The template of every line of a leaf: its tokens, with fields where the leaf varies.
 
@@ -59,63 +73,56 @@ def templates(lines: DataFrame, constant: float) -> DataFrame:
     general = F.transform("tokens", lambda t, i: F.when(F.array_contains("fields", i), FIELD).otherwise(t))
     shown = F.when(F.col("fields").isNull(), F.col("tokens")).otherwise(general)
     return joined.select("row", "total", "pos", "chars",
-                         F.xxhash64("n", F.array_join(shown, " ")).alias("template"))
+                         F.md5(F.concat_ws(" ", F.array_join(shown, " "), "n")).alias("template"))
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         min_docs: int = 10, min_tokens: int = 3, depth: int = 3,
-                         constant: float = 0.7, host_share: float = 0.5,
-                         near: float | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+                         min_docs: int = 10, depth: int = 3, constant: float = 0.7,
+                         near: float = 0.8, keep: tuple[str, ...] = ()) -> DataFrame:
     """Drop the lines whose template recurs in `min_docs` documents or more.
 
     Lines are parsed into a tree of fixed depth: by their count of tokens, then by
     `depth` leading tokens; words with digits, and positions at which the lines of a
-    leaf vary, become fields of the template (see `templates`). Documents that are
-    copies of each other repeat whole texts, not boilerplate. So a document counts
-    as a host of its templates only if templates that recur hold at most the share
-    `host_share` of its characters; what at least `min_docs` hosts hold is dropped
-    from all documents, hosts or not.
+    leaf vary, become fields of the template (see `templates`). Lines of one or two
+    tokens have no fields: they go where they recur literally.
 
-    With `near` copies are told apart directly, and `host_share` does not matter: every
-    document counts, but equal texts count once. Documents of which recurring
-    templates hold more than the share `near` are near copies of others; those with
-    the same smallest template hash among their recurring ones count once.
+    Documents that are copies of each other repeat whole texts, not boilerplate. So
+    equal texts count once. Documents of which recurring templates hold more than the
+    share `near` of the characters are near copies of others; those with the same
+    smallest template (by MD5) among their recurring ones count once. What at least
+    `min_docs` such voices hold is dropped from all documents.
 
     Returns doc_id, text (kept lines, joined by a line feed), n_lines, n_dropped and the
     columns `keep` that are not called so. A null text stays null with 0 lines; an
-    empty text is one empty line. Lines of fewer than `min_tokens` tokens are kept; with
-    1 just blank lines are, and lines of one or two tokens go where they recur literally.
-    A text that loses all lines becomes empty; no row is dropped. Rows equal in id
-    and text count as one document and are treated alike. Only lines of leaves that
-    are full enough to recur are kept beyond the first count.
+    empty text is one empty line. Blank lines are kept. A text that loses all lines
+    becomes empty; no row is dropped. Rows equal in id and text count as one document and
+    are treated alike. Lines whose leading tokens are not in `min_docs` lines cannot
+    recur, and are not parsed.
     """
     row = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    lines = parsed_lines(rows, depth)
-    # A filter on n of the lines would be moved to the scan, and all lines be parsed twice.
-    full = (lines.groupBy("leaf").agg(F.count("*").alias("c"), F.min("n").alias("n"))
-            .where((F.col("c") >= min_docs) & (F.col("n") >= min_tokens)).select(slot(F.col("leaf")).alias("slot")).distinct())
-    # Lines of other leaves in the same slots come along; they cannot recur often enough.
-    lines = lines.withColumn("slot", slot(F.col("leaf"))).join(F.broadcast(full), "slot", "left_semi")
-    lines = lines.select("row", "total", "pos", "chars", "n", "leaf", F.split("plain", " ").alias("tokens"))
-    found = materialize(templates(materialize(lines).where(F.col("n") >= min_tokens), constant))
-
-    def held(by: DataFrame, one: str = "row") -> DataFrame:
-        """Templates in `min_docs` rows or more, or with as many different values of `one`."""
+    lines = with_slot(split_lines(rows), depth)
+    full = lines.where(F.col("key").isNotNull()).groupBy("key", "slot").agg(F.count("*").alias("c"))
+    full = full.where(F.col("c") >= min_docs).select("slot").distinct()
+    full = full.union(docs.sparkSession.range(1).select(F.lit(-1).alias("slot")))
+    # Lines of other keys in the same slots come along; they cannot recur often enough.
+    some = lines.join(F.broadcast(full), "slot", "left_semi")
+    parsed = parsed_lines(some, depth).where(F.col("n") > 0)
+    parsed = materialize(parsed.select("row", "total", "pos", "chars", "n", "leaf", F.split("plain", " ").alias("tokens")))
+    leaves = parsed.groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs).select("leaf")
+    found = materialize(templates(parsed.join(materialize(leaves), "leaf", "left_semi"), constant))
+
+    def held(by: DataFrame, one: str) -> DataFrame:
+        """Templates that `min_docs` different values of `one` hold."""
         return materialize(by.select(one, "template").distinct().groupBy("template")
                            .agg(F.count("*").alias("c")).where(F.col("c") >= min_docs).select("template"))
 
-    again = found.join(held(found), "template", "left_semi")
-    if near is None:
-        hosts = materialize(again.groupBy("row", "total").agg(F.sum("chars").alias("again"))
-                            .where(F.col("again") <= F.col("total") * host_share).select("row"))
-        boiler = held(found.join(hosts, "row", "left_semi"))
-    else:
-        shares = again.groupBy("row", "total").agg(F.sum("chars").alias("again"), F.min("template").alias("low"))
-        texts = docs.select(row.alias("row"), F.xxhash64(F.col(f"`{text_col}`")).alias("same")).distinct()
-        voices = materialize(shares.join(texts.hint("merge"), "row").select("row", F.when(
-            F.col("again") <= F.col("total") * near, F.col("same")).otherwise(F.col("low")).alias("voice")))
-        boiler = held(again.join(voices, "row"), "voice")
+    again = found.join(held(found, "row"), "template", "left_semi")
+    shares = again.groupBy("row", "total").agg(F.sum("chars").alias("again"), F.min("template").alias("low"))
+    texts = docs.select(row.alias("row"), F.xxhash64(F.col(f"`{text_col}`")).cast("string").alias("same")).distinct()
+    voices = materialize(shares.join(texts.hint("merge"), "row").select("row", F.when(
+        F.col("again") <= F.col("total") * near, F.col("same")).otherwise(F.col("low")).alias("voice")))
+    boiler = held(again.join(voices, "row"), "voice")
     drops = materialize(found.join(boiler, "template", "left_semi").groupBy("row")
                         .agg(F.collect_set("pos").alias("__drop")))
 

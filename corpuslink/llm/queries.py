@@ -131,20 +131,22 @@ LINES_SQL = r"""with l as (select doc_id, length(text) as total,
     generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos, unnest(string_split(text, chr(10))) as line
   from documents),
 p as (select *, regexp_replace(trim(line, E' \t\x0b\f\r'), '[ \t\x0b\f\r]+', ' ', 'g') as plain from l),
-t as (select doc_id, total, pos, length(line) as chars,
-    string_split(regexp_replace(plain, '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') as toks from p),
-f as (select *, len(toks) as n, [len(toks)::varchar, toks[1], toks[2], toks[3]] as leaf from t where len(toks) >= 3
+t as (select doc_id, total, pos, length(line) as chars, string_split(case when len(string_split(plain, ' ')) < 3 then plain
+    else regexp_replace(plain, '[^ ]*[0-9][^ ]*', '<*>', 'g') end, ' ') as toks from p where plain <> ''),
+f as (select *, len(toks) as n, [len(toks)::varchar, toks[1], toks[2], toks[3]] as leaf from t
   qualify count(*) over (partition by leaf) >= 10),
 v as (select leaf, n, p, tok, count(*) as c from (select leaf, n, unnest(toks) as tok,
     generate_subscripts(toks, 1) as p from f) group by all),
 w as (select leaf, n, list(p) as fields from (select leaf, n, p from v group by all having max(c) * 2 < sum(c))
   group by all having 10 * (n - count(*)) >= 7 * n),
-m as (select f.doc_id, total, pos, chars, array_to_string(case when fields is null then toks else
+m as (select f.doc_id, total, pos, chars, md5(array_to_string(case when fields is null then toks else
     list_transform(toks, lambda x, i: case when list_contains(fields, i) then '<*>' else x end) end, ' ')
-    || ' ' || f.n as template from f left join w on f.leaf = w.leaf),
+    || ' ' || f.n) as template from f left join w on f.leaf = w.leaf),
 a as (select template from m group by template having count(distinct doc_id) >= 10),
-h as (select doc_id from m semi join a using (template) group by doc_id, total having sum(chars) <= total * 0.5),
-b as (select template from m semi join h using (doc_id) group by template having count(distinct doc_id) >= 10),
+h as (select doc_id, case when sum(chars) <= total * 0.8::double then 's' || any_value(text) else 't' || min(template) end as voice
+  from m semi join a using (template) join documents using (doc_id) group by doc_id, total),
+b as (select template from m semi join a using (template) join h using (doc_id) group by template
+  having count(distinct voice) >= 10),
 d as (select doc_id, list(pos) as gone from m semi join b using (template) group by doc_id)
 select doc_id, case when gone is null then text else array_to_string(list_transform(list_filter(
     list_zip(string_split(text, chr(10)), range(len(string_split(text, chr(10))))),

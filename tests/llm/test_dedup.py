@@ -101,6 +101,27 @@ def test_recurring_lines_go_and_copies_stay(docs):
     assert got[302].text == "" and got[302].n_dropped == 1 and got[302].lang == "en"
 
 
+def test_footer_heavy_pages_and_short_lines(docs):
+    """Pages of twenty words of their own lose a four-line footer and "Read more", however they are spaced."""
+    rng = random.Random(12)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+    footer = [prose(9) for _ in range(4)]
+    own = [prose(20) for _ in range(200)]
+    rows = [(k, "\n".join([own[k], *footer, "Read more" if k % 2 else " Read \t more\r"])) for k in range(200)]
+    got = {r.doc_id: r for r in line_templates.drop_recurring_lines(docs(rows)).collect()}
+    assert all(got[k].text == own[k] and got[k].n_dropped == 5 for k in range(200))
+
+
+def test_fields_and_their_literal_form_are_one_template(docs):
+    rows = [(k, f"Visit number <*> of this year\nonly {k} here {'xyz'[k % 3] * (k + 3)}") for k in range(9)]
+    rows += [(20 + k, f"Visit number {k} of this year") for k in range(3)]
+    got = {r.doc_id: r.n_dropped for r in line_templates.drop_recurring_lines(docs(rows)).collect()}
+    assert all(got[k] >= 1 for k in [*range(9), 20, 21, 22])
+
+
 def test_lines_of_an_empty_table(empty):
     assert line_templates.drop_recurring_lines(empty).count() == 0
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuslink.llm import contamination, language, line_templates, near_copies
+from corpuslink.llm import contamination, language, line_templates, simhash
 from corpuslink.llm import queries as q
 from corpuslink.operators.scale import shared_folder
 
@@ -24,15 +24,25 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: recurring lines go, documents stay, if need be with an empty text."""
-    lines = line_templates.drop_recurring_lines(docs, min_tokens=1, near=0.8, keep=("lang", "source"))
+    lines = line_templates.drop_recurring_lines(docs, keep=("lang", "source"))
     return lines.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint")).select(*COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup by five-word shingles and a Jaccard similarity of 0.8: of each component, the smallest id stays."""
-    found = near_copies.near_copies(docs).where("doc_id <=> component_id")
-    first = found.select(F.col("doc_id").alias("first")).distinct().hint("merge")  # a merge join at any size
-    return docs.join(first, docs["doc_id"].eqNullSafe(F.col("first")), "left_semi").select(*COLUMNS)
+    """SimHash near-dedup (three-word shingles, two bits): of each component, the row of the smallest id and text stays.
+
+    Ids can repeat or be null, so that rows are told apart by id and text; of rows equal in
+    both, one stays. Null ids come after all others.
+    """
+    digest = F.xxhash64("text").alias("digest")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest).alias("key")
+    found = simhash.near_duplicates(docs.select(key, "text"), "key", width=3, radius=2)
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "digest")
+    first = found.where("doc_id <=> component_id").select("doc_id.*").select(name.alias("name")).distinct()
+    rows = docs.withColumn("digest", digest).withColumn("name", name)
+    kept = rows.join(first.hint("merge"), "name", "left_semi")  # a merge join at any size; the ranks keep its partitions
+    again = Window.partitionBy("name").orderBy("lang", "source", "n_chars")
+    return kept.withColumn("again", F.row_number().over(again)).where("again = 1").select(*COLUMNS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

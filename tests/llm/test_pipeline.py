@@ -1,7 +1,9 @@
 import random
 
+import xxhash
+
 import corpus_pipeline
-from corpuslink.llm import near_copies, queries
+from corpuslink.llm import queries
 
 
 def test_stages_keep_clean_documents_and_drop_the_rest(spark, tmp_path):
@@ -50,49 +52,44 @@ def test_every_operator_is_registered():
     assert set(queries.ORACLE) <= set(queries.QUERIES) and corpus_pipeline.QUERIES.keys() == {"pipeline"}
 
 
-def shingle_set(text):
-    w = text.split()
-    return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+def plain_fingerprint(text):
+    words = (text or "").lower().split()
+    runs = [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_edited_copies_go_in_the_pipeline_and_lesser_ones_stay(spark):
+def test_one_row_of_each_component_stays(spark):
     rng = random.Random(8)
 
     def words(n):
         return ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(n)]
 
-    rows = [(1000 + k, " ".join(words(90))) for k in range(20)] + [(2000, None), (2001, ""), (2002, "one two")]
-    for group in range(12):
-        base = words(120)
+    rows = [(1000 + k, " ".join(words(90))) for k in range(20)] + [(2000, None), (2001, ""), (2002, "one two"), (None, None)]
+    for group in range(25):
+        base = words(220)
         rows.append((20 * group, " ".join(base)))
-        for k in range(1, 12):  # up to three edits leave 0.8 of the shingles, more do not
+        for k in range(1, 6):
             w = list(base)
-            for at in rng.sample(range(10, 110), k):
-                w[at] = words(1)[0]
+            w[rng.randrange(220)] = words(1)[0]
             rows.append((20 * group + k, " ".join(w)))
+    rows += [rows[0], rows[0], (1000, rows[1][1]), (None, rows[2][1]), (None, "no id, no copy"), (None, "no id, no copy"), (5000, rows[30][1])]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2 and group[a] != group[b]:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
     docs = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows],
                                  "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r.doc_id for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, "").collect()}
-    sets = {i: shingle_set(t or "") for i, t in rows}
-
-    def alike(a, b):
-        return len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-
-    stay = sorted(i for i in kept if sets[i])
-    assert not any(alike(a, b) for a in stay for b in stay if a < b)
-    gone = {i for i, _ in rows if sets[i]} - kept
-    assert all(any(alike(i, j) for j in sets if j != i and sets[j]) for i in gone) and len(gone) > 24
-    assert all(20 * g in kept and 20 * g + 1 not in kept for g in range(12))
-    assert kept >= {1000 + k for k in range(20)} | {2000, 2002} and 2001 not in kept
-
-
-def test_a_hot_group_of_near_copies_and_an_empty_table(spark):
-    rng = random.Random(9)
-    base = ["w%d" % rng.randrange(10_000) for _ in range(100)]
-    rows = [(k, " ".join([*base[:k % 90], "x%d" % k, *base[k % 90 + 1:]])) for k in range(600)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.component_id for r in near_copies.near_copies(docs).collect()} == {0}
-    assert near_copies.near_copies(docs.where("doc_id < 0")).count() == 0
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, "").collect()]
+    assert len(kept) == len(set(group))
+    assert {group[rows.index(k)] for k in kept} == set(group)
+    for g in set(group):
+        ids = [rows[k][0] for k in range(len(rows)) if group[k] == g]
+        best = min((i is None, i or 0) for i in ids)
+        assert sum(group[rows.index(k)] == g and (k[0] is None, k[0] or 0) == best for k in kept) == 1
 
 
 def test_short_recurring_lines_go_in_the_pipeline(spark):

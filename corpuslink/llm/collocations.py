@@ -24,15 +24,16 @@ MASK = (1 << BITS) - 1
 #: Bits of a code below each level of the trie: ranges of 256 first words, first words, second words.
 LEVELS = (2 * BITS + 8, 2 * BITS, BITS)
 #: Phrases a task counts before it spills, words and their bytes before it starts anew.
-ENTRIES, WORDS, WORD_BYTES = 500_000, 1 << 19, 16 << 20
+ENTRIES, WORDS, WORD_BYTES = 350_000, 1 << 19, 16 << 20
 #: Bytes of text after which counts of words are handed out.
 READ = 128 << 20
 #: Phrases in one hash container before it bursts into a node of the next level.
 BURST = 16_384
 #: Bytes of text that are cut into words at a time, codes that are added at a time, entries and bytes of a row of a run.
-GROUP, CODES, RUN_ROWS, RUN_BYTES = 1 << 20, 1 << 19, 4_096, 1 << 18
-#: Occurrences of words that share a prefix partition.
-SHARE = 1 << 15
+GROUP, CODES, RUN_ROWS, RUN_BYTES = 1 << 20, 1 << 18, 4_096, 1 << 18
+#: Ranges of first words, words of text for which a range has a slot, and occurrences of a hot word for which it has one.
+#: The number of ranges is fixed, so that the rows of runs grow with the tasks alone.
+RANGES, SHARE, HOT_SHARE = 1 << 12, 1 << 27, 1 << 20
 #: A word that holds more than this part of all words has its phrases dealt over several partitions.
 HOT = 10_000
 #: Ranges of hash among which a language's best phrases are first sought.
@@ -152,10 +153,11 @@ def _codes(numbers: np.ndarray, most: int) -> np.ndarray:
     return np.concatenate(codes)
 
 
-def _runs(lang: str, numbers: _Numbers, codes: np.ndarray, counts: np.ndarray, ranges: int, slots: dict) -> dict:
+def _runs(lang: str, numbers: _Numbers, codes: np.ndarray, counts: np.ndarray, usual: int, slots: dict) -> dict:
     """Rows of sorted runs: a prefix partition, its phrases and their counts, in the order of the words' hashes.
 
-    The partition is the range of the first word's hash, and the slot of the other words of hot first words.
+    The partition is the range of the first word's hash, and a slot of the other words: one of `usual`
+    slots, or of as many as a hot first word has.
     """
     hashes, words = np.array(numbers.hashes, np.uint64), list(numbers)
     order = np.argsort(hashes[1:])
@@ -167,10 +169,10 @@ def _runs(lang: str, numbers: _Numbers, codes: np.ndarray, counts: np.ndarray, r
     order = np.argsort(codes)
     codes, counts = codes[order], counts[order]
     a, b, c = codes >> 2 * BITS, codes >> BITS & MASK, codes & MASK
-    part = (hashes[a] >> np.uint64(33)).astype(np.int64) * ranges >> 31
+    part = (hashes[a] >> np.uint64(33)).astype(np.int64) * RANGES >> 31
     slot = np.zeros(len(a), np.int64)
-    if slots:
-        spread = np.array([1, *[slots.get((lang, h), 1) for h in hashes[1:].tolist()]], np.uint64)[a]
+    if slots or usual > 1:
+        spread = np.array([1, *[slots.get((lang, h), usual) for h in hashes[1:].tolist()]], np.uint64)[a]
         slot = (((hashes[b] * np.uint64(0x9E3779B97F4A7C15) + hashes[c]) >> np.uint64(20)) % spread).astype(np.int64)
         if slot.any():
             order = np.lexsort((slot, part))
@@ -235,8 +237,8 @@ class _WordCounts:
 class _PhraseCounts:
     """A trie for each language, and one numbering of words for all."""
 
-    def __init__(self, most: int, ranges: int, slots: dict, entries: int):
-        self.most, self.ranges, self.slots, self.entries = most, ranges, slots, entries
+    def __init__(self, most: int, usual: int, slots: dict, entries: int):
+        self.most, self.usual, self.slots, self.entries = most, usual, slots, entries
         self.numbers, self.tries, self.waiting = _Numbers(), {}, {}
 
     def add(self, lang: str, words: list[bytes]) -> None:
@@ -262,7 +264,7 @@ class _PhraseCounts:
         for lang, trie in sorted(self.tries.items(), key=lambda t: -t[1].total) if anew or total > self.entries else ():
             before = trie.total
             if total > most and (gone := trie.spill(max(0, most - (total - before)))) is not None:
-                yield _runs(lang, self.numbers, *gone, self.ranges, self.slots)
+                yield _runs(lang, self.numbers, *gone, self.usual, self.slots)
             total -= before - trie.total
         if anew:
             self.numbers, self.tries = _Numbers(), {}
@@ -280,21 +282,21 @@ def phrase_counts(docs: DataFrame, words: DataFrame, most: int = 3, least: int =
     """All phrases of 2 to `most` (2 or 3) words with `least` occurrences or more: lang, phrase, f.
 
     A task counts in tries and spills subtrees as sorted runs. Runs are dealt out by
-    language and prefix partition (a range of first words) and merged there; there is a
-    partition for every `SHARE` words of text. `words` (see `word_counts`) tells which
-    first words are hot: at most `HOT` can hold more than that part of all words, and
-    their phrases are dealt over as many slots as their share asks for.
+    language and prefix partition (a range of first words, in slots where there is much
+    text) and merged there. `words` (see `word_counts`) tells which first words are hot:
+    at most `HOT` can hold more than that part of all words, and their phrases are dealt
+    over as many slots as their share asks for.
     """
     if most not in (2, 3):
         raise ValueError("phrases have 2 or 3 words at most")
     total = words.agg(F.sum("f")).first()[0] or 0
-    ranges = min(1 << 30, max(1, total // SHARE))
+    usual = 1 + total // (RANGES * SHARE)
     hot = words.where(F.col("f") * HOT > total).select("lang", F.xxhash64("word").alias("h"), "f").collect()  # HOT rows at most
-    slots = {(r["lang"], r["h"] & (1 << 64) - 1): max(1, r["f"] // max(SHARE, total // HOT)) for r in hot}
-    slots = {word: n for word, n in slots.items() if n > 1}
+    slots = {(r["lang"], r["h"] & (1 << 64) - 1): max(usual, 1 + r["f"] // max(HOT_SHARE, total >> 20)) for r in hot}
+    slots = {word: n for word, n in slots.items() if n > usual}
     source = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     runs = _counted(source, "lang string, part bigint, slot bigint, phrases string, counts array<bigint>",
-                    lambda: _PhraseCounts(most, ranges, slots, entries))
+                    lambda: _PhraseCounts(most, usual, slots, entries))
     dealt = runs.repartition("lang", "part", "slot")
     lone = dealt.select("lang", "part", "slot", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("counts").alias("c"))))
     merged = lone.groupBy("lang", "part", "slot", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)

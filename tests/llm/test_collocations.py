@@ -65,7 +65,8 @@ def test_no_rows_and_no_candidates(spark):
 
 
 def test_hot_first_words_are_dealt_over_slots(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "SHARE", 50)
+    monkeypatch.setattr(collocations, "HOT_SHARE", 50)
+    monkeypatch.setattr(collocations, "SHARE", 1)
     rows = make_rows(11, 200)
     docs = frame(spark, rows)
     words = collocations.word_counts(docs)
@@ -76,7 +77,7 @@ def test_hot_first_words_are_dealt_over_slots(spark, monkeypatch):
 def test_many_words_are_numbered_anew(spark, monkeypatch):
     """Tasks start anew when they have numbered many words; workers are forked, so the limits are set in them."""
     rows = make_rows(8, 40)
-    counter = collocations._PhraseCounts(3, 8, {}, 100)
+    counter = collocations._PhraseCounts(3, 1, {}, 100)
     monkeypatch.setattr(collocations, "WORDS", 4)
     found = Counter()
 

@@ -180,6 +180,14 @@ def rule_evaluation(spark, d):
     return _round(plan.evaluate_rules(a, b, truth), *RATES, "recall_ceiling")
 
 
+def learned_evaluation(spark, d):
+    """The learned one-to-one linkage, trained on the train split, against the test split, per blocking."""
+    a, b = _stored(spark, d)
+    truth = split_pairs(PR.ground_truth(a, b), [A_ID, B_ID])
+    train, test = (truth.where(F.col("split") == part) for part in ("train", "test"))
+    return _round(plan.evaluate_learned(a, b, train, test), *RATES)
+
+
 def candidate_report(spark, d):
     a, b = _stored(spark, d)
     return _round(blocking_report(*block_keys(a, b, "make"), PR.ground_truth(a, b), A_ID, B_ID), "recall_ceiling")
@@ -407,6 +415,7 @@ QUERIES = {
     "link_matching_rows": matching_rows, "link_common_rows": common_rows, "link_first_last": first_and_last,
     "link_row_ids": row_ids, "link_true_pairs": true_pairs, "link_attribute_profile": profile_of_attributes,
     "link_blocks_make": blocks_make, "link_blocks_year": blocks_year, "link_similarities": similarities,
+    "link_learned_evaluation": learned_evaluation,
     "link_similar_names": similar_names, "link_rules_make": rule_links_make, "link_rules_year": rule_links_year,
     "link_rules_year_window3": rule_links_years, "link_rule_evaluation": rule_evaluation,
     "link_blocking_report": candidate_report, "link_pair_metrics": metrics_of_pairs,

@@ -296,9 +296,10 @@ def learned_links_year(spark, d):
 
 
 def assigned_pairs(spark, d):
-    """Rule links reduced to one-to-one, best score first."""
+    """Rule links reduced to one-to-one, best rounded score first."""
     a, b = _stored(spark, d)
-    return _round(one_to_one(rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make"), A_ID, B_ID), "score")
+    links = _round(rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make"), "score")
+    return one_to_one(links, A_ID, B_ID)
 
 
 def text_matcher(spark, d):
@@ -467,6 +468,12 @@ ORACLE = {
     "link_label_metrics": _rates_sql("""select count(*) filter (p and y) as tp, count(*) filter (p and not y) as fp, count(*) filter (not p and y) as fn,
  count(*) filter (not p and not y) as tn from (select least(n_chars,4000)/4000>0.5 as p, quality=1 as y from labels join documents using(doc_id))""",
         ", round((tp+tn)/(tp+fp+fn+tn),6) as accuracy"),
+    "link_one_to_one": CLEAN.replace("with ", "with recursive ", 1) + f""", links as ({_links_sql("a.make=b.make").replace("s as score", "round(s,6) as score")}),
+ rounds as (select {PAIRS}, score, md5(concat_ws('|', {PAIRS})) as h, false as taken from links union all
+ select {PAIRS}, score, h, best from (select *, bool_or(best) over (partition by {A_ID}) as left_used, bool_or(best) over (partition by {B_ID}) as right_used from
+ (select *, row_number() over (partition by {A_ID} order by score desc, h)=1 and row_number() over (partition by {B_ID} order by score desc, h)=1 as best
+ from rounds where not taken)) where best or not (left_used or right_used))
+ select {PAIRS}, score from rounds where taken""",
     "link_sample_keys": f"with ra as ({A_SQL}) select key from (select distinct upper(trim(VIN)) as key from ra) order by md5(concat_ws('|', key, 's1')) limit 500",
     "link_sample_source": "select doc_id, source from documents where source='src3' order by md5(concat_ws('|', doc_id, '7')) limit 5",
     "link_shuffled": CLEAN + f"select {PAIRS} from gt",

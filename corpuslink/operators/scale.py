@@ -151,7 +151,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], id_col: str, name: str) -> D
     return dense_rank_index(df, bucket, [F.col(h), F.col(id_col)], keys, name).drop(h)
 
 
-def ordered_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
+def ordered_ids(df: DataFrame, order: Sequence[str | Column], name: str = "row_id",
                 keys: Sequence[str] = (), total: str | None = None,
                 weight: str | None = None) -> DataFrame:
     """0-based rank in a given order, over range partitions.
@@ -160,7 +160,7 @@ def ordered_ids(df: DataFrame, order: Sequence[str], name: str = "row_id",
     row is fixed before partitions are counted.
     """
     p = f"__{name}_partition"
-    ranged = materialize(df.repartitionByRange(*[F.col(c) for c in [*keys, *order]])
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = materialize(df.repartitionByRange(*[F.col(c) for c in keys], *order)
                          .withColumn(p, F.spark_partition_id()))
-    return dense_rank_index(ranged, F.col(p), [F.col(c) for c in order], keys, name, total,
-                            weight).drop(p)
+    return dense_rank_index(ranged, F.col(p), order, keys, name, total, weight).drop(p)

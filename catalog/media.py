@@ -13,13 +13,13 @@ from corpuslink.operators import media as M
 from corpuslink.operators import papers as PP
 from corpuslink.operators.tfidf import cosine_pairs, tfidf
 from corpuslink.plans import corpus as plan
-from corpuslink.plans.search import corpus_search
+from corpuslink.plans.search import corpus_search, read_corpus_index, write_corpus_index
 from corpuslink.operators.scale import literal_rows
 from corpuslink.functions.markup import xml_text_udf
 from corpuslink.functions.text import clean_text
 
 from .common import WORDS2, clean, quote, run_sql, table, terms_sql
-from .search import STOPS
+from .search import STOPS, written
 
 
 def _esc(c):
@@ -228,7 +228,10 @@ CORPUS_STOPS = ("of", "with", "la")
 def search_everything(spark, d):
     """Boosted search over papers, tables and figures, merged by score."""
     q = literal_rows(spark, CORPUS_QUERIES, "query_id int, query string")
-    return corpus_search(q, _corpus(spark, d), "all", 10, analyzer=("standard", CORPUS_STOPS)).select(
+    corpus, analyzer = _corpus(spark, d), ("standard", CORPUS_STOPS)
+    path = written(spark, d, "corpus", lambda p: write_corpus_index(corpus, p, analyzer))
+    return corpus_search(q, corpus, "all", 10, analyzer=analyzer,
+                         index=read_corpus_index(spark, path, analyzer)).select(
         "query_id", "kind", "rank", "score", "doc_id", "title", "primary_text", "secondary_text", "merged_rank")
 
 

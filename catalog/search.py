@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +35,22 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", F.col("source").alias("nome"), F.col("text").alias("contenuto"), "lang")
 
 
-def _index(spark, d) -> P.TermIndex:
-    """The documents' index: written by the first query of a session that needs it, then read."""
-    key = spark.sparkContext.applicationId, d
+def written(spark: SparkSession, d: str, name: str, write: Callable[[str], object]) -> str:
+    """Folder of an index: written by the first query of a session that needs it, then read."""
+    key = spark.sparkContext.applicationId, d, name
     if key not in _WRITTEN:
         path = f"{shared_folder(spark)}/catalog/{uuid.uuid4().hex}"
-        P.write_index(_docs(spark, d), "doc_id", FIELDS, path)
+        write(path)
         _WRITTEN[key] = path
-    return P.read_index(spark, _WRITTEN[key], FIELDS)
+    return _WRITTEN[key]
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _index(spark, d, name="documents", table_of=_docs, id_col="doc_id", fields=FIELDS) -> P.TermIndex:
+    path = written(spark, d, name, lambda p: P.write_index(table_of(spark, d), id_col, fields, p))
+    return P.read_index(spark, path, fields)
 
 
 def _rows(spark, rows, schema="query_id int, query string") -> DataFrame:
@@ -112,25 +118,33 @@ def hits_per_query(spark, d):
 
 def batch_search(spark, d):
     """Query strings to ranked hits with previews; unknown fields give nothing."""
-    return plan.search(_rows(spark, STRINGS), _docs(spark, d), "doc_id", FIELDS, "any_field", 5)
+    return plan.search(_rows(spark, STRINGS), _docs(spark, d), "doc_id", FIELDS, "any_field", 5,
+                       index=_index(spark, d))
 
 
 BOOSTED = [(1, "the of"), (2, "that src3"), (3, "les la"), (4, "src3"), (5, "of the of")]
 
 
+def _titled(spark, d) -> DataFrame:
+    return _docs(spark, d).withColumn("titolo", F.substring_index("contenuto", "\n", 1))
+
+
 def boosted(spark, d):
-    docs = _docs(spark, d).withColumn("titolo", F.substring_index("contenuto", "\n", 1))
-    index = P.build_index(docs, "doc_id", {"titolo": "standard", "contenuto": "standard", "nome": "keyword"})
+    index = _index(spark, d, "titled", _titled,
+                   fields={"titolo": "standard", "contenuto": "standard", "nome": "keyword"})
     hits = S.boosted_search(index, _rows(spark, BOOSTED),
                             {"titolo": 3, "contenuto": 2, "nome": 1})
     return _ranked(hits)
 
 
+def _turns(spark, d) -> DataFrame:
+    return table(spark, d, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "role", "text")
+
+
 def roles_and_text(spark, d):
     """Role as exact field and text together, over dialogue turns."""
-    turns = table(spark, d, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "role", "text")
-    index = P.build_index(turns, "turn_id", {"role": "keyword", "text": "standard"})
+    index = _index(spark, d, "turns", _turns, "turn_id", {"role": "keyword", "text": "standard"})
     rows = [(1, 0, 0, True, "term", "role", "user"), (1, 1, 0, True, "any", "text", "the of la")]
     return _ranked(S.bool_query(index, _rows(spark, rows, CLAUSES)), 25)
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.analysis import analyzed_length, explode_terms, get_analyzer
@@ -21,24 +21,50 @@ def _spec(spec: FieldSpec) -> tuple[str, Sequence[str] | None]:
 
 @dataclass(frozen=True)
 class TermIndex:
-    """Postings (field, term, doc_id, tf, positions, dl) and field statistics
-    (field, n_docs, avgdl, norms)."""
+    """Postings (field, term, doc_id, tf, positions, dl), field statistics
+    (field, n_docs, avgdl, norms) and, once written, the dictionary (field, gram, term)."""
 
     postings: DataFrame
     stats: DataFrame
     fields: Mapping[str, FieldSpec]
+    grams: DataFrame | None = None
 
     def write(self, path: str) -> None:
-        """Write both tables; postings are grouped by field and sorted by term."""
-        (self.postings.repartitionByRange("field", "term", "doc_id")
-         .sortWithinPartitions("field", "term", "doc_id")
-         .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
+        """Write all tables; postings are grouped by field and sorted by term."""
+        _write_sorted(self.postings, ["term", "doc_id"], f"{path}/postings")
+        _write_grams(self.postings.sparkSession, path)
         self.stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def read_index(spark: SparkSession, path: str, fields: Mapping[str, FieldSpec]) -> TermIndex:
-    return TermIndex(spark.read.parquet(f"{path}/postings"),
-                     spark.read.parquet(f"{path}/stats"), dict(fields))
+    return TermIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats"), dict(fields),
+                     spark.read.schema("gram string, term string, field string").parquet(f"{path}/grams"))
+
+
+def _write_sorted(df: DataFrame, order: Sequence[str], path: str) -> None:
+    """A folder per field, rows in order, so that scans skip what a literal rules out."""
+    (df.repartitionByRange("field", *order).sortWithinPartitions("field", *order)
+     .write.mode("overwrite").partitionBy("field").parquet(path))
+
+
+def _write_grams(spark: SparkSession, path: str) -> None:
+    terms = spark.read.parquet(f"{path}/postings").select("field", "term").distinct()
+    _write_sorted(term_grams(terms), ["gram", "term"], f"{path}/grams")
+
+
+def grams(c: Column, sizes: Sequence[int]) -> Column:
+    """The different runs of so many characters."""
+    return F.array_distinct(F.flatten(F.array(*[
+        F.when(F.length(c) >= n, F.transform(
+            F.sequence(F.lit(1), F.length(c) - n + 1),
+            lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+        for n in sizes])))
+
+
+def term_grams(terms: DataFrame) -> DataFrame:
+    """(field, gram, term): grams of up to three characters, and the empty one, of every term."""
+    bare = F.array(F.lit(""))  # the gram of patterns without a literal
+    return terms.select("field", F.explode(F.concat(bare, grams(F.col("term"), [1, 2, 3]))).alias("gram"), "term")
 
 
 def occurrences(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -> DataFrame:
@@ -87,8 +113,8 @@ def write_index(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec], p
     """
     postings = build_postings(docs, id_col, fields)
     norms = {f: get_analyzer(_spec(s)[0]).norms for f, s in fields.items()}
-    (postings.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
-     .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
+    _write_sorted(postings, ["term", "doc_id"], f"{path}/postings")
+    _write_grams(docs.sparkSession, path)
     lengths = docs.sparkSession.read.parquet(f"{path}/postings").groupBy("field", "doc_id").agg(
         F.first("dl").alias("dl"))
     flags = F.create_map(*[F.lit(x) for f, n in norms.items() for x in (f, n)])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import analyze
 from ..functions.scoring import bm25, idf
-from .postings import FieldSpec, TermIndex, _spec, build_index
+from .postings import FieldSpec, TermIndex, _spec, build_index, term_grams
 from .scale import literal_rows, localize
 
 TERM, MATCH_ANY, MATCH_ALL, PHRASE, WILDCARD = "term", "any", "all", "phrase", "wildcard"
@@ -158,18 +158,22 @@ def _match_hits(scored: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def _phrase_hits(scored: DataFrame, terms: DataFrame) -> DataFrame:
-    """A phrase starts where every term stands at start + its own offset."""
+    """A phrase starts where every term stands at start + its own offset.
+
+    The positions of each term, less its offset, are one array; the arrays of a document
+    are intersected, the words of a phrase one after the other. A group is one document
+    under one clause, and a row is a posting, never a position.
+    """
     q = terms.select(*CLAUSE, "field", "term", "offset", "n_offsets")
-    tf, n = F.col("freq"), F.col("n_offsets")
-    starts = (scored.join(q, ["field", "term"])
-              .withColumn("pos", F.explode("positions"))
-              .groupBy(*CLAUSE, "doc_id", "n_offsets", "dl", "avgdl", "norms",
-                       (F.col("pos") - F.col("offset")).alias("start"))
-              .agg(F.count(F.lit(1)).alias("n_found"), F.sum("idf").alias("idf"))
-              .where(F.col("n_found") == n))
-    one = F.lit(1)
-    return (starts.groupBy(*CLAUSE, "doc_id", "dl", "avgdl", "norms")
-            .agg(F.count(one).alias("freq"), F.max("idf").alias("idf"))
+    part = F.struct("offset", "idf", F.transform("positions", lambda p: p - F.col("offset")).alias("starts"))
+    words = (scored.join(q, ["field", "term"])
+             .groupBy(*CLAUSE, "doc_id", "n_offsets", "dl", "avgdl", "norms")
+             .agg(F.sort_array(F.collect_list(part)).alias("parts"))
+             .where(F.size("parts") == F.col("n_offsets")))
+    starts = F.aggregate("parts", F.col("parts")[0]["starts"], lambda s, x: F.array_intersect(s, x["starts"]))
+    tf, one = F.col("freq"), F.lit(1)
+    return (words.withColumn("freq", F.size(starts)).where("freq > 0")
+            .withColumn("idf", F.aggregate("parts", F.lit(0.0), lambda s, x: s + x["idf"]))
             .select(*CLAUSE, "doc_id",
                     (F.col("idf") * bm25(tf, one, one, F.col("dl"), F.col("avgdl"), F.col("norms"))
                      / idf(one, one)).alias("score")))
@@ -182,30 +186,29 @@ def wildcard_regex(pattern: Column) -> Column:
                                                      r"\*+", ".*"), F.lit("$"))
 
 
-def _grams(c: Column, sizes: Sequence[int]) -> Column:
-    return F.array_distinct(F.flatten(F.array(*[
-        F.when(F.length(c) >= n, F.transform(
-            F.sequence(F.lit(1), F.length(c) - n + 1),
-            lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-        for n in sizes])))
-
-
 def _wildcard_hits(index: TermIndex, wild: DataFrame) -> DataFrame:
     """Terms matching `*` and `?` patterns; every hit scores 1.
 
     A pattern with a literal is looked up by up to three characters of its longest
     one, which every matching term holds; one without is compared with all terms
-    of its field. Both are then verified by the same expression.
+    of its field. Both are then verified by the same expression. A written index
+    holds the dictionary of grams in order, of which a few patterns read their own
+    grams only; without one, it is made from the postings.
     """
     plain = F.array_max(F.transform(F.split("value", r"[*?]"),
                                     lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     patterns = wild.select(*CLAUSE, "field", F.substring(plain, 1, 3).alias("gram"),
                            wildcard_regex(F.col("value")).alias("re"))
-    terms = (index.postings.join(patterns.select("field").distinct(), "field", "left_semi")
-             .select("field", "term").distinct())
-    bare = F.array(F.lit(""))  # the gram of patterns without a literal
-    grams = terms.withColumn("gram", F.explode(F.concat(bare, _grams(F.col("term"), [1, 2, 3]))))
-    found = (grams.join(patterns, ["field", "gram"])
+    patterns, rows = localize(patterns)
+    if index.grams is None:
+        dictionary = term_grams(index.postings.join(patterns.select("field").distinct(), "field", "left_semi")
+                                .select("field", "term").distinct())
+    else:
+        dictionary = index.grams
+        if rows is not None and len({r["gram"] for r in rows}) <= LITERAL_TERMS:
+            dictionary = dictionary.where(F.col("gram").isin(sorted({r["gram"] for r in rows}))
+                                          & F.col("field").isin(sorted({r["field"] for r in rows})))
+    found = (dictionary.join(patterns, ["field", "gram"])
              .where(F.regexp_like("term", F.col("re")))
              .select(*CLAUSE, "field", "term"))
     return (index.postings.select("field", "term", "doc_id").join(found, ["field", "term"])

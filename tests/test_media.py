@@ -6,7 +6,7 @@ from corpuslink.operators import papers as PP
 from corpuslink.operators.scale import literal_rows
 from corpuslink.operators.tfidf import cosine_pairs
 from corpuslink.plans import corpus as C
-from corpuslink.plans.search import corpus_search
+from corpuslink.plans.search import corpus_search, read_corpus_index, write_corpus_index
 
 LONG = "Speech synthesis models turn written sentences into audible speech, part {}."
 PAGE_A = (
@@ -98,3 +98,6 @@ def test_corpus_build_report_and_search(spark, tmp_path):
     best = min(found, key=lambda r: r.merged_rank)
     assert best.kind == "figures" and "<mark>Speech</mark>" in best.primary_text
     assert {r.kind for r in corpus_search(q, corpus, "tables").collect()} == {"tables"}
+    write_corpus_index(corpus, str(tmp_path / "ix"))
+    again = corpus_search(q, corpus, k=5, index=read_corpus_index(spark, str(tmp_path / "ix"))).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))

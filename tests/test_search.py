@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +117,27 @@ def test_top_k_is_limited_before_the_shuffle(spark, index):
     q = literal_rows(spark, [(1, "dati")], "query_id int, query string")
     plan = S.top_k(S.match_query(index, q, "contenuto"), 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_phrases_and_patterns_of_a_written_index_equal_brute_force(spark, tmp_path):
+    """Overlapping phrases and patterns over few words; the dictionary is read by gram, not made again."""
+    rnd, words = random.Random(3), ["aa", "ab", "aba", "b", "a.b"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))) for _ in range(60)]
+    docs = literal_rows(spark, list(enumerate(texts)), "doc_id int, t string")
+    made = P.build_index(docs, "doc_id", {"t": "whitespace_it"})
+    ix = P.write_index(docs, "doc_id", {"t": "whitespace_it"}, str(tmp_path / "ix"))
+    phrases = ["aa aa", "aa aa aa", "ab b aa", "aba", "aa missing"]
+    q = literal_rows(spark, list(enumerate(phrases)), "query_id int, query string")
+    want = {(i, d) for i, p in enumerate(phrases) for d, t in enumerate(texts) if f" {p} " in f" {t} "}
+    for index in (made, ix):
+        assert {(r.query_id, r.doc_id) for r in S.phrase_query(index, q, "t").collect()} == want
+    patterns = ["a*", "*b*", "?", "a?b", "*", "zz*", "ab"]
+    schema = "query_id int, group_id int, clause_id int, must boolean, kind string, field string, value string"
+    clauses = literal_rows(spark, [(i, 0, 0, True, "wildcard", "t", p) for i, p in enumerate(patterns)], schema)
+    match = lambda p, w: re.fullmatch(re.escape(p).replace(r"\*", ".*").replace(r"\?", "."), w)
+    want = {(i, d) for i, p in enumerate(patterns) for d, t in enumerate(texts) if any(match(p, w) for w in t.split())}
+    for index in (made, ix):
+        assert {(r.query_id, r.doc_id) for r in S.bool_query(index, clauses).collect()} == want
+    few = S.bool_query(ix, clauses.where("value in ('a*', 'zz*')"))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "gram IN (a,zz)" in plan or "In(gram, [a,zz])" in plan

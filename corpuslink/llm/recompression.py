@@ -245,8 +245,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     single = materialize(_windows(source.join(listed, "row"), window, kind))
     earliest = materialize(single.groupBy("name").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("most"))
                            .where("earliest < most").drop("most"))
-    again = single.join(earliest, "name").where("earliest < doc_id").select("row", "key", "content", "at")
-    lone = shared.select("row", "key", "content", "start").join(again, ["row", "key", "content"]).select(
+    # Every row of the listed document: rows of one id can hold the same content in different texts.
+    again = single.join(earliest, "name").where("earliest < doc_id").select("doc_id", "key", "content", "at")
+    lone = shared.select("doc_id", "row", "key", "content", "start").join(again, ["doc_id", "key", "content"]).select(
         "row", (F.col("start") + F.col("at")).alias("start"), F.lit(1).cast("bigint").alias("windows"))
     runs = settled.union(lone).groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     return _stripped(source.join(runs, "row", "left"), window, kind)

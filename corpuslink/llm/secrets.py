@@ -21,7 +21,7 @@ ASSIGN = re.compile(r"(?P<name>(?ai:password|passwd|secret|token|api_?key))[\"']
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 #: Strings that may be encoded bytes.
-CODED = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+CODED = re.compile(r"[A-Za-z0-9+/_-]{12,}")
 
 LOWER, UPPER, DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
 #: Encodings from the smallest alphabet up; the first that holds all characters is taken.
@@ -175,7 +175,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Both are arrays of (start, kind, end), sorted, in code points, the end exclusive; kind
     is an index of `KINDS`. `base` holds what the fixed patterns find, `spans` also what
-    the battery finds among encoded strings of 20 or more characters that no base span
+    the battery finds among encoded strings of 12 or more characters that no base span
     meets, at a false-discovery rate of `rate` over the whole table. Only counts by
     length and likelihood reach the driver, at most 16 x 401. Null and empty texts hold
     nothing; repeated rows are answered alike.

@@ -130,20 +130,24 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   lang_col: str = "lang", per_language: int = 800, buckets: int = 1 << 15) -> Model | None:
     """Learn from about `per_language` labelled rows of each language, or all if there are fewer.
 
-    Rows are drawn by a hash of their id among those that are not held out and whose
-    text and language are not null; their whole texts become counts of buckets in the
-    tasks, so what reaches the driver is bounded by rows and buckets. None without rows.
+    Rows are drawn by a hash of id and text among those that are not held out and whose
+    text and language are not null; equal rows count as one, so neither an id that many
+    rows share nor repeated rows can fill or miss the draw. Their whole texts become counts
+    of buckets in the tasks, so what reaches the driver is bounded by rows and buckets.
+    None without rows.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        F.col(f"`{lang_col}`").cast("string").alias("lang")).where(
         ~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
         & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    mark = F.xxhash64("doc_id", "text")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+        F.approx_count_distinct(mark, 0.02).alias("n")).collect()}
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    draw = F.pmod(mark, F.lit(1 << 40)) / float(1 << 40)
     share = F.create_map(*[F.lit(x) for n, c in sorted(counts.items()) for x in (n, min(1.0, per_language / c))])
-    drawn = rows.where(draw < share[F.col("lang")])
+    drawn = rows.where(draw < share[F.col("lang")]).distinct()
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,13 +16,19 @@ from pyspark.sql import functions as F
 from corpuslink.llm.batches import map_batches
 from corpuslink.llm.wordpieces import _Store
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|"
-                   r"<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+MARKS = (r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*+>|"
+         r"<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*+)(?P<attrs>%s*+)>")
+#: A tag; a quoted > does not end it. After one that never ends, tags hold no further <.
+TOKEN = re.compile(MARKS % r"(?:\"[^\"]*\"|'[^']*'|[^'\">])", re.S)
+LOOSE = re.compile(MARKS % r"[^<>]", re.S)
+UNQUOTED = re.compile(r"=\s*[^\s\"'>]*/\s*$")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 #: Fixed values of HTML: elements without an end tag, without readable text, and that part blocks.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = set("script style noscript template head title svg math iframe object textarea select".split())
+#: Fixed values of HTML: silent elements that take all that follows if they never end.
+RAW = ("script", "style", "textarea", "title")
 BLOCK = set("""address article aside blockquote body button caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p
     pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -55,12 +62,17 @@ def blocks(page: str) -> list[Block]:
 
     A p ends where the next block element begins; an end tag ends all that is open
     inside it and is passed over if nothing of its name is open. Text of silent
-    elements is no block. Broken markup never fails.
+    elements is no block; of those that never end, only `RAW` ones take the rest of the page,
+    and a self-closed one holds nothing. Broken markup never fails; a page is read once,
+    whatever it leaves open.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    is_open: Counter[str] = Counter()
+    endless: set[str] = set()
     pieces: list[str] = []
     linked = at = 0
+    mark, last = TOKEN, page.rfind(">")
 
     def flush() -> None:
         nonlocal linked
@@ -74,27 +86,46 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if text:
             pieces.append(text)
-            if any(tag == "a" for tag, _ in stack):
+            if is_open["a"]:
                 linked += len(text)
 
-    while m := TOKEN.search(page, at):
+    def cut(depth: int) -> None:
+        is_open.subtract(t for t, _ in stack[depth:])
+        del stack[depth:]
+
+    seek = 0
+    while (seek := page.find("<", seek)) >= 0:
+        m = mark.match(page, seek) if seek < last or page[seek:seek + 3] in ("<!-", "<![") else None
+        if not m:
+            if mark is TOKEN and seek < last and page[seek + 1:seek + 3].lstrip("/")[:1].isalpha():
+                mark = LOOSE
+            else:
+                seek += 1
+            continue
         say(page[at:m.start()])
-        at = m.end()
+        at = seek = m.end()
         if not m["tag"]:
             continue
         tag = m["tag"].lower()
         if m["close"]:
             if tag in BLOCK:
                 flush()
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if is_open[tag]:
+                cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
             continue
+        closed = m["attrs"].rstrip().endswith("/") and not UNQUOTED.search(m["attrs"])
         if tag in SILENT:
             if tag != "head":  # what a head holds is silent itself
                 flush()
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if not (closed and tag in ("svg", "math")) and tag not in endless:
+                    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                    if end:
+                        at = end.end()
+                    elif tag in RAW:
+                        at = len(page)
+                    else:
+                        endless.add(tag)
+                seek = at
             continue
         if tag == "br":
             pieces.append(" ")
@@ -102,10 +133,11 @@ def blocks(page: str) -> list[Block]:
             flush()
             open_p = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK), None)
             if open_p is not None and stack[open_p][0] == "p":
-                del stack[open_p:]
-        if tag not in VOID and not m["attrs"].rstrip().endswith("/"):
+                cut(open_p)
+        if tag not in VOID and not closed:
             names = " ".join("".join(g) for g in NAMED.findall(m["attrs"])).lower()
             stack.append((tag, tuple(PART.findall(names))))
+            is_open[tag] += 1
     say(page[at:])
     flush()
     return out

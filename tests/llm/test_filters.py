@@ -1,6 +1,7 @@
 import random
 import re
 import string
+import time
 
 import numpy as np
 import pytest
@@ -48,6 +49,17 @@ def test_random_strings_are_found_and_words_are_not(docs):
     assert not any(got[i] for i in got if i >= 1000)
 
 
+def test_short_random_strings_are_tested_too(docs):
+    rng = random.Random(16)
+    coded = string.ascii_letters + string.digits
+    keys = ["".join(rng.choice(coded) for _ in range(n)) for n in (12, 14, 16, 18, 19) for _ in range(20)]
+    names = ["international", "understanding", "responsibilities", "some_function_name", "JavaScriptEngine", "2024-01-01-12-30"]
+    rows = [(i, f"so {k}, he said") for i, k in enumerate(keys)] + [(1000 + i, f"see {n}") for i, n in enumerate(names * 20)]
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(docs(rows)).collect()}
+    assert sum(bool(got[i]) for i in range(len(keys))) > 0.7 * len(keys)
+    assert not any(got[i] for i in got if i >= 1000)
+
+
 def test_longer_strings_need_less_evidence():
     bins = secrets.discovery_bins([(3, 20, 40), (8, 20, 40), (3, 0, 400)], 0.01)
     assert bins[8] <= bins[3] and secrets.discovery_bins([], 0.01)[0] > secrets.BINS
@@ -72,6 +84,15 @@ def test_languages_on_rows_never_learned_from(spark):
     assert held["accepted"].mean() > 0.97 and held["score"].between(0, 1).all()
 
 
+def test_a_hot_id_and_repeated_rows_neither_fill_nor_miss_the_draw(spark):
+    docs = language_rows(spark, 900)
+    hot = docs.where("lang = 'en'").withColumn("doc_id", F.lit(1).cast("long"))  # not held out
+    one = docs.where("lang = 'de'").orderBy("doc_id").where(~language.held_out("doc_id")).limit(1)
+    same = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3000)))).select(docs.columns)
+    model = language.fit_languages(docs.where("lang = 'fr'").union(hot).union(same), per_language=50)
+    assert model.langs == ["de", "en", "fr"]
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     docs = language_rows(spark, 300)
     other = docs.withColumn("lang", F.when(language.held_out("doc_id"), "zz").otherwise(F.col("lang")))
@@ -155,6 +176,23 @@ def test_gradients_of_the_labeller():
         assert abs((above - below) / 2e-5 - grad[at]) < 1e-8
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<p>one</p><svg viewBox="0"/><p>two</p>', ["one", "two"]), ("<p>one</p><noscript>x<p>two</p>", ["one", "x", "two"]),
+    ("<p>one</p><select><p>two</p><script>x<p>gone</p>", ["one", "two"]), ("<p>a <b 'x</p><p>two</p>", ["a <b 'x", "two"]),
+    ("<svg><text>x</text></svg>one<!-- <p>two</p>", ["one"]), ("<p>1 < 2 <3</p>a<b", ["1 < 2 <3", "a<b"]),
+    ('<p title="a > b">one</p><![CDATA[two', ["one"])])
+def test_nothing_is_lost_behind_odd_tags(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
+
+
+def test_unquoted_values_do_not_close_and_broken_pages_are_read_once():
+    assert [(b.text, b.linked) for b in html_blocks.blocks("<a href=/x/>word</a>")] == [("word", 4)]
+    start = time.time()
+    for part in ("a<b ", '<b ">" ', "<! ", "<svg>", "<aaaa", "</b '"):
+        html_blocks.blocks(part * (1_000_000 // len(part)) + '">"')
+    assert time.time() - start < 20
+
+
 def test_main_text_of_pages(spark):
     rng = random.Random(9)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.llm.batches import map_batches
-from corpuslink.llm.wordpieces import _Store
+from corpuslink.llm.wordpieces import Store
 
 MARKS = (r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*+>|"
          r"<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*+)(?P<attrs>%s*+)>")
@@ -165,7 +165,7 @@ def path_vector(names: list[str]) -> np.ndarray:
     return v
 
 
-_bucket = _Store(lambda w: zlib.crc32(w.encode()) % WORDS)
+_bucket = Store(lambda w: zlib.crc32(w.encode()) % WORDS)
 
 
 def text_vector(block: Block, place: float) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.llm.batches import id_and_text, map_batches
-from corpuslink.llm.wordpieces import WordPieces, _Store, packed
+from corpuslink.llm.wordpieces import WordPieces, Store, packed
 from corpuslink.operators.scale import materialize
 
 
@@ -28,7 +28,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """
     def make():
         pieces = WordPieces(tokenizer, lower=True)
-        words = _Store(pieces.ids)
+        words = Store(pieces.ids)
         end = packed([separator])
 
         def step(batch: pa.RecordBatch) -> dict:

@@ -26,8 +26,8 @@ SPACED = re.compile(f"{CONTRACTION}| ?{LETTER}+| ?[{NUMBER}]+| ?{OTHER}+|[{SPACE
 DROPPED = re.compile(f"{CONTRACTION}|{LETTER}+|[{NUMBER}]|{OTHER}+")
 RARE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x7f-\\x9f\\u0250-\\U0010ffff]")
 
-#: Different parts kept per task before the store starts anew.
-STORE = 300_000
+#: Bytes of a task's store before it starts anew, and the longest key that it keeps.
+STORE_BYTES, LONGEST = 128 << 20, 64
 
 
 def byte_letters() -> dict[int, str]:
@@ -37,16 +37,24 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class _Store(dict):
-    """Values by key, made when first asked for; emptied when it has grown large."""
+class Store(dict):
+    """Values by key, made when first asked for; emptied when it has grown large.
+
+    An entry is counted with 16 bytes a character for its value (up to four ids) and 4 for its
+    key. Long keys, such as texts of a script without spaces, are not kept.
+    """
 
     def __init__(self, make):
-        self._make = make
+        self._make, self._bytes = make, 0
 
     def __missing__(self, key):
-        if len(self) >= STORE:
-            self.clear()
-        value = self[key] = self._make(key)
+        value = self._make(key)
+        if len(key) <= LONGEST:
+            self._bytes += 200 + 20 * len(key)
+            if self._bytes > STORE_BYTES:
+                self.clear()
+                self._bytes = 200 + 20 * len(key)
+            self[key] = value
         return value
 
 
@@ -63,7 +71,11 @@ class WordPieces:
         self._model, self._letters = self._tokenizer.model, byte_letters()
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._lower, self._cut = lower, (DROPPED if lower else SPACED)
-        self._pieces = _Store(self._piece)
+        self._pieces = Store(self._piece)
+
+    @property
+    def library(self) -> Tokenizer:
+        return self._tokenizer
 
     @property
     def special(self) -> list[str]:

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from corpuslink.llm import packing, token_counts
+from corpuslink.llm import packing, token_counts, wordpieces
 from corpuslink.llm.wordpieces import WordPieces, packed
 
 PIECES = [*"abcABC'  \n\t ,.!?012²½ªéÉßİΣσς…—漢字🙂\x1c\x85\xa0 _&%#", "'s", "'ll", "'LL", "don't",
@@ -37,11 +37,40 @@ def test_counts_of_an_empty_table(empty):
     assert out.columns == ["doc_id", "n_bytes", "n_tokens"] and out.count() == 0
 
 
+LIBRARY = Tokenizer.from_file(path("byte_bpe_50k.json"))
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.text(st.sampled_from(["a", " ", "\n", "'", "s", "<", "é", "漢"]), max_size=300), st.integers(5, 40))
-def test_spliced_parts_are_the_parts_of_the_whole(text, chunk):
-    got = [p for run in token_counts.spliced_parts(text, chunk, 3) for p in run]
-    assert got == token_counts.PART.findall(text)
+@given(st.text(st.sampled_from(["a", " ", "\n", "'", "s", "l", "<", "1", "é", "漢"]), max_size=300), st.integers(16, 60))
+def test_spliced_ids_are_the_ids_of_the_whole(text, chunk):
+    got = [i for run in token_counts.spliced_ids(LIBRARY, text, chunk, 6, 4) for i in run]
+    assert got == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["lorem  ipsum' dolor'll sit\n\n 12x " * 40, "w" * 700, " " * 500 + "x", "x<|endoftext|> y" * 60,
+                                  "漢字かな" * 200, "a'" * 300, "🙂é " * 200])
+def test_chunks_may_cut_words_white_space_and_special_strings(text):
+    want = LIBRARY.encode(text, add_special_tokens=False).ids
+    for chunk in range(40, 75):
+        got = [i for run in token_counts.spliced_ids(LIBRARY, text, chunk, 8, len("<|endoftext|>")) for i in run]
+        assert got == want
+
+
+def test_overlap_widens_where_no_boundary_is_found(monkeypatch):
+    made = []
+    real = token_counts.Chunk
+    monkeypatch.setattr(token_counts, "Chunk", lambda t, text, a, b: made.append((a, b)) or real(t, text, a, b))
+    text = "ab " * 30 + "w" * 150 + " cd" * 60
+    got = [i for run in token_counts.spliced_ids(LIBRARY, text, 100, 8, 4) for i in run]
+    assert got == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert (92, 200) in made and (84, 200) in made and max(b - a for a, b in made) < len(text)
+
+
+def test_stores_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(wordpieces, "STORE_BYTES", 1000)
+    store = wordpieces.Store(len)
+    assert [store["x" * k] for k in range(1, 100)] == list(range(1, 100))
+    assert len(store) <= 5 and max(map(len, store)) <= wordpieces.LONGEST
 
 
 def test_pieces_hold_the_librarys_ids(docs):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import accumulate, product
+from functools import reduce
+from itertools import accumulate, cycle, product
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpuslink.llm.batches import id_and_text, map_batches, row_groups, text_bytes
 from corpuslink.operators.components import components
-from corpuslink.operators.scale import materialize
+from corpuslink.operators.scale import literal_rows, materialize
 
 BITS = 64
 
@@ -66,8 +67,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_batches(id_and_text(docs, id_col, text_col), make, f"doc_id {kind}, fingerprint bigint")
 
 
-def covering_masks(radius: int) -> list[int]:
-    """Masks of which at least one avoids any `radius` given bits.
+def covering_masks(radius: int, inside: int = (1 << BITS) - 1) -> list[int]:
+    """Masks of bits of `inside`, of which at least one avoids any `radius` given bits.
 
     Bit i stands for a vector m(i) of radius + 1 binary digits, dealt in turn. Each
     non-zero vector v gives a mask of the bits whose m(i) is not orthogonal to v
@@ -75,42 +76,83 @@ def covering_masks(radius: int) -> list[int]:
     orthogonal to all of them, and its mask holds none of them.
     """
     vectors = [v for v in product((0, 1), repeat=radius + 1) if any(v)]
-    dealt = [vectors[i % len(vectors)] for i in range(BITS)]
-    return [sum(1 << i for i, m in enumerate(dealt) if sum(x * y for x, y in zip(m, v)) % 2)
-            for v in vectors]
+    dealt = list(zip((i for i in range(BITS) if inside >> i & 1), cycle(vectors)))
+    return [sum(1 << i for i, m in dealt if sum(x * y for x, y in zip(m, v)) % 2) for v in vectors]
 
 
 def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
-def near_pairs(prints: DataFrame, radius: int = 2) -> DataFrame:
-    """Links between the different fingerprints of a frame (column fingerprint).
+def linked_in_buckets(buckets: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) from the first of each group of a bucket to its other members.
 
-    The links join just what pairs within `radius` bits would join, without listing
-    the pairs. Any such pair agrees under one covering mask, so a fingerprint that
-    shares no masked value with another has no partner. Each of the rest names every
-    value within radius / 2 bits of it: two that differ in `radius` bits or fewer
-    name a common middle, and all that name one middle are within `radius` of each
-    other, hence linked to the smallest of them without a further test. A middle is
-    named by at most 65 fingerprints, however many near copies there are.
+    `buckets` has one column, near: the different fingerprints of a small bucket. A
+    group is what distances of `radius` bits or fewer connect inside the bucket.
     """
-    if radius not in (1, 2):
-        raise ValueError("middles are listed for a radius of 1 or 2")
-    masks = [_signed(m) for m in covering_masks(radius)]
-    tables = prints.select("fingerprint", F.posexplode(F.array(
-        *[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "masked"))
-    # Written first: small enough it is broadcast, else a full bucket can be split over tasks.
-    shared = materialize(tables.groupBy("mask", "masked").agg(
-        F.min("fingerprint").alias("lo"), F.max("fingerprint").alias("hi"))
-        .where("lo < hi").select("mask", "masked"))
-    close = tables.join(shared, ["mask", "masked"], "left_semi").select("fingerprint").distinct()
-    flips = [F.col("fingerprint"), *[F.col("fingerprint").bitwiseXOR(F.lit(_signed(1 << i)))
-                                     for i in range(BITS)]]
-    middles = close.select("fingerprint", F.explode(F.array(*flips)).alias("middle"))
-    named = middles.groupBy("middle").agg(F.collect_list("fingerprint").alias("near")).where("size(near) > 1")
-    hub = F.array_min("near")
-    return (named.select(hub.alias("a"), F.explode("near").alias("b")).where("a != b").distinct())
+    def make():
+        def step(batch: pa.RecordBatch) -> dict | None:
+            lists = batch.column("near")
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.array([len(x) for x in lists], np.int64)
+            starts = np.cumsum(sizes) - sizes
+            a, b = [], []
+            for at, n in zip(starts.tolist(), sizes.tolist()):
+                near = np.sort(values[at:at + n])
+                bits = np.bitwise_count(near.view(np.uint64)[:, None] ^ near.view(np.uint64)[None, :])
+                close = bits <= radius
+                root = np.arange(n)
+                while True:  # the smallest place that is reached in one more step
+                    least = np.where(close, root[None, :], n).min(axis=1)
+                    if np.array_equal(least, root):
+                        break
+                    root = least
+                member = np.flatnonzero(root != np.arange(n))
+                a.append(near[root[member]])
+                b.append(near[member])
+            return {"a": np.concatenate(a), "b": np.concatenate(b)} if a else None
+
+        return step
+
+    return map_batches(buckets, make, "a bigint, b bigint")
+
+
+def near_pairs(prints: DataFrame, radius: int = 2, most: int = 64) -> DataFrame:
+    """Links (a, b) between the different fingerprints of a frame (column fingerprint).
+
+    The links connect just what all pairs within `radius` bits would connect. Any such
+    pair has equal bits under one covering mask, so both stand in one bucket of that
+    mask, and their distance is tested there. A bucket of more than `most` fingerprints is
+    dealt again, by covering masks of the bits that its mask leaves out: again some mask
+    avoids all bits in which a pair differs. Each time about half of the open bits become
+    fixed, so that buckets end with few open bits and at most 2 to their number of fingerprints
+    (with radius 2: 64, then 27, 12 and 6 open bits). No bucket lists its pairs; a
+    group of it gives a link from its first member to each other one.
+    """
+    spark, full = prints.sparkSession, (1 << BITS) - 1
+    reached, bits = [0], BITS  # the masks in use, and the most bits that one leaves open
+    entries = prints.select("fingerprint", F.lit(0).cast("bigint").alias("mask"))
+    links, last = [], False
+    while not last:
+        children = [(_signed(m), _signed(m | c)) for m in reached for c in covering_masks(radius, full & ~m)]
+        table = F.broadcast(literal_rows(spark, children, "mask bigint, child bigint"))  # 7, 49 or 343 rows
+        entries = entries.join(table, "mask").select(
+            "fingerprint", F.col("child").alias("mask"), F.col("fingerprint").bitwiseAND(F.col("child")).alias("masked"))
+        reached = sorted({c & full for _, c in children})
+        # Written first: small enough it is broadcast, else a full bucket can be split over tasks.
+        shared = materialize(entries.groupBy("mask", "masked").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        held = materialize(entries.join(shared, ["mask", "masked"]))
+        # Buckets with so few open bits hold no more than `most`; masks of few bits may not shrink further.
+        before, bits = bits, max(BITS - m.bit_count() for m in reached)
+        last = 1 << bits <= most or bits == before
+        small = held if last else held.where(F.col("n") <= most)
+        near = small.groupBy("mask", "masked").agg(F.collect_list("fingerprint").alias("near"))
+        links.append(linked_in_buckets(near.select("near"), radius))
+        if not last:
+            large = held.where(F.col("n") > most)
+            last = large.isEmpty()
+            entries = large.select("fingerprint", "mask").distinct()
+    return reduce(DataFrame.union, links).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

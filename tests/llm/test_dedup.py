@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,6 +61,20 @@ def test_near_pairs_join_what_all_pairs_join(spark):
     assert len(set(root)) < len(values)
 
 
+@pytest.mark.parametrize("radius,most", [(1, 64), (2, 16)])
+def test_full_buckets_are_dealt_again(spark, radius, most):
+    rng = random.Random(radius)
+    base = [rng.getrandbits(64) for _ in range(2)]
+    values = {b ^ sum(1 << i for i in rng.sample(range(14), k)) for b in base for k in (0, 1, 2, 3, 5, 7) for _ in range(25)}
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    frame = spark.createDataFrame([(v,) for v in values], "fingerprint long")
+    pairs = simhash.near_pairs(frame, radius, most).collect()
+    assert all(((p.a ^ p.b) & (1 << 64) - 1).bit_count() <= 14 for p in pairs)
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(pairs)).collect()}
+    root = smallest_reached(len(values), lambda a, b: ((values[a] ^ values[b]) & (1 << 64) - 1).bit_count() <= radius)
+    assert {v: got.get(v, v) for v in values} == {v: values[r] for v, r in zip(values, root)}
+
+
 @given(st.sets(st.integers(0, 63), max_size=3))
 def test_some_covering_mask_avoids_any_few_bits(bits):
     assert any(not any(m >> b & 1 for b in bits) for m in simhash.covering_masks(3))

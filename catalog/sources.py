@@ -25,6 +25,13 @@ def csv_source(spark: SparkSession, d: str) -> DataFrame:
     return records.read_csv_source(spark, path)
 
 
+def csv_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The same CSV, its byte ranges read by separate tasks."""
+    path = _folder(spark)
+    records.write_sources(table(spark, d, "documents").select("doc_id", "text", "lang", "source"), path)
+    return records.read_csv_parts(spark, path)
+
+
 def csv_lines(spark: SparkSession, d: str) -> DataFrame:
     """Events, one line each, read in parts under a schema."""
     path = _folder(spark)
@@ -73,12 +80,13 @@ def dump_source(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", F.array_join("text_tokens", " ").alias("tokens"))
 
 
-QUERIES = {"source_csv": csv_source, "source_csv_lines": csv_lines, "source_csv_parquet": csv_as_parquet,
+QUERIES = {"source_csv": csv_source, "source_csv_parts": csv_parts, "source_csv_lines": csv_lines, "source_csv_parquet": csv_as_parquet,
            "source_keyed": keyed_source, "source_pair_lines": pair_source, "source_metrics": metrics_source,
            "source_token_dump": dump_source}
 
 ORACLE = {
     "source_csv": "select doc_id::varchar as doc_id, text, lang, source from documents",
+    "source_csv_parts": "select doc_id::varchar as doc_id, text, lang, source from documents",
     "source_csv_lines": "select event_id, user_id from events",
     "source_csv_parquet": "select doc_id, text from documents",
     "source_keyed": "select source, lang, doc_id, text from documents qualify row_number() over (partition by source, lang order by doc_id desc) = 1",

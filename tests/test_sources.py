@@ -1,3 +1,7 @@
+import csv
+import random
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -103,3 +107,36 @@ def test_entry_runs(spark):
 
     assert entry.entry(spark).columns == ["query_id", "rank", "doc_id", "score"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_multi_line_csv_in_parts_equals_the_reader_of_whole_files(spark, tmp_path):
+    rng = random.Random(4)
+    pieces = ["a", "b c", "\n", '"', ",", "\n\n", "\r\n", "é", ' "" ', "x" * 40]
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    want = Counter()
+    for name, end in (("one.csv", "\n"), ("two.csv", "\r\n")):
+        with open(folder / name, "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=end)
+            out.writerow(["id", "text", "tail"])
+            for k in range(400):
+                row = [f"{name}{k}", "t" + "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) + "t", rng.choice(["z", ""])]
+                out.writerow(row)
+                want[row[0], row[1], row[2] or None] += 1
+                if k % 50 == 0:
+                    f.write(end)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        found = SR.csv_records(spark, str(folder))
+        assert found.groupBy("file").count().select("count").distinct().collect() == [(401,)]
+        got = Counter(map(tuple, SR.read_csv_parts(spark, str(folder)).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want
+
+
+def test_csv_parts_of_headers_alone_are_empty(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("id,text\n")
+    out = SR.read_csv_parts(spark, str(tmp_path / "h.csv"), ["text"])
+    assert out.columns == ["text"] and out.count() == 0

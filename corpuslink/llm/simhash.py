@@ -130,15 +130,12 @@ def near_pairs(prints: DataFrame, radius: int = 2, most: int = 64) -> DataFrame:
     group of it gives a link from its first member to each other one.
     """
     spark, full = prints.sparkSession, (1 << BITS) - 1
-    reached, bits = [0], BITS  # the masks in use, and the most bits that one leaves open
-    entries = prints.select("fingerprint", F.lit(0).cast("bigint").alias("mask"))
+    reached, bits = covering_masks(radius), BITS  # the masks in use, and the most bits that one left open
+    first = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius)])
+    entries = prints.select("fingerprint", F.explode(first).alias("mask"))
     links, last = [], False
     while not last:
-        children = [(_signed(m), _signed(m | c)) for m in reached for c in covering_masks(radius, full & ~m)]
-        table = F.broadcast(literal_rows(spark, children, "mask bigint, child bigint"))  # 7, 49 or 343 rows
-        entries = entries.join(table, "mask").select(
-            "fingerprint", F.col("child").alias("mask"), F.col("fingerprint").bitwiseAND(F.col("child")).alias("masked"))
-        reached = sorted({c & full for _, c in children})
+        entries = entries.withColumn("masked", F.col("fingerprint").bitwiseAND(F.col("mask")))
         # Written first: small enough it is broadcast, else a full bucket can be split over tasks.
         shared = materialize(entries.groupBy("mask", "masked").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
         held = materialize(entries.join(shared, ["mask", "masked"]))
@@ -151,7 +148,10 @@ def near_pairs(prints: DataFrame, radius: int = 2, most: int = 64) -> DataFrame:
         if not last:
             large = held.where(F.col("n") > most)
             last = large.isEmpty()
-            entries = large.select("fingerprint", "mask").distinct()
+            children = [(_signed(m), _signed(m | c)) for m in reached for c in covering_masks(radius, full & ~m)]
+            reached = sorted({c & full for _, c in children})
+            table = F.broadcast(literal_rows(spark, children, "mask bigint, child bigint"))  # 49 or 343 rows
+            entries = large.join(table, "mask").select("fingerprint", F.col("child").alias("mask")).distinct()
     return reduce(DataFrame.union, links).distinct()
 
 

@@ -16,7 +16,7 @@ from corpuslink.operators.learned import (apply_linker, apply_text_matcher, trai
 from corpuslink.operators.matching import block_keys, block_sizes, neighbourhood_keys, similar_values
 from corpuslink.operators.mediation import (DEALER_MAPPING, LISTING_MAPPING, align_to_schema, drop_key,
                                             drop_missing, drop_unknown, read_matching)
-from corpuslink.operators.metrics import blocking_report, label_metrics, pair_metrics
+from corpuslink.operators.metrics import blocking_report, equal_metrics, label_metrics, pair_metrics
 from corpuslink.operators.pairs import A_ID, B_ID
 from corpuslink.operators.profile import feature_analysis
 from corpuslink.operators.rules import rule_link
@@ -38,16 +38,23 @@ B_SQL = """select lower('v' || p_partkey) as vin,
  p_partkey as ord from part where p_partkey % 10 <> 8
 union all select 'v' || p_partkey, p_brand, 'duplicate ' || p_name, 2000, 1.0, 1000000 + p_partkey
  from part where p_partkey % 13 = 0"""
-TRAILER = "||' COL transmission VAL  COL state VAL  COL region VAL  COL description VAL '"
+TRAILER = "||' COL transmission VAL  COL state VAL  COL region VAL  COL description VAL '||description"
 
 
 def _sources(spark, d) -> tuple[DataFrame, DataFrame]:
     return run_sql(spark, d, A_SQL), run_sql(spark, d, B_SQL)
 
 
-def _clean(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Mediated sources, one row per key, ids taken from the ingest order."""
+def _described(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The sources with the text of a document as description."""
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("ord"), F.col("text").alias("description"))
     a, b = _sources(spark, d)
+    return a.join(texts, "ord", "left"), b.join(texts, "ord", "left")
+
+
+def _clean(spark, d, sources=_sources) -> tuple[DataFrame, DataFrame]:
+    """Mediated sources, one row per key, ids taken from the ingest order."""
+    a, b = sources(spark, d)
     a = dedup_first(read_matching(a, None, LISTING_MAPPING), ["VIN"], ["ord"])
     b = dedup_first(read_matching(b, None, DEALER_MAPPING), ["vin"], ["ord"])
     a, b = plan.mediate(a, b, ["ord"], ["ord"])
@@ -79,10 +86,18 @@ def mediated_schema(spark, d):
         align_to_schema(b, DEALER_MAPPING, keep=["ord"]).withColumn("side", F.lit("b")))
 
 
+def _sides(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Both sides in one table; columns go by place."""
+    return a.withColumn("side", F.lit("a")).union(b.withColumn("side", F.lit("b")))
+
+
 def cleaned_rows(spark, d):
-    """Rows of b with make and year that are not unknown, key normalised."""
-    b = drop_unknown(drop_missing(_sources(spark, d)[1], ["make_name", "year"]), "make_name")
-    return b.select(normalize_key(F.col("vin")).alias("key"), "make_name", "ord")
+    """Rows with make and year that are not unknown, key normalised."""
+    def side(df, key, make):
+        known = drop_unknown(drop_missing(df, [make, "year"]), make)
+        return known.select(normalize_key(F.col(key)).alias("key"), F.col(make).alias("make"), "ord")
+    a, b = _sources(spark, d)
+    return _sides(side(a, "VIN", "manufacturer"), side(b, "vin", "make_name"))
 
 
 def keys_of_sources(spark, d):
@@ -93,9 +108,11 @@ def keys_of_sources(spark, d):
 
 
 def matching_rows(spark, d):
-    """Rows of b whose key occurs in a."""
+    """Rows of each side whose key occurs on the other."""
     a, b = _sources(spark, d)
-    return read_matching(b, distinct_keys(a, "VIN"), DEALER_MAPPING).select("vin", "make_name", "year", "ord")
+    xa = read_matching(a, distinct_keys(b, "vin"), LISTING_MAPPING).select("VIN", "manufacturer", "year", "ord")
+    xb = read_matching(b, distinct_keys(a, "VIN"), DEALER_MAPPING).select("vin", "make_name", F.col("year").cast("string"), "ord")
+    return _sides(xa.toDF("vin", "make", "year", "ord"), xb)
 
 
 def common_rows(spark, d):
@@ -113,7 +130,9 @@ def first_and_last(spark, d):
 
 
 def row_ids(spark, d):
-    return with_row_ids(_sources(spark, d)[0].select("VIN", "ord"), ["VIN"], "row_id")
+    a, b = _sources(spark, d)
+    return _sides(with_row_ids(a.select(F.col("VIN").alias("vin"), "ord"), ["vin"], "row_id"),
+                  with_row_ids(b.select("vin", "ord"), ["vin", "ord"], "row_id"))
 
 
 def true_pairs(spark, d):
@@ -121,8 +140,8 @@ def true_pairs(spark, d):
 
 
 def profile_of_attributes(spark, d):
-    a = _clean(spark, d)[0].drop(A_ID)
-    return feature_analysis(a)
+    a, b = _clean(spark, d, _described)
+    return _sides(feature_analysis(a.drop(A_ID)), feature_analysis(b.drop(B_ID)))
 
 
 def blocks_make(spark, d):
@@ -195,9 +214,15 @@ def candidate_report(spark, d):
 
 def metrics_of_pairs(spark, d):
     """Equal model and year as prediction, against the true pairs."""
-    a, b = _clean(spark, d)
-    pred = a.select(A_ID, "model", "year").join(b.select(B_ID, "model", "year"), ["model", "year"])
-    return _round(pair_metrics(pred, PR.ground_truth(a, b), A_ID, B_ID), *RATES)
+    a, b = _stored(spark, d)
+    return _round(equal_metrics(a, b, ["model", "year"], PR.ground_truth(a, b), A_ID, B_ID), *RATES)
+
+
+def metrics_of_listed_pairs(spark, d):
+    """The rule links as predicted pairs, against the true pairs."""
+    a, b = _stored(spark, d)
+    links = rule_link(*block_keys(a, b, "make"), A_ID, B_ID, equal="make")
+    return _round(pair_metrics(links, PR.ground_truth(a, b), A_ID, B_ID), *RATES)
 
 
 def metrics_of_labels(spark, d):
@@ -241,12 +266,13 @@ def pair_attributes(spark, d):
 
 
 def serialized(spark, d):
-    a = _clean(spark, d)[0]
-    return a.select(A_ID, serialize_record([c for c in PR.VEHICLE_SCHEMA if c != "vin"]).alias("text"))
+    a, b = _clean(spark, d, _described)
+    text = serialize_record([c for c in PR.VEHICLE_SCHEMA if c != "vin"]).alias("text")
+    return _sides(a.select(F.col(A_ID).alias("id"), text), b.select(B_ID, text))
 
 
 def exported_pairs(spark, d):
-    a, b = _stored(spark, d)
+    a, b = materialize_all(*_clean(spark, d, _described))
     return plan.export_pairs(PR.ground_truth(a, b), a, b)
 
 
@@ -266,7 +292,8 @@ def _both(xa, xb):
 
 
 def dropped_key(spark, d):
-    return drop_key(_clean(spark, d)[0]).select("*").drop("description")
+    a, b = _clean(spark, d, _described)
+    return _sides(drop_key(a).withColumnRenamed(A_ID, "id"), drop_key(b).withColumnRenamed(B_ID, "id"))
 
 
 def parsed_lines(spark, d):
@@ -313,14 +340,14 @@ def text_matcher(spark, d):
 
 # -- SQL -------------------------------------------------------------------
 
-def _mediate_sql(a: str, b: str, keep_key: bool = True) -> str:
+def _mediate_sql(a: str, b: str, description: str = "''") -> str:
     price = lambda c: f"regexp_replace(coalesce(cast({c} as varchar),''), '\\.0$', '')"
     alnum = lambda c: f"regexp_replace(lower(coalesce({c},'')), '[^a-z0-9]', '', 'g')"
     return f"""select ord, coalesce(VIN,'') as vin, {alnum('manufacturer')} as make, {alnum('model')} as model,
  {price('year')} as year, {price('price')} as price, cast(odometer as varchar) as mileage, fuel,
- '' as transmission, '' as state, '' as region, '' as description, price::double as price_num, 'a' as side from {a}
+ '' as transmission, '' as state, '' as region, {description} as description, price::double as price_num, 'a' as side from {a}
 union all select ord, coalesce(vin,''), {alnum('make_name')}, {alnum('model_name')}, {price('year')}, {price('price')},
- '', '', '', '', '', '', price::double, 'b' from {b}"""
+ '', '', '', '', '', {description}, price::double, 'b' from {b}"""
 
 
 RAW = f"with ra as ({A_SQL}), rb as ({B_SQL}), "
@@ -328,10 +355,12 @@ FIRST = """fa as (select * replace(upper(trim(VIN)) as VIN) from (select *, row_
   from ra where manufacturer is not null and year is not null and not contains(lower(manufacturer),'unknown')) where rn=1),
 fb as (select * replace(upper(trim(vin)) as vin) from (select *, row_number() over (partition by upper(trim(vin)) order by ord) as rn
   from rb where make_name is not null and year is not null and not contains(lower(make_name),'unknown')) where rn=1), """
-CLEAN = RAW + FIRST + f"""m as ({_mediate_sql('fa', 'fb')}),
-a as (select ord as {A_ID}, * exclude(ord, side) from m where side='a'),
+SIDES = f"""a as (select ord as {A_ID}, * exclude(ord, side) from m where side='a'),
 b as (select ord as {B_ID}, * exclude(ord, side) from m where side='b'),
 gt as (select a.{A_ID}, b.{B_ID} from a join b using(vin)) """
+CLEAN = RAW + FIRST + f"m as ({_mediate_sql('fa', 'fb')}),\n{SIDES}"
+TEXTS = "(select f.*, d.text as description from {} f left join documents d on d.doc_id = f.ord)"
+DESCRIBED = RAW + FIRST + f"m as ({_mediate_sql(TEXTS.format('fa'), TEXTS.format('fb'), "coalesce(description,'')")}),\n{SIDES}"
 SCORE = """(case when jaro_winkler_similarity(a.make,b.make)>=0.9 then 1.0::double else 0 end)
  +(case when jaro_winkler_similarity(a.model,b.model)>=0.8 then 1 else 0 end)
  +(case when 1-levenshtein(a.year,b.year)/greatest(length(a.year),length(b.year))>=0.9 then 1 else 0 end)
@@ -374,8 +403,9 @@ def _export_sql() -> str:
     for s in ("train", "val", "test"):
         parts.append(_negatives_sql(f"(select count(*) from sp where split='{s}')", f"42|{s}", f"n_{s}"))
         union.append(f"select {A_ID}, {B_ID}, 0 as label, '{s}' as split from n_{s}")
-    return CLEAN + f""", sp as (select * from {_split_sql()}), {', '.join(parts)},
-ta as (select {A_ID}, {TEXT} as "left" from a), tb as (select {B_ID}, {TEXT} as "right" from b),
+    line = f"regexp_replace({TEXT}, '[\\t\\r\\n]+', ' ', 'g')"
+    return DESCRIBED + f""", sp as (select * from {_split_sql()}), {', '.join(parts)},
+ta as (select {A_ID}, {line} as "left" from a), tb as (select {B_ID}, {line} as "right" from b),
 l as (select {A_ID}, {B_ID}, 1 as label, split from sp union all {' union all '.join(union)})
 select "left", "right", label::int as label, split from l join ta using({A_ID}) join tb using({B_ID})"""
 
@@ -400,9 +430,10 @@ p_B1 as ({_links_sql('a.make=b.make')}), p_B2 as ({_links_sql('a.year=b.year')})
 def _profile_sql() -> str:
     cols = ["vin", "make", "model", "year", "price", "mileage", "fuel", "transmission", "state", "region",
             "description", "price_num"]
-    return CLEAN + " union all ".join(
+    return DESCRIBED + " union all ".join(
         f"""select '{c}' as attribute, round(100*avg(case when {c} is null then 1.0::double else 0 end),2) as null_pct,
- round(100*avg(case when cast({c} as varchar)='' then 1.0::double else 0 end),2) as blank_pct, count(distinct {c}) as "unique" from a""" for c in cols)
+ round(100*avg(case when cast({c} as varchar)='' then 1.0::double else 0 end),2) as blank_pct, count(distinct {c}) as "unique", '{t}' as side
+ from {t}""" for c in cols for t in "ab")
 
 
 NEW_IDS = "coalesce(VIN,'')"
@@ -419,7 +450,7 @@ QUERIES = {
     "link_learned_evaluation": learned_evaluation,
     "link_similar_names": similar_names, "link_rules_make": rule_links_make, "link_rules_year": rule_links_year,
     "link_rules_year_window3": rule_links_years, "link_rule_evaluation": rule_evaluation,
-    "link_blocking_report": candidate_report, "link_pair_metrics": metrics_of_pairs,
+    "link_blocking_report": candidate_report, "link_pair_metrics": metrics_of_pairs, "link_metrics": metrics_of_listed_pairs,
     "link_label_metrics": metrics_of_labels, "link_sample_keys": sampled_keys,
     "link_sample_source": sampled_source, "link_shuffled": shuffled_lines, "link_split": split_of_pairs,
     "link_false_pairs": false_pairs, "link_training_set": training_set, "link_pair_attributes": pair_attributes,
@@ -431,16 +462,21 @@ QUERIES = {
 PAIRS = f"{A_ID}, {B_ID}"
 ORACLE = {
     "link_mediated_schema": RAW[:-2] + " " + _mediate_sql("ra", "rb"),
-    "link_cleaned_rows": f"with rb as ({B_SQL}) select upper(trim(vin)) as key, make_name, ord from rb where make_name is not null and year is not null and not contains(lower(make_name),'unknown')",
+    "link_cleaned_rows": RAW[:-2] + """ select upper(trim(VIN)) as key, manufacturer as make, ord, 'a' as side from ra
+ where manufacturer is not null and year is not null and not contains(lower(manufacturer),'unknown')
+ union all select upper(trim(vin)), make_name, ord, 'b' from rb where make_name is not null and year is not null and not contains(lower(make_name),'unknown')""",
     "link_keys": RAW + """x as (select distinct upper(trim(VIN)) as key from ra), y as (select distinct upper(trim(vin)) as key from rb)
  select key, 'a' as side from x union all select key, 'b' from y union all select key, 'both' from x where key in (select key from y)""",
-    "link_matching_rows": RAW[:-2] + """ select upper(trim(vin)) as vin, make_name, year, ord from rb where make_name is not null and year is not null
+    "link_matching_rows": RAW[:-2] + """ select upper(trim(VIN)) as vin, manufacturer as make, year, ord, 'a' as side from ra where manufacturer is not null and year is not null
+ and not contains(lower(manufacturer),'unknown') and upper(trim(VIN)) in (select upper(trim(vin)) from rb)
+ union all select upper(trim(vin)), make_name, cast(year as varchar), ord, 'b' from rb where make_name is not null and year is not null
  and not contains(lower(make_name),'unknown') and upper(trim(vin)) in (select upper(trim(VIN)) from ra)""",
     "link_common_rows": RAW[:-2] + """ select upper(trim(VIN)) as key, ord from ra where upper(trim(VIN)) in (select upper(trim(vin)) from rb)
  union all select upper(trim(vin)), ord from rb where upper(trim(vin)) in (select upper(trim(VIN)) from ra)""",
     "link_first_last": f"""with rb as ({B_SQL}) select upper(trim(vin)) as vin, min(ord) as ord, 'first' as which from rb group by 1
  union all select upper(trim(vin)), max(ord), 'last' from rb group by 1""",
-    "link_row_ids": f"with ra as ({A_SQL}) select VIN, ord, row_number() over (order by VIN)-1 as row_id from ra",
+    "link_row_ids": RAW[:-2] + """ select VIN as vin, ord, row_number() over (order by VIN)-1 as row_id, 'a' as side from ra
+ union all select vin, ord, row_number() over (order by vin, ord)-1, 'b' from rb""",
     "link_true_pairs": CLEAN + f"select {PAIRS} from gt",
     "link_attribute_profile": _profile_sql(),
     "link_blocks_make": CLEAN + """select make as block, n_a, n_b, n_a*n_b as n_pairs from (select make, count(*) as n_a from a group by make)
@@ -464,6 +500,8 @@ ORACLE = {
  count(*) as true_pairs, round(count(*) filter (a.make=b.make)/count(*),6) as recall_ceiling
  from gt join a using(orig_cl_id) join b using(orig_uc_id)""",
     "link_pair_metrics": CLEAN + f""", p as (select distinct {PAIRS} from a join b using(model, year))
+ {_rates_sql(f"select (select count(*) from p join gt using({PAIRS})) as tp, (select count(*) from p anti join gt using({PAIRS})) as fp, (select count(*) from gt anti join p using({PAIRS})) as fn")}""",
+    "link_metrics": CLEAN + f""", p as ({_links_sql("a.make=b.make")})
  {_rates_sql(f"select (select count(*) from p join gt using({PAIRS})) as tp, (select count(*) from p anti join gt using({PAIRS})) as fp, (select count(*) from gt anti join p using({PAIRS})) as fn")}""",
     "link_label_metrics": _rates_sql("""select count(*) filter (p and y) as tp, count(*) filter (p and not y) as fp, count(*) filter (not p and y) as fn,
  count(*) filter (not p and not y) as tn from (select least(n_chars,4000)/4000>0.5 as p, quality=1 as y from labels join documents using(doc_id))""",
@@ -483,12 +521,12 @@ ORACLE = {
  select {PAIRS}, 1 as label from pos union all select {PAIRS}, 0 from neg""",
     "link_pair_attributes": CLEAN + f"""select {PAIRS}, a.make as a_make, a.model as a_model, a.year as a_year, b.make as b_make, b.model as b_model,
  b.year as b_year from gt join a using({A_ID}) join b using({B_ID})""",
-    "link_serialized": CLEAN + f"select {A_ID}, {TEXT} as text from a",
+    "link_serialized": DESCRIBED + f"select {A_ID} as id, {TEXT} as text, 'a' as side from a union all select {B_ID}, {TEXT}, 'b' from b",
     "link_exported_pairs": _export_sql(),
     "link_sources_full": RAW + FIRST[:-2] + """ select VIN as key, ord, 'a' as side from fa where VIN in (select vin from fb)
  union all select vin, ord, 'b' from fb where vin in (select VIN from fa)""",
     "link_sources_sampled": RAW + FIRST + SAMPLED + """ select VIN as key, ord, 'a' as side from pa where VIN in (select key from tg)
  union all select vin, ord, 'b' from pb where vin in (select key from tg)""",
-    "link_dropped_key": CLEAN + "select * exclude(vin, description) from a",
+    "link_dropped_key": DESCRIBED + f"select {A_ID} as id, * exclude({A_ID}, vin), 'a' as side from a union all select {B_ID}, * exclude({B_ID}, vin), 'b' from b",
     "link_parsed_lines": f"""with l as (select string_split(value, chr(9)) as p from ({LINES_SQL}))
  select p[1] as "left", array_to_string(p[2:-2], ' ') as "right", try_cast(trim(p[-1]) as int) as label from l where len(p)>=3"""}

@@ -15,11 +15,12 @@ from corpuslink.operators.tfidf import cosine_pairs, tfidf
 from corpuslink.plans import corpus as plan
 from corpuslink.plans.search import corpus_search, read_corpus_index, write_corpus_index
 from corpuslink.operators.scale import literal_rows
+from corpuslink.functions import wordlists
 from corpuslink.functions.markup import xml_text_udf
 from corpuslink.functions.text import clean_text
 
 from .common import WORDS2, clean, quote, run_sql, table, terms_sql
-from .search import STOPS, written
+from .search import written
 
 
 def _esc(c):
@@ -99,7 +100,7 @@ def explicit_mentions(spark, d):
 
 
 def full_extraction(spark, d):
-    out = M.extract_media(pages_of(spark, d), stop_words=STOPS)
+    out = M.extract_media(pages_of(spark, d))
     return out.select("source", "paper_id", "kind", "object_id", "caption",
                       F.array_join("mentions", "|").alias("mentions"),
                       F.array_join("context_paragraphs", "|").alias("context"))
@@ -112,13 +113,13 @@ def _paras(spark, d) -> DataFrame:
 
 
 def weights(spark, d):
-    out = tfidf(_paras(spark, d), "doc_id", "line", stop_words=STOPS, min_texts=3)
+    out = tfidf(_paras(spark, d), "doc_id", "line", min_texts=3)
     return out.select("doc_id", "line", "term", F.round("weight", 6).alias("weight"))
 
 
 def similar_paragraphs(spark, d):
     caps = _lines(spark, d).select("doc_id", F.lit(0).alias("obj"), F.col("first").alias("text"))
-    out = cosine_pairs(caps, _paras(spark, d), "doc_id", "obj", "line", stop_words=STOPS)
+    out = cosine_pairs(caps, _paras(spark, d), "doc_id", "obj", "line")
     return out.select("doc_id", "line", F.round("cosine", 6).alias("cosine"))
 
 
@@ -218,7 +219,7 @@ def built_corpus(spark, d):
     """The whole build from landed feeds and pages, as counts per kind and source."""
     return plan.corpus_counts(plan.build_corpus(
         _feed(spark, d), _articles(spark, d).select(F.col("article").cast("string").alias("article"), "xml"),
-        pages_of(spark, d), stop_words=STOPS))
+        pages_of(spark, d)))
 
 
 CORPUS_QUERIES = [(1, "the of"), (2, "les"), (3, "that with"), (4, "100"), (5, "t200"), (6, "de la")]
@@ -242,7 +243,7 @@ pr as (select doc_id, line, raw, row_number() over (partition by doc_id order by
  select doc_id, unnest(range(0, len(l)-1)) as line, unnest(l[2:]) as line_text,
  line_text || case line%3 when 0 then ' 1' when 1 then ' 23' else '' end as raw from ln) where length(raw)>50),
 plain as (select doc_id, line, raw from (select doc_id, unnest(range(0, len(l)-1)) as line, unnest(l[2:]) as raw from ln) where length(raw)>50)"""
-STOP_LIST = "[" + ", ".join(quote(s) for s in STOPS) + "]"
+STOP_LIST = "[" + ", ".join(quote(s) for s in wordlists.tfidf_stop_words()) + "]"
 
 
 def _tfidf_sql(paras: str, objs: str | None = None) -> str:

@@ -193,6 +193,12 @@ def stemmed(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+def italian_terms(spark, d):
+    """Occurrences of light Italian stems over whole texts, with a stop list of its own."""
+    found = P.occurrences(_docs(spark, d), "doc_id", {"contenuto": ("italian", STOPS)})
+    return found.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def length_codes(spark, d):
     return table(spark, d, "documents").select(
         "doc_id", quantize_length(F.col("n_chars")).cast("bigint").alias("code"))
@@ -309,6 +315,16 @@ def _analyzer_sql() -> str:
     return f"select doc_id, {cols} from documents"
 
 
+def _italian_sql() -> str:
+    stops = ", ".join(map(quote, STOPS))
+    articles = "|".join(wordlists.ITALIAN_ELISIONS)
+    plain = "translate(w, 'àáâäòóôöèéêëùúûüìíîï', 'aaaaooooeeeeuuuuiiii')"
+    return f"""with t as (select unnest(regexp_extract_all(lower(text), {STANDARD})) as t from documents),
+ e as (select regexp_replace(t, '^(?:{articles})[''’]', '') as w from t)
+ select case when length(w)<6 then w else regexp_replace({plain}, '([ih]?[ei]|i?[ao])$', '') end as term, count(*) as n
+ from e where w <> '' and w not in ({stops}) group by 1"""
+
+
 def _kinds_sql() -> str:
     sp = r"[\s\x0b\x{85}\p{Z}]+"
     trim = lambda c: f"regexp_replace({c}, '^{sp}|{sp}$', '', 'g')"
@@ -426,6 +442,7 @@ QUERIES = {
     "search_boosted_fields": boosted, "search_relevant_papers": relevant, "search_conversations": roles_and_text,
     "index_postings": postings_table, "index_corpus_stats": vocabulary_stats, "index_token_dump": token_dump,
     "index_first_documents": first_documents, "analyzers_unstemmed": analyzers, "analyzers_stemmed": stemmed,
+    "analyzers_italian": italian_terms,
     "scoring_length_codes": length_codes, "search_query_kinds": query_kinds, "search_snippets": snippets,
     "search_topic_selection": topic_selection}
 
@@ -457,6 +474,7 @@ ORACLE = {
  array_to_string(regexp_extract_all(lower(text), {STANDARD}), ' ') as contenuto_tokens from documents""",
     "index_first_documents": "select source || '/' || doc_id as nome, text as contenuto from documents order by doc_id limit 100",
     "analyzers_unstemmed": _analyzer_sql(),
+    "analyzers_italian": _italian_sql(),
     "scoring_length_codes": f"select doc_id, {quantized('n_chars')} as code from documents",
     "search_query_kinds": _kinds_sql(), "search_snippets": _snippet_sql(),
     "search_topic_selection": f"""with a as (select doc_id, source, regexp_extract_all(lower(split_part(text, chr(10), 1)), {STANDARD}) as t,

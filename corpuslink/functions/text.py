@@ -191,8 +191,9 @@ def highlight(text: Column, terms: Column, size: int = 200, pre: str = "<mark>",
         lead = F.length(F.array_join(F.slice(x["pieces"], before, first - before), ""))
         start = F.when(lead > size // 2, first).otherwise(before)
         shown, marks = F.slice(x["pieces"], start, F.lit(size)), F.slice(x["hits"], start, F.lit(size))
-        fits = F.size(F.filter(F.sequence(F.lit(1), F.size(shown)),
-                               lambda n: F.length(F.array_join(F.slice(shown, F.lit(1), n), "")) <= size))
+        fits = F.aggregate(shown, F.struct(F.lit(0).alias("n"), F.lit(0).alias("length")), lambda s, p: F.struct(
+            (s["n"] + (s["length"] + F.length(p) <= size).cast("int")).alias("n"),
+            (s["length"] + F.length(p)).alias("length")))["n"]
         n = F.greatest(fits, F.lit(1))
         marked = F.zip_with(F.slice(shown, F.lit(1), n), F.slice(marks, F.lit(1), n), lambda p, hit: F.when(
             hit, F.concat(F.lit(pre), p, F.lit(post))).otherwise(p))

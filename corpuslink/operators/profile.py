@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scale import ordered_ids
 
+DIGEST = 64  # characters of a SHA-256
+
 
 def count_by_source(df: DataFrame, column: str = "source", total: bool = True) -> DataFrame:
     """Rows per source and, under the name `ALL`, in total."""
@@ -23,13 +25,19 @@ def feature_analysis(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """Per column: null and blank percentage and number of distinct values.
 
     Values are counted per (attribute, value) first, so a frequent value is
-    reduced to one row before the shuffle.
+    reduced to one row before the shuffle. A value longer than its SHA-256
+    travels as that digest; digests of different values differ for all purposes.
     """
     columns = list(columns or df.columns)
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("v"))
-        for c in columns])).alias("x")
-    values = (df.select(cells).groupBy("x.attribute", "x.v")
+
+    def cell(name: str) -> Column:
+        v = F.col(name).cast("string")
+        digested = F.length(v) > DIGEST
+        return F.struct(F.lit(name).alias("attribute"), digested.alias("digested"),
+                        F.when(digested, F.sha2(v, 256)).otherwise(v).alias("v"))
+
+    cells = F.explode(F.array(*map(cell, columns))).alias("x")
+    values = (df.select(cells).groupBy("x.attribute", "x.digested", "x.v")
               .agg(F.count(F.lit(1)).alias("n")))
     share = lambda cond: F.round(
         100 * F.sum(F.when(cond, F.col("n")).otherwise(0)) / F.sum("n"), 2)

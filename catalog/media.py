@@ -140,10 +140,14 @@ def _articles(spark, d) -> DataFrame:
     return lines.select(ident.alias("article"), F.when(ident % 50 == 0, F.substring(xml, 1, 40)).otherwise(xml).alias("xml"))
 
 
-def xml_papers(spark, d):
+def _article_papers(spark, d) -> DataFrame:
     pages = table(spark, d, "documents").where("doc_id % 7 < 3").select(
         F.concat(F.lit("PMC"), "doc_id").alias("paper_id"), F.col("text").alias("html"))
-    return PP.parse_article_xml(_articles(spark, d), "xml", "article", pages).select(
+    return PP.parse_article_xml(_articles(spark, d), "xml", "article", pages)
+
+
+def xml_papers(spark, d):
+    return _article_papers(spark, d).select(
         "document_id", "title", F.array_join("authors", ";").alias("authors"),
         F.date_format("date", "yyyy-MM-dd").alias("date"), "abstract", "full_text", "pdf_url",
         "local_file_saved", "local_filename")
@@ -161,11 +165,15 @@ def _feed(spark, d) -> DataFrame:
         F.lit("2024-01-02").cast("timestamp").alias("published"), F.col("text").alias("summary"))
 
 
-def feed_papers(spark, d):
+def _feed_papers(spark, d) -> DataFrame:
     pages = table(spark, d, "documents").where("doc_id % 3 = 0").select(
         F.concat("doc_id", F.lit("v1")).alias("paper_id"),
         _cat("<html><head><title>t</title></head><body><p>", _esc(F.col("text")), "</p></body></html>").alias("html"))
-    return PP.build_papers(_feed(spark, d), pages).select(
+    return PP.build_papers(_feed(spark, d), pages)
+
+
+def feed_papers(spark, d):
+    return _feed_papers(spark, d).select(
         "document_id", "title", "full_text", "pdf_url", "local_file_saved", "local_filename")
 
 
@@ -209,17 +217,33 @@ def orphan_media(spark, d):
 
 
 def union_of_feeds(spark, d):
-    """Papers of both feeds in one table."""
-    a = PP.build_papers(_feed(spark, d), pages_of(spark, d).where("source = 'arxiv'"))
-    return PP.union_papers(a, PP.parse_article_xml(_articles(spark, d), "xml", "article")).select(
-        "source", "document_id", "title")
+    """Papers of both feeds in one table, all columns."""
+    return PP.union_papers(_feed_papers(spark, d), _article_papers(spark, d)).withColumn(
+        "authors", F.array_join("authors", ";")).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
-def built_corpus(spark, d):
-    """The whole build from landed feeds and pages, as counts per kind and source."""
-    return plan.corpus_counts(plan.build_corpus(
+def _built(spark, d) -> plan.Corpus:
+    """The whole build from landed feeds and pages."""
+    return plan.build_corpus(
         _feed(spark, d), _articles(spark, d).select(F.col("article").cast("string").alias("article"), "xml"),
-        pages_of(spark, d)))
+        pages_of(spark, d))
+
+
+def built_corpus(spark, d):
+    """The build as counts per kind and source."""
+    return plan.corpus_counts(_built(spark, d))
+
+
+def built_media(spark, d):
+    """The figures and tables of the build, all columns."""
+    corpus, none = _built(spark, d), F.lit("")
+    figures = corpus.figures.withColumnsRenamed({"figure_id": "object_id"}).withColumns(
+        {"kind": F.lit("figure"), "body_content": none})
+    tables = corpus.tables.withColumnsRenamed({"table_id": "object_id"}).withColumns(
+        {"kind": F.lit("table"), "img_url": none, "local_src": none})
+    return figures.unionByName(tables).withColumns({
+        "mentions": F.array_join("mentions", "|"), "context": F.array_join("context_paragraphs", "|")}).drop(
+        "context_paragraphs")
 
 
 CORPUS_QUERIES = [(1, "the of"), (2, "les"), (3, "that with"), (4, "100"), (5, "t200"), (6, "de la")]
@@ -273,7 +297,7 @@ union all select doc_id, 'pubmed', 'table', 't1', case when contains({C1}, 'Tabl
 union all select doc_id, 'pubmed', 'table', 'unknown', '', 'z', '', '', 5, -1 from ln where doc_id%2=1)"""
 
 
-def _extraction_sql() -> str:
+def _extraction_sql(more: str = "") -> str:
     return f"""with {LINES}, {OBJECTS}, pt as (select doc_id, idx as line, line%3 as rem, {clean('raw')} as text from pr),
 qt as (select doc_id, obj, caption || case when kind='table' then ' ' || body_content else '' end as text from ob),
 {_tfidf_sql('pt', 'qt')},
@@ -282,7 +306,7 @@ mm as (select doc_id, obj, string_agg(text, '|' order by line) as mentions from
  select * from mn where source='pubmed' or kind='table' union all
  select doc_id, obj, source, kind, min(line), text from mn where source='arxiv' and kind='figure' group by all) group by all),
 cc as (select doc_id, obj, string_agg(text, '|' order by line) as context from cs anti join mn using(doc_id, obj, line) join pt using(doc_id, line) group by all)
-select source, cast(doc_id as varchar) as paper_id, kind, object_id, caption, coalesce(mentions,'') as mentions, coalesce(context,'') as context
+select source, cast(doc_id as varchar) as paper_id, kind, object_id, caption, coalesce(mentions,'') as mentions, coalesce(context,'') as context{more}
 from ob left join mm using(doc_id, obj) left join cc using(doc_id, obj)"""
 
 
@@ -353,12 +377,19 @@ QUERIES = {
     "media_similar_paragraphs": similar_paragraphs, "papers_from_xml": xml_papers,
     "papers_xml_text": xml_node_text, "papers_from_feed": feed_papers, "papers_union": union_of_feeds,
     "corpus_counts": corpus_counts, "corpus_paper_report": paper_report, "corpus_media_report": media_report,
-    "corpus_orphans": orphan_media, "corpus_build": built_corpus, "corpus_search": search_everything}
+    "corpus_orphans": orphan_media, "corpus_build": built_corpus, "corpus_build_media": built_media, "corpus_search": search_everything}
 
 GOOD = "from (select *, split_part(text, chr(10), 1) as f from documents) where doc_id%50<>0"
 XML_TITLE = clean("f || ' x'")
 DATE = "case doc_id%4 when 0 then '2002-03-04' when 1 then '2010-12-01' else '1970-01-01' end"
 N_DOCS = "(select count(*) from documents where {})"
+FROM_XML = f"""select 'PMC' || doc_id as document_id, trim(f || ' x') as title, case when doc_id%3=0 then lang else 'G ' || lang end as authors,
+ {DATE} as date, {clean("f || ' In'")} as abstract, {clean('text')} as full_text, 'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || doc_id || '/' as pdf_url,
+ (doc_id%7<3 and strlen(text)>4000) as local_file_saved, case when doc_id%7<3 and strlen(text)>4000 then 'PMC' || doc_id || '.html' end as local_filename {GOOD}"""
+FROM_FEED = f"""select doc_id || 'v1' as document_id, split_part(text, chr(10), 1) as title,
+ case when saved then {clean('text')} else text end as full_text, 'http://example.org/html/' || doc_id || 'v1' as pdf_url,
+ saved as local_file_saved, case when saved then doc_id || 'v1.html' end as local_filename from (select *, doc_id%3=0 and
+ strlen(replace(replace(replace(text,'&','&amp;'),'<','&lt;'),'>','&gt;')) + {len('<html><head><title>t</title></head><body><p></p></body></html>')} > 2000 as saved from documents)"""
 ORACLE = {
     "media_page_text": _page_sql()[0], "media_page_paragraphs": _page_sql()[1],
     "media_objects": f"with {LINES}, {OBJECTS} select source, cast(doc_id as varchar) as paper_id, kind, object_id, img_url, local_src, caption, body_content from ob",
@@ -370,17 +401,12 @@ ORACLE = {
  select doc_id, line::int as line, term, round(weight,6) as weight from wp""",
     "media_similar_paragraphs": f"""with {LINES}, pt as (select doc_id, line, {clean('raw')} as text from plain),
  qt as (select doc_id, 0 as obj, l[1] as text from ln), {_tfidf_sql('pt', 'qt')} select doc_id, line::int as line, round(cosine,6) as cosine from cs""",
-    "papers_from_xml": f"""select 'PMC' || doc_id as document_id, trim(f || ' x') as title, case when doc_id%3=0 then lang else 'G ' || lang end as authors,
- {DATE} as date, {clean("f || ' In'")} as abstract, {clean('text')} as full_text, 'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || doc_id || '/' as pdf_url,
- (doc_id%7<3 and strlen(text)>4000) as local_file_saved, case when doc_id%7<3 and strlen(text)>4000 then 'PMC' || doc_id || '.html' end as local_filename {GOOD}""",
+    "papers_from_xml": FROM_XML,
     "papers_xml_text": f"""select doc_id as article, case when doc_id%50=0 then 'none' else {XML_TITLE} end as title
  from (select *, split_part(text, chr(10), 1) as f from documents)""",
-    "papers_from_feed": f"""select doc_id || 'v1' as document_id, split_part(text, chr(10), 1) as title,
- case when saved then {clean('text')} else text end as full_text, 'http://example.org/html/' || doc_id || 'v1' as pdf_url,
- saved as local_file_saved, case when saved then doc_id || 'v1.html' end as local_filename from (select *, doc_id%3=0 and
- strlen(replace(replace(replace(text,'&','&amp;'),'<','&lt;'),'>','&gt;')) + {len('<html><head><title>t</title></head><body><p></p></body></html>')} > 2000 as saved from documents)""",
-    "papers_union": f"""select 'arxiv' as source, doc_id || 'v1' as document_id, split_part(text, chr(10), 1) as title from documents
- union all select 'pubmed', 'PMC' || doc_id, trim(f || ' x') {GOOD}""",
+    "papers_from_feed": FROM_FEED,
+    "papers_union": f"""select 'arxiv' as source, document_id, title, lang as authors, '2024-01-02' as date, text as abstract, full_text, pdf_url, local_file_saved, local_filename
+ from ({FROM_FEED}) join documents on document_id = doc_id || 'v1' union all by name select 'pubmed' as source, * from ({FROM_XML})""",
     "corpus_counts": f"""with o as (select 'papers' as object, source from ({PAPER_SQL}) union all select 'figures', source from ({FIGURES})
  union all select 'tables', source from ({TABLES_})) select object, coalesce(source,'ALL') as source, count(*) as n from o group by grouping sets ((object,source),(object))""",
     "corpus_paper_report": f"""with p as ({PAPER_SQL}), f as (select paper_id, count(*) as n from ({FIGURES}) group by 1), t as (select paper_id, count(*) as n from ({TABLES_}) group by 1)
@@ -395,4 +421,5 @@ ORACLE = {
  union all select 'figures', 'pubmed', {N_DOCS.format('doc_id%2=1')} union all select 'tables', 'arxiv', {N_DOCS.format('doc_id%2=0')}
  union all select 'tables', 'pubmed', 2*{N_DOCS.format('doc_id%2=1')}) select object, coalesce(source,'ALL') as source, sum(n)::bigint as n
  from o group by grouping sets ((object,source),(object))""",
+    "corpus_build_media": _extraction_sql(", img_url, local_src, body_content"),
     "corpus_search": _search_sql()}

@@ -1,4 +1,5 @@
 import csv
+import hashlib
 import random
 from collections import Counter
 
@@ -140,3 +141,11 @@ def test_csv_parts_of_headers_alone_are_empty(spark, tmp_path):
     (tmp_path / "h.csv").write_text("id,text\n")
     out = SR.read_csv_parts(spark, str(tmp_path / "h.csv"), ["text"])
     assert out.columns == ["text"] and out.count() == 0
+
+
+def test_profile_tells_long_values_apart_by_digests(spark):
+    long, digest = "a" * 80, hashlib.sha256(b"a" * 80).hexdigest()
+    df = literal_rows(spark, [(long,), (long,), (long + "b",), (digest,), ("",), (None,)], "v string")
+    r = feature_analysis(df).first()
+    assert (r.null_pct, r.blank_pct, r.unique) == (16.67, 16.67, 4)
+    assert feature_analysis(df.limit(0)).count() == 0

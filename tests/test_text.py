@@ -43,6 +43,13 @@ def test_highlight_marks_words_and_falls_back(spark):
     assert shown == ["... La <mark>Rete</mark> neurale. <mark>rete</mark>! ...", "altro"]
 
 
+def test_highlight_fills_a_fragment_and_keeps_a_longer_word(spark):
+    long = "w" * 250
+    shown = values(spark, lambda c: T.highlight(c, F.array(F.lit("rete"), F.lit(long))), "rete " + "ab " * 200, long + " x")
+    assert shown[0] == "... <mark>rete</mark> " + "ab " * 65 + " ..."
+    assert shown[1] == f"... <mark>{long}</mark> ..."
+
+
 def test_highlight_marks_what_the_analyser_finds(spark):
     english = values(spark, lambda c: T.highlight(c, F.array(F.lit("model")), analyzer="english"), "The Models' fit")
     assert english == ["... The <mark>Models</mark>' fit ..."]

@@ -22,16 +22,6 @@ def bounded_rows(df: DataFrame, limit: int) -> list | None:
     return rows if len(rows) <= limit else None
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the frame is counted to be small; otherwise unchanged.
-
-    Above the limit Spark joins by shuffle, and adaptive execution splits skewed
-    partitions.
-    """
-    small = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if small else df
-
-
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Repartition before heavy per-row work, if the session asks for it.
 

@@ -11,7 +11,7 @@ import check
 from corpuslink.operators import keyed as K
 from corpuslink.operators.mediation import LISTING_MAPPING
 from corpuslink.operators.profile import feature_analysis, summarize
-from corpuslink.operators.scale import literal_rows, maybe_broadcast
+from corpuslink.operators.scale import literal_rows, localize
 from corpuslink.plans import records
 from corpuslink.sources import corpus as SC
 from corpuslink.sources import pairs as SP
@@ -81,7 +81,9 @@ def test_profile_and_summary(spark):
 
 def test_broadcast_only_when_small(spark):
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(maybe_broadcast(spark.range(5), 5)) and not hinted(maybe_broadcast(spark.range(6), 5))
+    small, rows = localize(spark.range(5), 5)
+    large, none = localize(spark.range(6), 5)
+    assert hinted(small) and len(rows) == 5 and not hinted(large) and none is None
 
 
 NAMES = ["search_match_any_top10", "search_phrase", "index_corpus_stats", "analyzers_unstemmed", "link_rules_make",

@@ -60,6 +60,16 @@ def test_short_random_strings_are_tested_too(docs):
     assert not any(got[i] for i in got if i >= 1000)
 
 
+def test_long_random_strings_are_spans_like_others(docs):
+    rng = random.Random(26)
+    coded = string.ascii_letters + string.digits + "+/"
+    rows = [(n, "see " + "".join(rng.choice(coded) for _ in range(n)) + " token=abcdefghijklmnop") for n in (60, 800, 5000, 40_000)]
+    for r in secrets.find_secrets(docs(rows)).collect():
+        text = dict(rows)[r.doc_id]
+        assert [tuple(s) for s in r.base] == plain_spans(text)
+        assert (4, secrets.KINDS.index("random"), 4 + r.doc_id) in [tuple(s) for s in r.spans]
+
+
 def test_longer_strings_need_less_evidence():
     bins = secrets.discovery_bins([(3, 20, 40), (8, 20, 40), (3, 0, 400)], 0.01)
     assert bins[8] <= bins[3] and secrets.discovery_bins([], 0.01)[0] > secrets.BINS

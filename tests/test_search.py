@@ -1,5 +1,6 @@
 import random
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuslink.operators import postings as P
 from corpuslink.operators import search as S
 from corpuslink.operators.scale import literal_rows
+from corpuslink.plans import search as plan_search
 from corpuslink.plans.search import search
 
 DOCS = [(1, "reti.txt", "Le reti neurali imparano dai dati."),
@@ -141,3 +143,15 @@ def test_phrases_and_patterns_of_a_written_index_equal_brute_force(spark, tmp_pa
     few = S.bool_query(ix, clauses.where("value in ('a*', 'zz*')"))
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "gram IN (a,zz)" in plan or "In(gram, [a,zz])" in plan
+
+
+def test_corpus_indices_are_written_at_the_same_time(monkeypatch):
+    met = threading.Barrier(3, timeout=20)
+
+    def write(df, id_col, fields, path):
+        met.wait()  # broken unless all three are under way
+        return path
+
+    monkeypatch.setattr(plan_search, "write_index", write)
+    monkeypatch.setattr(plan_search, "_indexed", lambda corpus, kind: None)
+    assert plan_search.write_corpus_index(None, "p") == {k: f"p/{k}" for k in plan_search.BOOSTS}

@@ -186,17 +186,15 @@ def analyzers(spark, d):
 
 def stemmed(spark, d):
     """Stemming analysers over whole texts (no SQL equivalent)."""
-    docs = _docs(spark, d)
-    parts = [P.occurrences(docs, "doc_id", {"contenuto": a}).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n")).select(F.lit(a).alias("analyzer"), "term", "n")
-        for a in ("italian", "english")]
-    return parts[0].unionByName(parts[1])
+    names = ("italian", "english")
+    italian, english = [found.select(F.lit(a).alias("analyzer"), "term", "n") for a, found in
+                        zip(names, P.term_totals(_docs(spark, d), "contenuto", names))]
+    return italian.unionByName(english)
 
 
 def italian_terms(spark, d):
     """Occurrences of light Italian stems over whole texts, with a stop list of its own."""
-    found = P.occurrences(_docs(spark, d), "doc_id", {"contenuto": ("italian", STOPS)})
-    return found.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return P.term_totals(_docs(spark, d), "contenuto", [("italian", STOPS)])[0]
 
 
 def length_codes(spark, d):

@@ -29,6 +29,7 @@ class Analyzer:
     stem: Callable[[Column], Column] | None = None
     stem_all: Callable[[Column], Column] | None = None
     norms: bool = True
+    arrow: bool = False  # the stemmer runs in Python, on a column of terms
 
     def kept(self, term: Column) -> Column | None:
         words = list(self.stops()) if self.stops else []
@@ -65,7 +66,7 @@ ANALYZERS: dict[str, Analyzer] = {
                         lambda a: F.transform(a, stemming.italian_light)),
     "english": Analyzer(_standard, _english_possessive, lambda: wordlists.ENGLISH_STOPS,
                         lambda c: stemming.porter_stem(c),
-                        lambda a: stemming.porter_stem_all(a)),
+                        lambda a: stemming.porter_stem_all(a), arrow=True),
     "keyword": Analyzer(lambda c: F.array(c), norms=False),
     "filename": Analyzer(lambda c: _lower_all(_split("[^A-Za-z0-9]+")(c))),
     "whitespace_it": Analyzer(lambda c: _lower_all(_split(SPACES)(c)), stops=_italian),
@@ -117,29 +118,35 @@ def analyzed_length(c: Column, name: str, stop_words: Iterable[str] | None = Non
     return F.when(c.isNull(), 0).otherwise(length)
 
 
+def terms_of_tokens(df, tokens: str, name: str, stop_words: Iterable[str] | None = None):
+    """Rows with a column of single tokens to rows of terms: cleaned, without stop words, stemmed."""
+    a = get_analyzer(name, stop_words)
+    rows = df.withColumnRenamed(tokens, "term").where("term is not null")
+    if a.clean:
+        rows = rows.withColumn("term", a.clean(F.col("term"))).where("term <> ''")
+    kept = a.kept(F.col("term"))
+    if kept is not None:
+        rows = rows.where(kept)
+    if a.stem:
+        rows = rows.withColumn("term", a.stem(F.col("term")))
+    return rows
+
+
 def explode_terms(df, id_col: str, text_col: str, name: str,
-                  stop_words: Iterable[str] | None = None):
+                  stop_words: Iterable[str] | None = None, keep: Iterable[str] = ()):
     """One row (doc_id, dl, term, pos) per term; dl is the number of terms kept.
 
     The token array is its own column before it is exploded, so each text is
-    cut once and does not travel with its terms.
+    cut once and does not travel with its terms. Columns named in `keep` do.
     """
     a = get_analyzer(name, stop_words)
     text = F.col(text_col)
     cut = df.where(text.isNotNull()).select(
-        F.col(id_col).alias("doc_id"), a.tokens(text).alias("tokens"))
+        F.col(id_col).alias("doc_id"), *keep, a.tokens(text).alias("tokens"))
     clean = a.clean or (lambda t: t)
     dl = F.size("tokens") if not (a.clean or a.stops) else F.size(
         F.filter("tokens", lambda t: _keeps(a, clean(t))))
     rows = (cut.withColumn("dl", dl)
             # outer: the inner form would cut every text once more in a filter
-            .select("doc_id", "dl", F.posexplode_outer("tokens").alias("pos", "term"))
-            .where("term is not null"))
-    if a.clean:
-        rows = rows.withColumn("term", a.clean(F.col("term"))).where("term <> ''")
-    kept = a.kept(F.col("term"))
-    if kept is not None:
-        rows = rows.where(kept)
-    if a.stem:
-        rows = rows.withColumn("term", a.stem(F.col("term")))
-    return rows
+            .select("doc_id", "dl", *keep, F.posexplode_outer("tokens").alias("pos", "token")))
+    return terms_of_tokens(rows, "token", name, stop_words)

@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.analysis import analyzed_length, explode_terms, get_analyzer
-from .scale import spread
+from ..functions.analysis import analyze, analyzed_length, explode_terms, get_analyzer, terms_of_tokens
+from .scale import materialize, once_and_again, spread
 
 FieldSpec = str | tuple[str, Sequence[str]]
 
@@ -80,13 +80,63 @@ def occurrences(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -
 def build_postings(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -> DataFrame:
     """(field, term, doc_id) with tf, sorted positions and the field length.
 
-    Grouping is by term and document together, so a term found in a third of
-    all documents is still spread over all tasks.
+    A document that is one row is grouped inside it, and nothing is exchanged. Rows of
+    ids that repeat, and fields with a stemmer in Python, are grouped by term and document
+    together, so a term found in a third of all documents is still spread over all tasks.
     """
-    return occurrences(docs, id_col, fields).groupBy("field", "term", "doc_id").agg(
+    inside = {f: s for f, s in fields.items() if not get_analyzer(_spec(s)[0]).arrow}
+    outside = {f: s for f, s in fields.items() if f not in inside}
+    once, again = once_and_again(docs, id_col) if inside else (docs, None)
+    parts = [_row_postings(spread(once, id_col), id_col, f, s) for f, s in inside.items()]
+    shuffled = [(docs, outside)] if outside else []
+    shuffled += [(again, inside)] if again is not None else []
+    parts += [occurrences(rows, id_col, some).groupBy("field", "term", "doc_id").agg(
         F.count(F.lit(1)).alias("tf"),
         F.sort_array(F.collect_list("pos")).alias("positions"),
-        F.first("dl").alias("dl"))
+        F.first("dl").alias("dl")) for rows, some in shuffled]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _row_postings(docs: DataFrame, id_col: str, field: str, spec: FieldSpec) -> DataFrame:
+    """Postings of one field of rows that are a document each.
+
+    The terms of a text are sorted with their positions; a posting is the slice from
+    one change of term to the next.
+    """
+    term = lambda i: F.get("terms", i)["term"]
+    n, empty = F.size("terms"), F.array().cast("array<int>")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(empty)
+    posting = lambda at, k: F.struct(
+        term(at).alias("term"),
+        F.slice("places", at + 1, F.coalesce(F.get("starts", k + 1), n) - at).alias("positions"))
+    rows = (docs.where(F.col(field).isNotNull())
+            .select(F.col(id_col).alias("doc_id"), F.sort_array(analyze(F.col(field), *_spec(spec))).alias("terms"))
+            .withColumn("starts", F.filter(places, lambda i: (i == 0) | (term(i) != term(i - 1))))
+            .withColumn("places", F.transform("terms", lambda x: x["pos"])))
+    # outer: the inner form would cut every text once more in a filter
+    return (rows.select("doc_id", n.alias("dl"), F.explode_outer(F.transform("starts", posting)).alias("p"))
+            .where("p is not null")
+            .select(F.lit(field).alias("field"), "p.term", "doc_id", F.size("p.positions").cast("bigint").alias("tf"),
+                    "p.positions", "dl"))
+
+
+def term_totals(docs: DataFrame, field: str, specs: Sequence[FieldSpec]) -> list[DataFrame]:
+    """(term, n) over all texts of a field, one frame for each way to analyse it.
+
+    Tokens are counted first, and a term is made once of each different token. Analysers
+    that cut texts alike share the counts.
+    """
+    counts: dict = {}
+    out = []
+    for spec in specs:
+        name, stops = _spec(spec)
+        cut = get_analyzer(name).tokens
+        if cut not in counts:
+            tokens = spread(docs, field).select(cut(F.col(field)).alias("tokens"))
+            counts[cut] = materialize(tokens.select(F.explode_outer("tokens").alias("token")).where("token is not null")
+                                      .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+        out.append(terms_of_tokens(counts[cut], "token", name, stops).groupBy("term").agg(F.sum("n").alias("n")))
+    return out
 
 
 def field_stats(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -> DataFrame:
@@ -109,9 +159,10 @@ def build_index(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -
 def write_index(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec], path: str) -> TermIndex:
     """Analyse documents once, write the index and read it back.
 
-    The statistics are those of the written postings, which carry the field lengths.
+    The statistics are those of the written postings, which carry the field lengths. Postings
+    are written as they are made and sorted then, as the sample of a sort would make them twice.
     """
-    postings = build_postings(docs, id_col, fields)
+    postings = materialize(build_postings(docs, id_col, fields))
     norms = {f: get_analyzer(_spec(s)[0]).norms for f, s in fields.items()}
     _write_sorted(postings, ["term", "doc_id"], f"{path}/postings")
     _write_grams(docs.sparkSession, path)
@@ -134,8 +185,6 @@ def corpus_stats(index: TermIndex) -> DataFrame:
 
 def token_dump(docs: DataFrame, id_col: str, fields: Mapping[str, FieldSpec]) -> DataFrame:
     """One row per document with the ordered token array of every field."""
-    from ..functions.analysis import analyze
-
     return docs.select(F.col(id_col), *[
         F.transform(analyze(F.col(f), *_spec(s)), lambda t: t["term"]).alias(f"{f}_tokens")
         for f, s in fields.items()])

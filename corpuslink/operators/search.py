@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.analysis import analyze
 from ..functions.scoring import bm25, idf
@@ -15,6 +16,8 @@ from .scale import literal_rows, localize
 
 TERM, MATCH_ANY, MATCH_ALL, PHRASE, WILDCARD = "term", "any", "all", "phrase", "wildcard"
 LITERAL_TERMS = 1000
+#: Terms and their bytes up to which matched terms are broadcast, and patterns that share one mask.
+BROADCAST_TERMS, BROADCAST_BYTES, MASK_BITS = 200_000, 16 << 20, 62
 
 
 # -- query strings ---------------------------------------------------------
@@ -193,13 +196,23 @@ def _wildcard_hits(index: TermIndex, wild: DataFrame) -> DataFrame:
     one, which every matching term holds; one without is compared with all terms
     of its field. Both are then verified by the same expression. A written index
     holds the dictionary of grams in order, of which a few patterns read their own
-    grams only; without one, it is made from the postings.
+    grams only; without one, it is made from the postings. The patterns that a term
+    matches are bits of a mask: a posting is one row, and a document one row, however
+    many patterns match it.
     """
     plain = F.array_max(F.transform(F.split("value", r"[*?]"),
                                     lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     patterns = wild.select(*CLAUSE, "field", F.substring(plain, 1, 3).alias("gram"),
                            wildcard_regex(F.col("value")).alias("re"))
     patterns, rows = localize(patterns)
+    if rows is not None:  # each clause has a bit of its own
+        number = {c: k for k, c in enumerate(dict.fromkeys(tuple(r[c] for c in CLAUSE) for r in rows))}
+        more = [T.StructField("word", T.IntegerType()), T.StructField("bit", T.LongType())]
+        place = lambda c: (number[c] // MASK_BITS, 1 << number[c] % MASK_BITS)
+        bits = F.broadcast(literal_rows(patterns.sparkSession, [(*c, *place(c)) for c in number], T.StructType(
+            [patterns.schema[c] for c in CLAUSE] + more)))
+        patterns = F.broadcast(literal_rows(patterns.sparkSession, [
+            (*r, *place(tuple(r[c] for c in CLAUSE))) for r in rows], T.StructType(patterns.schema.fields + more)))
     if index.grams is None:
         dictionary = term_grams(index.postings.join(patterns.select("field").distinct(), "field", "left_semi")
                                 .select("field", "term").distinct())
@@ -208,11 +221,17 @@ def _wildcard_hits(index: TermIndex, wild: DataFrame) -> DataFrame:
         if rows is not None and len({r["gram"] for r in rows}) <= LITERAL_TERMS:
             dictionary = dictionary.where(F.col("gram").isin(sorted({r["gram"] for r in rows}))
                                           & F.col("field").isin(sorted({r["field"] for r in rows})))
-    found = (dictionary.join(patterns, ["field", "gram"])
-             .where(F.regexp_like("term", F.col("re")))
-             .select(*CLAUSE, "field", "term"))
-    return (index.postings.select("field", "term", "doc_id").join(found, ["field", "term"])
-            .select(*CLAUSE, "doc_id", F.lit(1.0).alias("score")).distinct())
+    found = dictionary.join(patterns, ["field", "gram"]).where(F.regexp_like("term", F.col("re")))
+    postings, one = index.postings.select("field", "term", "doc_id"), F.lit(1.0).alias("score")
+    if rows is None:
+        found = found.select(*CLAUSE, "field", "term")
+        return postings.join(found, ["field", "term"]).select(*CLAUSE, "doc_id", one).distinct()
+    masks = found.groupBy("field", "term", "word").agg(F.bit_or("bit").alias("mask"))
+    n, size = masks.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+    if n <= BROADCAST_TERMS and (size or 0) <= BROADCAST_BYTES:
+        masks = F.broadcast(masks)
+    return (postings.join(masks, ["field", "term"]).groupBy("word", "doc_id").agg(F.bit_or("mask").alias("mask"))
+            .join(bits, "word").where(F.col("mask").bitwiseAND(F.col("bit")) != 0).select(*CLAUSE, "doc_id", one))
 
 
 def bool_query(index: TermIndex, clauses: DataFrame) -> DataFrame:

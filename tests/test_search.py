@@ -155,3 +155,41 @@ def test_corpus_indices_are_written_at_the_same_time(monkeypatch):
     monkeypatch.setattr(plan_search, "write_index", write)
     monkeypatch.setattr(plan_search, "_indexed", lambda corpus, kind: None)
     assert plan_search.write_corpus_index(None, "p") == {k: f"p/{k}" for k in plan_search.BOOSTS}
+
+
+def test_postings_are_grouped_inside_rows_and_repeated_ids_together(spark):
+    """A row is a document: its postings need no exchange; only ids that repeat, null among them, are shuffled."""
+    rows = [(1, "b a b"), (2, ""), (3, None), (4, "a")]
+    schema, fields = "doc_id int, t string", {"t": "standard"}
+    once = P.build_postings(literal_rows(spark, rows, schema), "doc_id", fields)
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    want = {("b", 1, 2, (0, 2), 3), ("a", 1, 1, (1,), 3), ("a", 4, 1, (0,), 1)}
+    shown = lambda df: {(r.term, r.doc_id, r.tf, tuple(r.positions), r.dl) for r in df.collect()}
+    assert shown(once) == want
+    twice = literal_rows(spark, [*rows, (5, "c d"), (5, "c e"), (None, "f g"), (None, "f h")], schema)
+    more = {("c", 5, 2, (0, 0), 2), ("d", 5, 1, (1,), 2), ("e", 5, 1, (1,), 2),
+            ("f", None, 2, (0, 0), 2), ("g", None, 1, (1,), 2), ("h", None, 1, (1,), 2)}
+    assert shown(P.build_postings(twice, "doc_id", fields)) == want | more
+
+
+def test_terms_are_made_once_of_each_different_token(spark):
+    """Totals equal those of all occurrences; stemmers follow the counting."""
+    docs = literal_rows(spark, [(1, "Running runs dell'acqua the running"), (2, None), (3, "le città running")],
+                        "doc_id int, t string")
+    names = ["english", ("italian", ("le",))]
+    for spec, found in zip(names, P.term_totals(docs, "t", names)):
+        want = P.occurrences(docs, "doc_id", {"t": spec}).groupBy("term").count()
+        assert {tuple(r) for r in found.collect()} == {tuple(r) for r in want.collect()}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "parquet" in plan.lower()
+
+
+def test_a_posting_is_one_row_however_many_patterns_match_it(spark):
+    docs = literal_rows(spark, [(1, "ab ac"), (2, "b"), (3, "ab")], "doc_id int, t string")
+    index = P.build_index(docs, "doc_id", {"t": "standard"})
+    schema = "query_id int, group_id int, clause_id int, must boolean, kind string, field string, value string"
+    many = [(i, 0, 0, True, "wildcard", "t", "a*" if i % 2 else "*b") for i in range(130)]  # more than two masks
+    found = S.bool_query(index, literal_rows(spark, many, schema))
+    assert {(r.query_id, r.doc_id) for r in found.collect()} == {
+        (i, d) for i in range(130) for d in ((1, 3) if i % 2 else (1, 2, 3))}
+    assert found.count() == 65 * 2 + 65 * 3 and "bit_or" in found._jdf.queryExecution().optimizedPlan().toString()

@@ -235,7 +235,7 @@ def extract_media(pages: DataFrame, only_nested: bool = False, threshold: float
     checkpointed: a page is parsed once.
     """
     els = materialize(elements(pages))
-    paras = materialize(paragraphs(els))
+    paras = materialize(paragraphs(els).drop("raw"))
     objects = materialize(media_objects(els, only_nested))
     return with_paragraphs(objects, paras, paragraph_links(els, paras), threshold, stop_words)
 

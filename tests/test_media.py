@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from corpuslink.functions.markup import article_parts
@@ -101,3 +103,64 @@ def test_corpus_build_report_and_search(spark, tmp_path):
     write_corpus_index(corpus, str(tmp_path / "ix"))
     again = corpus_search(q, corpus, k=5, index=read_corpus_index(spark, str(tmp_path / "ix"))).collect()
     assert sorted(map(str, again)) == sorted(map(str, found))
+
+
+def _similar(spark):
+    from pyspark.sql import functions as F
+
+    from corpuslink.operators import tfidf as W
+
+    rnd = random.Random(5)
+    words = [f"w{k}" for k in range(30)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    paras = [(g, i, text(12)) for g in (1, 2, None) for i in range(6)] + [(3, 0, text(9)), (1, 2, text(5)), (1, 5, None)]
+    objs = [(g, o, text(6)) for g in (1, 2, 3, None) for o in range(3)] + [(1, 0, text(4))]
+    schema = "g int, i int, text string"
+    p, o = literal_rows(spark, paras, schema), literal_rows(spark, objs, schema.replace("i int", "o int"))
+    weights = W.tfidf(p, "g", "i", min_texts=3)
+    pairs = W.cosine_pairs(o, p, "g", "o", "i")
+    return weights, pairs, F
+
+
+def test_texts_of_a_paper_are_weighed_in_one_task_and_large_papers_over_their_terms(spark, monkeypatch):
+    """Both ways give the same; of the usual papers only the texts are exchanged, once."""
+    from corpuslink.operators import tfidf as W
+
+    weights, pairs, F = _similar(spark)
+    for df, sources in ((weights, 1), (pairs, 1)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == sources
+    shown = lambda df, c: {(*r[:-1], round(r[-1], 9)) for r in df.collect()}
+    near = shown(weights, "weight"), shown(pairs, "cosine")
+    assert near[0] and near[1] and {r[0] for r in near[1]} == {1, 2}
+    monkeypatch.setattr(W, "LARGE_GROUP", 1)
+    weights, pairs, _ = _similar(spark)
+    assert (shown(weights, "weight"), shown(pairs, "cosine")) == near
+
+
+def test_markup_is_read_in_small_parts(spark, monkeypatch):
+    import pandas as pd
+
+    from corpuslink.functions import markup
+
+    monkeypatch.setattr(markup, "ROWS_AT_ONCE", 3)
+    monkeypatch.setattr(markup, "CHARS_AT_ONCE", 10)
+    texts = ["abc", None, "de", "f", "x" * 50, "g"]
+    parts = [list(s) for s in markup._slices(pd.Series(texts))]
+    assert sum(parts, []) == texts and max(map(len, parts)) == 3 and ["x" * 50] in parts
+    assert [list(s) for s in markup._slices(pd.Series([], dtype=object))] == [[]]
+
+
+def test_media_report_joins_previews_not_texts(spark):
+    from corpuslink.plans import corpus as plan
+
+    schema = "source string, paper_id string, {0}_id string, caption string, mentions array<string>, context_paragraphs array<string>"
+    rows = [("s", "p", "x", "c" * 500, ["m" * 500], ["t" * 500]), ("s", None, "y", None, None, None)]
+    media = {k: literal_rows(spark, rows, schema.format(k)) for k in ("figure", "table")}
+    papers = literal_rows(spark, [("p", "T" * 100)], "document_id string, title string")
+    report = plan.media_report(plan.Corpus(papers, media["figure"], media["table"]))
+    plan_lines = report._jdf.queryExecution().analyzed().toString().splitlines()
+    below = [plan_lines[k + 1] for k, line in enumerate(plan_lines) if "Join LeftOuter" in line]
+    assert len(below) == 2 and all("caption_preview" in line for line in below)  # cut before the join
+    got = {(r.object, r.object_id): r for r in report.collect()}
+    assert got["figure", "x"].parent_title == "T" * 80 + "..." and got["table", "x"].caption_preview == "c" * 200 + "..."
+    assert got["figure", "x"].context_preview == "t" * 150 + "..." and not got["table", "y"].parent_found

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import struct
+from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
@@ -27,7 +28,7 @@ DROPPED = re.compile(f"{CONTRACTION}|{LETTER}+|[{NUMBER}]|{OTHER}+")
 RARE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x7f-\\x9f\\u0250-\\U0010ffff]")
 
 #: Bytes of a task's store before it starts anew, and the longest key that it keeps.
-STORE_BYTES, LONGEST = 128 << 20, 64
+STORE_BYTES, LONGEST = 64 << 20, 64
 
 
 def byte_letters() -> dict[int, str]:
@@ -63,15 +64,27 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def piece_ids(model) -> Callable[[str], bytes]:
+    """Function from a pre-token to its packed ids by a byte-level model."""
+    letters = byte_letters()
+
+    def ids(piece: str) -> bytes:
+        spelt = piece if piece.isascii() and piece.isalpha() else \
+            piece.encode().decode("latin-1").translate(letters)
+        return packed([t.id for t in model.tokenize(spelt)])
+
+    return ids
+
+
 class WordPieces:
     """Token ids of parts of texts; `lower` for files that lower-case and drop white space."""
 
     def __init__(self, path: str, lower: bool):
         self._tokenizer = Tokenizer.from_file(path)
-        self._model, self._letters = self._tokenizer.model, byte_letters()
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._lower, self._cut = lower, (DROPPED if lower else SPACED)
-        self._pieces = Store(self._piece)
+        # The store does not know this object: without a cycle, all is freed when a task ends.
+        self._pieces = Store(piece_ids(self._tokenizer.model))
 
     @property
     def library(self) -> Tokenizer:
@@ -81,11 +94,6 @@ class WordPieces:
     def special(self) -> list[str]:
         return self._special
 
-    def _piece(self, piece: str) -> bytes:
-        spelt = piece if piece.isascii() and piece.isalpha() else \
-            piece.encode().decode("latin-1").translate(self._letters)
-        return packed([t.id for t in self._model.tokenize(spelt)])
-
     def whole(self, text: str) -> list[int]:
         """The library's ids of a whole text."""
         return self._tokenizer.encode(text, add_special_tokens=False).ids

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,20 +72,40 @@ def materialize_pairs(pairs: DataFrame, a: DataFrame, b: DataFrame, columns: Seq
 
 def pair_texts(pairs: DataFrame, a: DataFrame, b: DataFrame, schema: Sequence[str] = VEHICLE_SCHEMA,
                key: str = "vin", a_id: str = A_ID, b_id: str = B_ID) -> DataFrame:
-    """Labelled id pairs as (left, right, label) text; tabs and line ends become blanks."""
+    """Labelled id pairs as (left, right, label) text; tabs and line ends become blanks.
+
+    Other columns of the pairs are kept. Each side's texts are exchanged once, so pairs
+    of several parts are best given together.
+    """
     columns = [c for c in schema if c != key]
     line = lambda c: F.regexp_replace(c, r"[\t\r\n]+", " ")
-    text = lambda df, i, name: df.select(i, line(serialize_record(columns)).alias(name))
+    text = lambda df, i, name: by_shuffle(df.select(i, line(serialize_record(columns)).alias(name)))
     return (pairs.join(text(a, a_id, "left"), a_id).join(text(b, b_id, "right"), b_id)
-            .select("left", "right", F.col("label").cast("int").alias("label")))
+            .select("left", "right", F.col("label").cast("int").alias("label"),
+                    *[c for c in pairs.columns if c not in (a_id, b_id, "label")]))
+
+
+def labelled_ids(truth: DataFrame, a: DataFrame, b: DataFrame, seed: int | str = 42, key: str = "vin",
+                 a_id: str = A_ID, b_id: str = B_ID) -> DataFrame:
+    """All true pairs of known ids (label 1) and as many false ones (label 0)."""
+    known = truth.select(a_id, b_id).join(by_shuffle(a.select(a_id)), a_id, "left_semi").join(
+        by_shuffle(b.select(b_id)), b_id, "left_semi")
+    neg = negative_pairs(a, b, known.count(), seed, key, a_id, b_id)
+    return known.withColumn("label", F.lit(1)).unionByName(neg.withColumn("label", F.lit(0)))
 
 
 def labelled_pairs(truth: DataFrame, a: DataFrame, b: DataFrame, seed: int | str = 42,
                    schema: Sequence[str] = VEHICLE_SCHEMA, key: str = "vin",
-                   a_id: str = A_ID, b_id: str = B_ID) -> DataFrame:
-    """All true pairs and as many false ones, as labelled text."""
-    known = truth.select(a_id, b_id).join(a.select(a_id), a_id, "left_semi").join(
-        b.select(b_id), b_id, "left_semi")
-    neg = negative_pairs(a, b, known.count(), seed, key, a_id, b_id)
-    both = known.withColumn("label", F.lit(1)).unionByName(neg.withColumn("label", F.lit(0)))
+                   a_id: str = A_ID, b_id: str = B_ID, parts: Sequence[str] | None = None) -> DataFrame:
+    """All true pairs and as many false ones, as labelled text.
+
+    With `parts`, values of a column `split` of the true pairs, each part gets false
+    pairs by a seed of its own, and the texts of all parts are joined at once.
+    """
+    if parts is None:
+        both = labelled_ids(truth, a, b, seed, key, a_id, b_id)
+    else:
+        both = reduce(DataFrame.unionByName, [
+            labelled_ids(truth.where(F.col("split") == p), a, b, f"{seed}|{p}", key, a_id, b_id)
+            .withColumn("split", F.lit(p)) for p in parts])
     return pair_texts(both, a, b, schema, key, a_id, b_id)

@@ -58,14 +58,14 @@ def export_pairs(truth: DataFrame, a: DataFrame, b: DataFrame, seed: int | str =
 
     With a path each split is also written as lines under its own folder.
     """
+    names = ("train", "val", "test")
     split = materialize(split_pairs(truth, [A_ID, B_ID], seed))
-    parts = []
-    for name in ("train", "val", "test"):
-        part = labelled_pairs(split.where(F.col("split") == name), a, b, f"{seed}|{name}")
-        if path:
-            write_pair_lines(part, f"{path}/{name}", seed)
-        parts.append(part.withColumn("split", F.lit(name)))
-    return reduce(DataFrame.unionByName, parts)
+    pairs = labelled_pairs(split, a, b, seed, parts=names)
+    if path:
+        pairs = materialize(pairs)
+        for name in names:
+            write_pair_lines(pairs.where(F.col("split") == name), f"{path}/{name}", seed)
+    return pairs
 
 
 def blockings(a: DataFrame, b: DataFrame, window: int = 1) -> dict[str, tuple[DataFrame, DataFrame]]:

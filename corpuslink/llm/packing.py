@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.llm.batches import id_and_text, map_batches
-from corpuslink.llm.wordpieces import WordPieces, Store, packed
+from corpuslink.llm.wordpieces import WordPieces, Store, packed, portions
 from corpuslink.operators.scale import materialize
 
 
@@ -39,7 +39,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # no white space to the library
                     ids = packed(pieces.whole(text)) + end
                 else:
-                    ids = b"".join(map(words.__getitem__, text.split())) + end
+                    ids = b"".join([pieces.plain_ids(part) if pieces.plain(part) else
+                                    b"".join(map(words.__getitem__, part.split()))
+                                    for part in portions(text)]) + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     rows.append(row)
                     out["piece"].append(k)

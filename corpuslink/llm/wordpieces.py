@@ -4,14 +4,16 @@ Pre-tokens never cross certain places in a text (a space before a word, or any
 white space where that is dropped). A text is cut there, and the library is asked
 once per task for each different part. Parts of plain Latin script are cut into
 pre-tokens here and given to the library's BPE model; all other parts go through
-the library's whole `encode`.
+the library's whole `encode`. Where white space is dropped, plain Latin text is cut
+into pre-tokens without being cut into words first.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 from tokenizers import Tokenizer
 
@@ -24,11 +26,14 @@ OTHER = f"(?:[^\\w{SPACE}]|_)"
 CONTRACTION = "'(?:s|t|re|ve|m|ll|d)"
 #: The two pre-token patterns of the files used here, for characters below U+0250.
 SPACED = re.compile(f"{CONTRACTION}| ?{LETTER}+| ?[{NUMBER}]+| ?{OTHER}+|[{SPACE}]+")
-DROPPED = re.compile(f"{CONTRACTION}|{LETTER}+|[{NUMBER}]|{OTHER}+")
+#: The second with its letters listed, which is faster; lower case leads two letters beyond U+0250.
+_LETTERS = "".join(sorted({c for k in range(0x250) for c in chr(k) + chr(k).lower() if c.isalpha()}))
+_NUMBERS = NUMBER.replace("\\d", "0-9")
+DROPPED = re.compile(f"{CONTRACTION}|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}{SPACE}]+")
 RARE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x7f-\\x9f\\u0250-\\U0010ffff]")
 
-#: Bytes of a task's store before it starts anew, and the longest key that it keeps.
-STORE_BYTES, LONGEST = 64 << 20, 64
+#: Bytes of a task's store, the longest key that it keeps, and bytes of an entry's place in a table that has room.
+STORE_BYTES, LONGEST, PLACE = 64 << 20, 64, 100
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,26 +44,46 @@ def byte_letters() -> dict[int, str]:
 
 
 class Store(dict):
-    """Values by key, made when first asked for; emptied when it has grown large.
+    """Values by key, made when first asked for; what was asked for lately is kept.
 
-    An entry is counted with 16 bytes a character for its value (up to four ids) and 4 for its
-    key. Long keys, such as texts of a script without spaces, are not kept.
+    When the entries fill half of the bytes they become the older half, and those of the
+    older half before are dropped unless asked for again: words that recur outlive the many
+    that occur once. An entry is counted as its key and value are in memory, with its place in
+    the table. Long keys, such as texts of a script without spaces, are not kept.
     """
 
     def __init__(self, make):
-        self._make, self._bytes = make, 0
+        self._make, self._bytes, self._older = make, 0, {}
 
     def __missing__(self, key):
-        value = self._make(key)
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
         if len(key) <= LONGEST:
-            self._bytes += 200 + 20 * len(key)
-            if self._bytes > STORE_BYTES:
+            size = PLACE + getsizeof(key) + getsizeof(value)
+            self._bytes += size
+            if 2 * self._bytes > STORE_BYTES:
+                self._older = dict(self)
                 self.clear()
-                self._bytes = 200 + 20 * len(key)
+                self._bytes = size
             self[key] = value
         return value
 
 
+def portions(text: str, most: int = 16_384) -> Iterator[str]:
+    """The text cut at blanks into parts of at most `most` characters; longer ones where no blank is."""
+    at = 0
+    while len(text) - at > most:
+        end = text.rfind(" ", at + 1, at + most)
+        if end < 0:
+            end = text.find(" ", at + most)
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end
+    yield text[at:] if at else text
+
+
 def packed(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -83,6 +108,7 @@ class WordPieces:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._lower, self._cut = lower, (DROPPED if lower else SPACED)
+        self._odd = re.compile("|".join([RARE.pattern, *map(re.escape, self._special)]))
         # The store does not know this object: without a cycle, all is freed when a task ends.
         self._pieces = Store(piece_ids(self._tokenizer.model))
 
@@ -98,10 +124,18 @@ class WordPieces:
         """The library's ids of a whole text."""
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
+    def plain(self, part: str) -> bool:
+        """Whether a part is cut into pre-tokens here, and not by the library."""
+        return not self._odd.search(part)
+
     def ids(self, part: str) -> bytes:
         """The library's ids, packed, of a part whose ends no pre-token crosses."""
-        if RARE.search(part) or any(s in part for s in self._special):
+        if not self.plain(part):
             return packed(self.whole(part))
+        return self.plain_ids(part)
+
+    def plain_ids(self, part: str) -> bytes:
+        """The same for a part known to be plain."""
         if self._lower:
             part = part.lower()
         return b"".join(map(self._pieces.__getitem__, self._cut.findall(part)))

@@ -1,8 +1,10 @@
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -73,6 +75,44 @@ def test_stores_are_bounded_by_bytes(monkeypatch):
     assert len(store) <= 5 and max(map(len, store)) <= wordpieces.LONGEST
 
 
+def test_words_that_recur_outlive_those_that_occur_once(monkeypatch):
+    monkeypatch.setattr(wordpieces, "STORE_BYTES", 20_000)
+    made = Counter()
+    store = wordpieces.Store(lambda k: made.update([k]) or k.encode())
+    for k in range(5_000):
+        assert store["the"] == b"the" and store[f"once{k}"] == f"once{k}".encode()
+    assert made["the"] == 1 and len(made) == made.total() == 5_001 and len(store) + len(store._older) < 200
+
+
+def test_plain_text_is_not_cut_into_words(docs, monkeypatch):
+    asked = []
+    real = packing.Store
+    monkeypatch.setattr(packing, "Store", lambda make: real(lambda w: asked.append(w) or make(w)))
+    rows = [(0, "Ünter den Linden, it's 12\xa0½ “quoted” İzmir ȺȾ. " * 3), (1, "plain words' don't, ***\n\t|x|_y"), (2, "")]
+    monkeypatch.setattr(packing, "map_batches", lambda df, make, schema: make())
+    step = packing.token_pieces(docs(rows), path("word_bpe_49k.json"))
+    out = step(pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    library = Tokenizer.from_file(path("word_bpe_49k.json"))
+    assert out["ids"] == [packed([*library.encode(t, add_special_tokens=False).ids, 1]) for _, t in rows]
+    assert "Linden," in asked and "words'" not in asked
+
+
+def test_portions_are_whole_and_cut_at_blanks():
+    for text in ("", "a", "ab cd", "x" * 50, "ab " * 40, " " * 30, "x" * 30 + " y" * 30 + "z" * 30):
+        for most in (1, 2, 7, 100):
+            got = list(wordpieces.portions(text, most))
+            assert "".join(got) == text and all(p.startswith(" ") for p in got[1:])
+            assert all(len(p) <= most or " " not in p[1:most] for p in got)
+
+
+def test_listed_letters_are_those_of_the_pattern():
+    named = re.compile(f"{wordpieces.CONTRACTION}|{wordpieces.LETTER}+|[{wordpieces.NUMBER}]|{wordpieces.OTHER}+")
+    for a in range(0x250):
+        low = f"x{chr(a)}1{chr(a)}.{chr(a)}{chr(a)}".lower()
+        if not wordpieces.RARE.search(chr(a)):
+            assert wordpieces.DROPPED.findall(low) == named.findall(low)
+
+
 def test_pieces_hold_the_librarys_ids(docs):
     rows = list(enumerate([*texts(400, 3), "", None, "<|endoftext|>", "ΑΣ ΑΣ"])) + [(None, "x"), (2, "again")]
     library = Tokenizer.from_file(path("word_bpe_49k.json"))

@@ -31,6 +31,7 @@ _LETTERS = "".join(sorted({c for k in range(0x250) for c in chr(k) + chr(k).lowe
 _NUMBERS = NUMBER.replace("\\d", "0-9")
 DROPPED = re.compile(f"{CONTRACTION}|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}{SPACE}]+")
 RARE = re.compile("[\\x00-\\x08\\x0e-\\x1f\\x7f-\\x9f\\u0250-\\U0010ffff]")
+COMMON = bytes(k for k in range(256) if not RARE.match(chr(k)))
 
 #: Bytes of a task's store, the longest key that it keeps, and bytes of an entry's place in a table that has room.
 STORE_BYTES, LONGEST, PLACE = 64 << 20, 64, 100
@@ -125,12 +126,16 @@ class WordPieces:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def plain(self, part: str) -> bool:
-        """Whether a part is cut into pre-tokens here, and not by the library."""
-        return not self._odd.search(part)
+        """Whether a part, of many characters, is cut into pre-tokens here, and not by the library."""
+        try:
+            rare = part.encode("latin-1").translate(None, COMMON)  # much faster than the pattern
+        except UnicodeEncodeError:
+            rare = RARE.search(part)
+        return not rare and not any(s in part for s in self._special)
 
     def ids(self, part: str) -> bytes:
         """The library's ids, packed, of a part whose ends no pre-token crosses."""
-        if not self.plain(part):
+        if self._odd.search(part):
             return packed(self.whole(part))
         return self.plain_ids(part)
 

@@ -97,6 +97,13 @@ def test_plain_text_is_not_cut_into_words(docs, monkeypatch):
     assert "Linden," in asked and "words'" not in asked
 
 
+def test_plain_parts_are_those_without_rare_characters_or_special_strings():
+    pieces = WordPieces(path("word_bpe_49k.json"), lower=True)
+    for c in [*map(chr, range(0x300)), "€", "漢", "🙂", "\ud7ff", "<|endoftext|>", "<|endoftext|"]:
+        rare = wordpieces.RARE.search(c) or c == "<|endoftext|>"
+        assert pieces.plain(f"ab {c} cd") == pieces.plain(f"ł {c}") == (not rare)
+
+
 def test_portions_are_whole_and_cut_at_blanks():
     for text in ("", "a", "ab cd", "x" * 50, "ab " * 40, " " * 30, "x" * 30 + " y" * 30 + "z" * 30):
         for most in (1, 2, 7, 100):
